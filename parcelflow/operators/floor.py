@@ -14,7 +14,10 @@ from parcelflow.operators.alerts import station_spine
 from parcelflow.operators.ingest import with_items
 
 _P = domain.DEFAULTS
-_DAMAGED = F.col("result") == "SCAN_RESULT_DAMAGE_DETECTED"
+
+
+def _damaged() -> Column:
+    return F.col("result") == "SCAN_RESULT_DAMAGE_DETECTED"
 
 
 def last_scans(scans: DataFrame) -> DataFrame:
@@ -31,7 +34,7 @@ def current_positions(scans: DataFrame, items: DataFrame) -> DataFrame:
         F.col("scanned_at").alias("updated_at"),
         "item_name",
         "item_category",
-        _DAMAGED.alias("damage_detected"),
+        _damaged().alias("damage_detected"),
     )
 
 
@@ -102,33 +105,33 @@ def newest_events(scans: DataFrame, n: int = _P.live_event_cap) -> DataFrame:
 def station_moves(scans: DataFrame, slot_ms: int = 3_600_000) -> DataFrame:
     """Station changes per package, and whether each was one step forward on the route.
 
-    The previous scan is found inside (package, time slot), which spreads a hot package over its
-    slots; only the first scan of a slot looks across, to the last station of the slot before.
+    Scans are compared inside (package, time slot), which spreads a hot package over its slots. Only
+    the first and last scan of each slot are then compared across slots.
     """
-    at = S.millis("scanned_at")
-    slotted = scans.select("package_id", S.slot_start(at, slot_ms).alias("slot"), "scanned_at", "event_id", "station")
+    slotted = scans.select(
+        "package_id", S.slot_start(S.millis("scanned_at"), slot_ms).alias("slot"), "scanned_at", "event_id", "station"
+    )
     in_slot = W.partitionBy("package_id", "slot").orderBy("scanned_at", "event_id")
-    local = slotted.withColumn("before", F.lag("station").over(in_slot))
-    by_time = W.partitionBy("package_id").orderBy("slot")
-    carried = (
-        slotted.groupBy("package_id", "slot")
-        .agg(F.max(F.struct("scanned_at", "event_id", "station")).alias("last"))
-        .select("package_id", "slot", F.lag("last.station").over(by_time).alias("carried"))
-    )
-    previous = F.coalesce("before", "carried")
+    local = slotted.withColumn("from_station", F.lag("station").over(in_slot)).withColumn(
+        "is_last", F.lead("station").over(in_slot).isNull()
+    )
+    across = W.partitionBy("package_id").orderBy("scanned_at", "event_id")
+    edges = (
+        local.where(F.col("from_station").isNull() | F.col("is_last"))
+        .withColumn("before", F.lag("station").over(across))
+        .where(F.col("from_station").isNull())
+        .withColumn("from_station", F.col("before"))
+        .drop("before")
+    )
+    pairs = local.where(F.col("from_station").isNotNull()).unionByName(edges)
     step = S.route_index(F.col("from_station"))
-    return (
-        local.join(carried, ["package_id", "slot"])
-        .withColumn("from_station", previous)
-        .where(F.col("from_station").isNotNull() & (F.col("from_station") != F.col("station")))
-        .select(
-            "package_id",
-            "event_id",
-            "from_station",
-            F.col("station").alias("to_station"),
-            F.col("scanned_at").alias("moved_at"),
-            ((step >= 0) & (S.route_index(F.col("station")) == step + 1)).alias("adjacent"),
-        )
+    return pairs.where(F.col("from_station") != F.col("station")).select(
+        "package_id",
+        "event_id",
+        "from_station",
+        F.col("station").alias("to_station"),
+        F.col("scanned_at").alias("moved_at"),
+        ((step >= 0) & (S.route_index(F.col("station")) == step + 1)).alias("adjacent"),
     )
 
 
@@ -137,7 +140,7 @@ def live_damage_rate(scans: DataFrame, as_of: datetime, window_ms: int = _P.dama
     recent = scans.where(
         F.col("scanned_at").between(S.ts(S.to_millis(as_of) - window_ms), S.ts(as_of))
     )
-    return recent.agg(F.count(F.lit(1)).alias("sample_size"), F.count_if(_DAMAGED).alias("d")).select(
+    return recent.agg(F.count(F.lit(1)).alias("sample_size"), F.count_if(_damaged()).alias("d")).select(
         S.safe_ratio(F.col("d"), F.col("sample_size")).alias("damage_rate"), "sample_size"
     )
 
@@ -151,7 +154,7 @@ def damage_rate_series(
         raise ValueError("window_ms must be a multiple of slide_ms")
     at = S.millis("scanned_at")
     steps = scans.groupBy(S.slot_start(at, slide_ms).alias("step")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(_DAMAGED).alias("d")
+        F.count(F.lit(1)).alias("n"), F.count_if(_damaged()).alias("d")
     )
     ends = F.sequence(F.col("step") + slide_ms, F.col("step") + window_ms, F.lit(slide_ms).cast("long"))
     return (

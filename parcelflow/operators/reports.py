@@ -4,37 +4,41 @@ from __future__ import annotations
 
 from datetime import date as Date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow import domain  # noqa: F401
 from parcelflow.functions import scalars as S
 
-_DAMAGED = F.col("result") == "SCAN_RESULT_DAMAGE_DETECTED"
 
+def _damaged() -> Column:
+    return F.col("result") == "SCAN_RESULT_DAMAGE_DETECTED"
 
-def _on(df: DataFrame, column: str, day: str | Date | None) -> DataFrame:
-    """Rows of one UTC day as a plain range, which prunes better than a cast of the column."""
+
+Day = str | Date | None
+
+
+def _on(df: DataFrame, column: str, day: Day, last: Day) -> DataFrame:
+    """Rows of the UTC days ``day`` to ``last`` as a plain range, which prunes better than a cast."""
     dated = df.withColumn("report_date", F.to_date(column))
     if day is None:
         return dated
-    start = F.lit(str(day)).cast("date")
+    start, end = (F.lit(str(d)).cast("date") for d in (day, last or day))
     return dated.where(
-        (F.col(column) >= start.cast("timestamp")) & (F.col(column) < F.date_add(start, 1).cast("timestamp"))
+        (F.col(column) >= start.cast("timestamp")) & (F.col(column) < F.date_add(end, 1).cast("timestamp"))
     )
 
 
-def daily_station_throughput(scans: DataFrame, day: str | Date | None = None) -> DataFrame:
+def daily_station_throughput(scans: DataFrame, day: Day = None, last: Day = None) -> DataFrame:
     """Per day and station: scans, distinct packages, damage and unreadable scans."""
     # One row per (day, station, package) first: the exact distinct count becomes a plain count and
     # a hot package or station is reduced before and across the shuffle.
     unreadable = F.col("result") == "SCAN_RESULT_UNREADABLE"
     per_package = (
-        _on(scans, "scanned_at", day)
+        _on(scans, "scanned_at", day, last)
         .groupBy("report_date", "station", "package_id")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.count_if(_DAMAGED).alias("damaged"),
+            F.count_if(_damaged()).alias("damaged"),
             F.count_if(unreadable).alias("unreadable"),
         )
     )
@@ -47,7 +51,7 @@ def daily_station_throughput(scans: DataFrame, day: str | Date | None = None) ->
 
 
 def daily_damage_rate_by_category(
-    scans: DataFrame, items: DataFrame, day: str | Date | None = None
+    scans: DataFrame, items: DataFrame, day: Day = None, last: Day = None
 ) -> DataFrame:
     """Per day and item category: scans, damage and their ratio.
 
@@ -55,9 +59,9 @@ def daily_damage_rate_by_category(
     and day, also for a very frequent or missing item id.
     """
     per_item = (
-        _on(scans, "scanned_at", day)
+        _on(scans, "scanned_at", day, last)
         .groupBy("report_date", F.coalesce("item_id", F.lit("")).alias("item_id"))
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if(_DAMAGED).alias("damaged"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(_damaged()).alias("damaged"))
     )
     catalog = items.where(F.col("item_id") != "").select("item_id", "category")
     category = F.coalesce("category", F.lit("ITEM_CATEGORY_UNSPECIFIED"))
@@ -69,18 +73,19 @@ def daily_damage_rate_by_category(
     )
 
 
-def daily_reconciliation(scans: DataFrame, alerts: DataFrame, day: str | Date | None = None) -> DataFrame:
+def daily_reconciliation(scans: DataFrame, alerts: DataFrame, day: Day = None, last: Day = None) -> DataFrame:
     """Raw scans against alerts per day; flags days with traffic and no alert at all.
 
-    For one given day there is always a row, all zero if nothing happened.
+    Every day from ``day`` to ``last`` gets a row, all zero if nothing happened.
     """
-    both = _on(scans, "scanned_at", day).select("report_date", F.lit(1).alias("scan"), F.lit(0).alias("alert"))
+    both = _on(scans, "scanned_at", day, last).select("report_date", F.lit(1).alias("scan"), F.lit(0).alias("alert"))
     both = both.unionByName(
-        _on(alerts, "detected_at", day).select("report_date", F.lit(0).alias("scan"), F.lit(1).alias("alert"))
+        _on(alerts, "detected_at", day, last).select("report_date", F.lit(0).alias("scan"), F.lit(1).alias("alert"))
     )
     if day is not None:
+        start, end = (F.lit(str(d)).cast("date") for d in (day, last or day))
         nothing = scans.sparkSession.range(1).select(
-            F.lit(str(day)).cast("date").alias("report_date"), F.lit(0).alias("scan"), F.lit(0).alias("alert")
+            F.explode(F.sequence(start, end)).alias("report_date"), F.lit(0).alias("scan"), F.lit(0).alias("alert")
         )
         both = both.unionByName(nothing)
     quiet = (F.col("lake_event_count") > 0) & (F.col("streaming_alert_count") == 0)
