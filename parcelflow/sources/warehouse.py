@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelflow import domain
 from parcelflow.functions import scalars as S
@@ -13,6 +14,23 @@ from parcelflow.operators import alerts as A
 from parcelflow.sources.lake import exists
 
 
+# Stored columns plus the partition columns; batch_id only exists in tables fed by a stream.
+_ALERT_FILES = T.StructType(
+    [
+        *domain.ALERT_ROW.fields,
+        T.StructField("detected_date", T.DateType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+_ROLLUP_FILES = T.StructType(
+    [
+        *domain.ROLLUP_ROW.fields,
+        T.StructField("hour_date", T.DateType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+
 def alerts_path(root: str) -> str:
     return f"{root}/alerts"
 
@@ -71,9 +89,7 @@ def read_alerts(spark: SparkSession, root: str, floor: datetime | None = None) -
     path = alerts_path(root)
     if not exists(spark, path):
         return spark.createDataFrame([], domain.ALERT_ROW)
-    df = spark.read.schema(
-        domain.ALERT_ROW.simpleString()[7:-1] + ",detected_date:date,batch_id:bigint"
-    ).parquet(path)
+    df = spark.read.schema(_ALERT_FILES).parquet(path)
     if floor is not None:
         df = df.where(F.col("detected_date") >= F.lit(floor.date())).where(F.col("detected_at") >= S.ts(floor))
     return df.select(*domain.ALERT_ROW.names)
@@ -84,9 +100,7 @@ def read_rollup(spark: SparkSession, root: str, floor: datetime | None = None) -
     path = rollup_path(root)
     if not exists(spark, path):
         return spark.createDataFrame([], domain.ROLLUP_ROW)
-    df = spark.read.schema(
-        domain.ROLLUP_ROW.simpleString()[7:-1] + ",hour_date:date,batch_id:bigint"
-    ).parquet(path)
+    df = spark.read.schema(_ROLLUP_FILES).parquet(path)
     if floor is not None:
         df = df.where(F.col("hour_date") >= F.lit(floor.date()))
     return df.select(*domain.ROLLUP_ROW.names)
