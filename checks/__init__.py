@@ -3,6 +3,6 @@
 
 def load():
     """The registry, with all query modules imported."""
-    from checks import detection, registry, state, stored  # noqa: F401
+    from checks import detection, registry, state, stored, streams  # noqa: F401
 
     return registry
