@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+_local: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -18,6 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="parcelflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="parcelflow-")
+        spark.sparkContext.setCheckpointDir(_local[app])
+    return _local[app]

@@ -1,0 +1,191 @@
+"""Streams cut into several micro-batches, out of order and late, against the batch operators."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from parcelflow.functions.scalars import millis, to_millis
+from parcelflow.operators import alerts as A
+from parcelflow.sources import stream, warehouse
+from parcelflow.streaming import journeys, live, stuck
+from tests.helpers import BASE, GAP, brute_sessions, brute_stuck, frame, random_rows, scan
+
+NOW = {"availableNow": True}
+MINUTE = 60_000
+
+
+class Feed:
+    """A file stream that is fed in steps; every ``step`` restarts the query from its checkpoint."""
+
+    def __init__(self, spark, tmp_path, build):
+        self.spark, self.inbox = spark, str(tmp_path / "in")
+        self.out, self.checkpoint, self.build = str(tmp_path / "out"), str(tmp_path / "cp"), build
+        self.schema = None
+
+    def step(self, rows):
+        frame(self.spark, rows).coalesce(1).write.mode("append").parquet(self.inbox)
+        scans = self.spark.readStream.schema(frame(self.spark, []).schema).parquet(self.inbox)
+        df = self.build(scans)
+        self.schema = df.schema
+        query = (
+            df.writeStream.format("parquet").option("path", self.out)
+            .option("checkpointLocation", self.checkpoint).trigger(**NOW).start()
+        )
+        query.awaitTermination()
+        return self
+
+    def result(self):
+        return self.spark.read.schema(self.schema).parquet(self.out)
+
+
+def by_time(rows, parts):
+    ordered = sorted(rows, key=lambda r: r[3])
+    size = len(ordered) // parts + 1
+    return [ordered[i : i + size] for i in range(0, len(ordered), size)]
+
+
+def shuffled(rows, within_ms, rng):
+    """Arrival order in which no scan is more than ``within_ms`` late."""
+    return sorted(rows, key=lambda r: to_millis(r[3]) + rng.randrange(within_ms))
+
+
+@pytest.mark.parametrize("late_ms", [1, 29_000])
+def test_stuck_stream_equals_batch_in_any_batch_cutting(spark, tmp_path, late_ms):
+    rng = random.Random(11)
+    rows = random_rows(rng, packages=4, scans=150, span=3 * 3_600_000)
+    arrived = shuffled(rows, late_ms, rng)
+    feed = Feed(spark, tmp_path, stuck.stuck_stream)
+    for i in range(0, len(arrived), 50):
+        feed.step(arrived[i : i + 50])
+    newest = max(to_millis(r[3]) for r in rows)
+    settled = lambda ms: (ms + 600_000) // MINUTE * MINUTE + MINUTE <= newest - 30_000
+    expected = [x for x in brute_stuck(rows, 600_000, newest) if settled(x[2])]
+    got = feed.result().select("package_id", "station", millis("stuck_detail.last_scan_at").alias("ms")).collect()
+    assert sorted(tuple(r) for r in got) == expected
+
+
+def test_journey_stream_closes_sessions_like_the_batch(spark, tmp_path):
+    rng = random.Random(12)
+    rows = random_rows(rng, packages=4, scans=120, span=8 * 3_600_000)
+    arrived = shuffled(rows, 29_000, rng)
+    feed = Feed(spark, tmp_path, lambda s: journeys.closed_sessions(journeys.session_stream(s)))
+    for i in range(0, len(arrived), 40):
+        feed.step(arrived[i : i + 40])
+    newest = max(to_millis(r[3]) for r in rows)
+    expected = [s for s in brute_sessions(rows) if s[2] + GAP <= newest - 30_000]
+    got = feed.result().select("package_id", millis("session_start"), millis("last_scan_at"), "scan_count", "path")
+    assert sorted((r[0], r[1], r[2], r[3], list(r[4])) for r in got.collect()) == expected
+
+
+def test_late_scan_fires_again_then_goes_to_the_side(spark, tmp_path):
+    def build(scans):
+        return journeys.session_stream(scans, lateness_ms=300_000)
+
+    feed = Feed(spark, tmp_path, build)
+    start = BASE
+    end = start + 5_000 + GAP
+    # The journey of "p" stops at its sixth station; another package moves the time past its end.
+    feed.step([scan("p", x, start + i * 1000) for i, x in enumerate("INABQS")] + [scan("q", "I", end + 30_000)])
+    first = feed.result().where("package_id = 'p'").collect()
+    assert [(r.kind, r.scan_count, r.reached_dispatch) for r in first] == [("session", 6, False)]
+    # Late by less than five minutes: judged again, now with the whole path.
+    feed.step([scan("p", "D", start + 4_500)])
+    again = feed.result().where("package_id = 'p' and scan_count = 7").collect()
+    assert [(r.reached_dispatch, len(r.path)) for r in again] == [(True, 7)]
+    # A late scan that moves the end of the session waits for the new end.
+    feed.step([scan("p", "A", start + 6_000)])
+    assert feed.result().where("package_id = 'p'").count() == 2
+    # Far beyond: reported, not judged.
+    feed.step([scan("q", "N", end + 40 * MINUTE)])
+    feed.step([scan("p", "D", start + 7_000)])
+    rows = feed.result().where("package_id = 'p'")
+    assert sorted(r.scan_count for r in rows.where("kind = 'session'").collect()) == [6, 7, 8]
+    late = journeys.late_scans(rows).collect()
+    assert [(r.event_id, to_millis(r.scanned_at)) for r in late] == [(f"e-p-{start + 7_000}", start + 7_000)]
+
+
+def test_late_scan_bridges_two_open_sessions(spark, tmp_path):
+    feed = Feed(spark, tmp_path, lambda s: journeys.session_stream(s, lateness_ms=300_000))
+    feed.step([scan("p", "I", BASE), scan("p", "A", BASE + GAP + 4 * MINUTE)])
+    feed.step([scan("p", "N", BASE + 12 * MINUTE)])
+    feed.step([scan("q", "I", BASE + 4 * GAP)])
+    got = feed.result().where("package_id = 'p'").collect()
+    # The first part had closed on its own before the late scan joined both.
+    assert sorted((r.scan_count, [s[13:] for s in r.path]) for r in got) == [
+        (1, ["INTAKE"]),
+        (3, ["INTAKE", "INDUCTION", "SORT_A"]),
+    ]
+
+
+def test_corrected_alert_keeps_its_id(spark, tmp_path):
+    root, inbox, checkpoint = (str(tmp_path / x) for x in ("wh", "in", "cp"))
+
+    def step(rows):
+        frame(spark, rows).coalesce(1).write.mode("append").parquet(inbox)
+        scans = spark.readStream.schema(frame(spark, []).schema).parquet(inbox)
+        live.start_journeys(scans, root, checkpoint, NOW).awaitTermination()
+
+    end = BASE + 3_000 + GAP
+    step([scan("p", x, BASE + i * 1000) for i, x in enumerate("INAQ")] + [scan("q", "I", end + 30_000)])
+    step([scan("p", "B", BASE + 2_500)])
+    raised = warehouse.read_alerts(spark, root).where("package_id = 'p'").orderBy("inserted_at").collect()
+    assert [a.alert_id for a in raised] == ["misrouting-p", "misrouting-p"]
+    assert [len(a.path_so_far) for a in raised] == [4, 5]
+    latest = A.latest_alerts(warehouse.read_alerts(spark, root)).where("package_id = 'p'").collect()
+    assert [a.expected_station for a in latest] == ["STATION_TYPE_DISPATCH"]
+    counted = A.merge_rollup(warehouse.read_rollup(spark, root), "alert_type").collect()
+    assert [(r.alert_type, r.alert_count) for r in counted] == [("ALERT_TYPE_MISROUTING", 2)]
+
+
+def test_long_session_keeps_bounded_state(spark, tmp_path):
+    rows = [scan("p", x, BASE + i * 100, event=f"a{i}") for i, x in enumerate("INABQSD")]
+    rows += [scan("p", "A", BASE + 1000 + i * 10, event=f"b{i:04d}") for i in range(500)]
+    feed = Feed(spark, tmp_path, lambda s: journeys.session_stream(s, inline_scans=50))
+    feed.step(rows[250:])
+    feed.step(rows[:250] + [scan("q", "I", BASE + 3 * GAP)])
+    feed.step([scan("q", "I", BASE + 4 * GAP)])
+    (r,) = feed.result().where("package_id = 'p'").collect()
+    assert (r.scan_count, len(r.path), r.reached_dispatch) == (507, 50, True)
+    assert [s[13:] for s in r.path[:7]] == ["INTAKE", "INDUCTION", "SORT_A", "SORT_B", "QC_CHECK", "STAGING", "DISPATCH"]
+
+
+def test_dedup_drops_resent_scans_across_batches(spark, tmp_path):
+    feed = Feed(spark, tmp_path, live.dedup)
+    feed.step([scan("p", "I", BASE, event="e1")])
+    feed.step([scan("p", "I", BASE, event="e1"), scan("p", "N", BASE + 1, event="e2")])
+    assert sorted(r.event_id for r in feed.result().collect()) == ["e1", "e2"]
+
+
+def test_positions_keep_the_newest_scan(spark, tmp_path):
+    inbox, root, checkpoint = (str(tmp_path / x) for x in ("in", "wh", "cp"))
+    items = spark.createDataFrame([("i1", "Lamp", "ITEM_CATEGORY_TOYS")], "item_id string, name string, category string")
+    for rows in (
+        [scan("p", "N", BASE + 5000, item="i1"), scan("r", "I", BASE)],
+        [scan("p", "I", BASE + 4000), scan("q", "I", BASE + 6000, item="i9")],
+    ):
+        frame(spark, rows).coalesce(1).write.mode("append").parquet(inbox)
+        scans = spark.readStream.schema(frame(spark, []).schema).parquet(inbox)
+        live.start_positions(scans, items, root, checkpoint, NOW).awaitTermination()
+    got = {r.package_id: (r.station[13:], r.item_name) for r in live.positions_snapshot(spark, root).collect()}
+    assert got == {"p": ("INDUCTION", "Lamp"), "q": ("INTAKE", ""), "r": ("INTAKE", "")}
+
+
+def test_kafka_options():
+    assert stream.PRODUCER_OPTIONS == {"kafka.acks": "all", "kafka.enable.idempotence": "true"}
+
+
+def test_rollup_stream_in_update_mode(spark, tmp_path):
+    rows = [("a1", "ALERT_TYPE_DAMAGE", "SEVERITY_WARNING", "STATION_TYPE_SORT_A", BASE + i) for i in range(5)]
+    df = spark.createDataFrame(rows, "alert_id string, alert_type string, severity string, station string, ms long")
+    df = df.withColumn("detected_at", F.timestamp_millis("ms")).drop("ms")
+    df.write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    query = (
+        live.rollup_stream(source).writeStream.outputMode("update").format("memory").queryName("hours")
+        .trigger(**NOW).start()
+    )
+    query.awaitTermination()
+    assert [r.alert_count for r in spark.table("hours").collect()] == [5]
