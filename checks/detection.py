@@ -457,11 +457,11 @@ def _(t):
 
 @check("scl14_map_default", "select event_id, item_id, '' as missing from scans")
 def _(t):
-    event = F.col("event")
-    return ingest.parse_wire(ingest.encode_scans(t.scans)).select(
-        event["event_id"].alias("event_id"),
-        S.attribute(event["attributes"], "item_id").alias("item_id"),
-        S.attribute(event["attributes"], "no_such_key").alias("missing"),
+    events = ingest.encode_scans(t.scans).select(F.inline(ingest.wire_events()))
+    return events.select(
+        "event_id",
+        S.attribute(F.col("attributes"), "item_id").alias("item_id"),
+        S.attribute(F.col("attributes"), "no_such_key").alias("missing"),
     )
 
 

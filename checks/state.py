@@ -13,6 +13,7 @@ from parcelflow.functions import scalars as S
 from parcelflow.operators import alerts as A
 from parcelflow.operators import cases, floor, ingest, reports
 from parcelflow.plans import api
+from parcelflow.sources import lake
 
 SPINE = f"(select unnest({ROUTE_LIST}) station)"
 POSITION_COLUMNS = "package_id, station, epoch_ms(updated_at) updated_at, item_name, item_category, damage_detected"
@@ -157,6 +158,15 @@ def _(t):
     return floor.queue_depth(t.scans, _noon(t))
 
 
+@check(
+    "agg22_queue_depth_from_pruned_lake",
+    QUEUE_SQL.format(route=ROUTE_LIST, end=f"epoch_ms({NOON})", stale="and p.ms >= tick - 1800000"),
+)
+def _(t):
+    noon = _noon(t)
+    return floor.queue_depth(lake.read_lake_between(t.spark, t.lake_root, noon - timedelta(hours=1), noon), noon)
+
+
 @check(
     "agg22_queue_depth_without_eviction",
     QUEUE_SQL.format(route=ROUTE_LIST, end=f"epoch_ms({NOON})", stale=""),

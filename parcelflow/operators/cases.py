@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from parcelflow import domain
 from parcelflow.functions import scalars as S
-from parcelflow.operators.alerts import latest_flags
 
 _P = domain.DEFAULTS
 
@@ -18,11 +17,14 @@ def with_active_flags(
     positions: DataFrame, alerts: DataFrame, as_of: datetime, lookback_ms: int = _P.flag_lookback_ms
 ) -> DataFrame:
     """Adds ``active_flags``: flag alerts not older than the package's last scan, in fixed order."""
-    per_type = {t: F.max(F.when(F.col("alert_type") == t, F.col("detected_at"))) for t in domain.FLAG_ALERT_TYPES}
+    since = S.to_millis(as_of) - lookback_ms
+    latest = [
+        F.max(F.when(F.col("alert_type") == t, F.col("detected_at"))).alias(t) for t in domain.FLAG_ALERT_TYPES
+    ]
     flags = (
-        latest_flags(alerts, as_of, lookback_ms=lookback_ms)
+        alerts.where(F.col("alert_type").isin(*domain.FLAG_ALERT_TYPES) & (F.col("detected_at") >= S.ts(since)))
         .groupBy("package_id")
-        .agg(*[c.alias(t) for t, c in per_type.items()])
+        .agg(*latest)
     )
     active = F.array_compact(
         F.array(*[F.when(F.col(t) >= F.col("updated_at"), F.lit(t)) for t in domain.FLAG_ALERT_TYPES])

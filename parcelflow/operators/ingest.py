@@ -13,27 +13,26 @@ from parcelflow.functions import scalars as S
 _DAMAGED = "SCAN_RESULT_DAMAGE_DETECTED"
 
 
-def lake_columns(event: str = "event") -> list[Column]:
-    """Lake columns of a decoded scan struct; damage is blank unless the scan reports damage."""
-    e = lambda name: F.col(f"{event}.{name}")
-    damaged = e("result") == _DAMAGED
+def lake_columns() -> list[Column]:
+    """Lake columns of a decoded scan event; damage is blank unless the scan reports damage."""
+    damaged = F.col("result") == _DAMAGED
     damage_type = S.enum_name(
-        e("damage_assessment.damage_type"), domain.DAMAGE_TYPES, "DAMAGE_TYPE_UNSPECIFIED"
+        F.col("damage_assessment.damage_type"), domain.DAMAGE_TYPES, "DAMAGE_TYPE_UNSPECIFIED"
     )
-    text = lambda name: F.coalesce(e(name), F.lit(""))
+    text = lambda name: F.coalesce(F.col(name), F.lit("")).alias(name)
     return [
-        text("event_id").alias("event_id"),
-        text("package_id").alias("package_id"),
-        S.enum_name(e("station"), domain.STATION_TYPES, "STATION_TYPE_UNSPECIFIED").alias("station"),
-        text("scanner_id").alias("scanner_id"),
-        e("scanned_at").alias("scanned_at"),
-        S.enum_name(e("result"), domain.SCAN_RESULTS, "SCAN_RESULT_UNSPECIFIED").alias("result"),
+        text("event_id"),
+        text("package_id"),
+        S.enum_name(F.col("station"), domain.STATION_TYPES, "STATION_TYPE_UNSPECIFIED").alias("station"),
+        text("scanner_id"),
+        F.col("scanned_at"),
+        S.enum_name(F.col("result"), domain.SCAN_RESULTS, "SCAN_RESULT_UNSPECIFIED").alias("result"),
         F.when(damaged, damage_type).otherwise("").alias("damage_type"),
-        F.when(damaged, F.coalesce(e("damage_assessment.confidence"), F.lit(0.0)))
+        F.when(damaged, F.coalesce(F.col("damage_assessment.confidence"), F.lit(0.0)))
         .otherwise(0.0)
         .cast("float")
         .alias("damage_confidence"),
-        S.attribute(e("attributes"), "item_id").alias("item_id"),
+        S.attribute(F.col("attributes"), "item_id").alias("item_id"),
     ]
 
 
@@ -41,19 +40,31 @@ def _known(column: Column, names: tuple[str, ...]) -> Column:
     return F.coalesce(column, F.lit("")).isin("", *names)
 
 
-def parse_wire(wire: DataFrame, fmt: str = "json", **protobuf) -> DataFrame:
-    """Adds the ``event`` struct, NULL where the record cannot be decoded.
+def _usable(event: Column) -> Column:
+    """False for a record without event time, or with an enum name outside its domain."""
+    return (
+        event["scanned_at"].isNotNull()
+        & _known(event["station"], domain.STATION_TYPES)
+        & _known(event["result"], domain.SCAN_RESULTS)
+        & _known(event["damage_assessment"]["damage_type"], domain.DAMAGE_TYPES)
+    )
+
+
+def wire_events(fmt: str = "json", **protobuf) -> Column:
+    """The ``value`` column decoded: an array of one event, empty where it cannot be decoded.
 
     ``value`` is base64 text of the payload. ``fmt='json'`` needs nothing else;
     ``fmt='protobuf'`` uses Spark's protobuf package with ``message_name`` and ``descriptor_path``.
+    An array, because filtering inside it parses each record once; as a plain column the optimizer
+    would copy the parser into every condition that follows.
     """
     payload = F.try_to_binary("value", F.lit("base64"))
     if fmt == "json":
-        parsed = F.from_json(payload.cast("string"), domain.SCAN_EVENT, {"mode": "PERMISSIVE"})
+        event = F.from_json(payload.cast("string"), domain.SCAN_EVENT, {"mode": "PERMISSIVE"})
     elif fmt == "protobuf":
         from pyspark.sql.protobuf.functions import from_protobuf
 
-        parsed = from_protobuf(
+        event = from_protobuf(
             payload,
             protobuf["message_name"],
             protobuf["descriptor_path"],
@@ -61,23 +72,14 @@ def parse_wire(wire: DataFrame, fmt: str = "json", **protobuf) -> DataFrame:
         )
     else:
         raise ValueError(f"unknown wire format: {fmt}")
-    event = F.col("event")
-    # A record without event time, or with an enum name outside its domain, counts as undecodable.
-    usable = (
-        event["scanned_at"].isNotNull()
-        & _known(event["station"], domain.STATION_TYPES)
-        & _known(event["result"], domain.SCAN_RESULTS)
-        & _known(event["damage_assessment"]["damage_type"], domain.DAMAGE_TYPES)
-    )
-    return wire.withColumn("event", parsed).withColumn("event", F.when(usable, event))
+    return F.filter(F.array(event), _usable)
 
 
 def decode_scans(wire: DataFrame, fmt: str = "json", **protobuf) -> tuple[DataFrame, DataFrame]:
     """``(scans, quarantine)``: lake rows, and the wire records that could not be decoded."""
-    parsed = parse_wire(wire, fmt, **protobuf)
-    good = parsed.where(F.col("event").isNotNull()).select(*lake_columns())
-    bad = parsed.where(F.col("event").isNull()).drop("event")
-    return good, bad
+    events = wire_events(fmt, **protobuf)
+    good = wire.select(F.inline(events)).select(*lake_columns())
+    return good, wire.where(F.size(events) == 0)
 
 
 def encode_scans(scans: DataFrame) -> DataFrame:

@@ -52,8 +52,7 @@ def _slot_heads(scans: DataFrame, gap_ms: int, keep: int) -> DataFrame:
         .withColumn("rn", F.row_number().over(order))
         .where(F.col("rn") <= keep)
         .groupBy("package_id", "slot")
-        .agg(F.array_sort(F.collect_list(F.struct("rn", "station"))).alias("head"))
-        .select("package_id", "slot", F.transform("head", lambda x: x["station"]).alias("head"))
+        .agg(F.sort_array(F.collect_list(F.struct("rn", "station"))).getField("station").alias("head"))
     )
 
 
@@ -77,8 +76,10 @@ def sessions(
     """
     if inline_scans < len(domain.ROUTE):
         raise ValueError("inline_scans must cover at least one full route")
+    # Both sides are already partitioned and sorted by the join keys: a merge join adds no shuffle
+    # and no sort, while a broadcast would gather one of these unbounded sides on the driver.
     slots = _slot_summaries(scans, gap_ms).join(
-        _slot_heads(scans, gap_ms, inline_scans), ["package_id", "slot"]
+        _slot_heads(scans, gap_ms, inline_scans).hint("merge"), ["package_id", "slot"]
     )
     in_session = (
         W.partitionBy("package_id", "session_no")
@@ -97,7 +98,7 @@ def sessions(
             F.max("last").alias("last"),
             F.sum("n").alias("scan_count"),
             F.max("dispatched").alias("reached_dispatch"),
-            F.array_sort(F.collect_list(head)).alias("heads"),
+            F.slice(F.flatten(F.sort_array(F.collect_list(head)).getField("head")), 1, inline_scans).alias("path"),
         )
         .select(
             "package_id",
@@ -108,7 +109,7 @@ def sessions(
             "scan_count",
             "reached_dispatch",
             (F.col("scan_count") <= inline_scans).alias("path_complete"),
-            F.slice(F.flatten(F.transform("heads", lambda h: h["head"])), 1, inline_scans).alias("path"),
+            "path",
         )
     )
 
@@ -136,11 +137,11 @@ def first_deviation(path: Column, route: tuple[str, ...] = domain.ROUTE) -> Colu
 
     Only the first ``len(route)`` scans are judged; a path may be shorter than the route.
     """
-    expected = F.array(*[F.lit(s) for s in route])
-    upto = F.least(F.size(path), F.lit(len(route)))
-    steps = F.when(upto > 0, F.sequence(F.lit(0), upto - 1)).otherwise(F.array().cast("array<int>"))
-    wrong = F.filter(steps, lambda i: F.get(path, i) != F.get(expected, i))
-    return F.coalesce(F.try_element_at(wrong, F.lit(1)), F.lit(-1))
+    # Past the end of a short path get() is NULL, and so is the comparison: no deviation there.
+    index = F.when(F.get(path, F.lit(0)) != route[0], 0)
+    for i, station in enumerate(route[1:], start=1):
+        index = index.when(F.get(path, F.lit(i)) != station, i)
+    return index.otherwise(-1)
 
 
 def verdicts(sessions: DataFrame, route: tuple[str, ...] = domain.ROUTE) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date as Date
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +87,14 @@ def read_lake_range(spark: SparkSession, root: str, first: str | Date, last: str
     return read_lake(spark, root).where(span).select(*_WITH_HOUR)
 
 
+def read_lake_between(spark: SparkSession, root: str, floor: datetime, ceiling: datetime) -> DataFrame:
+    """Scans of a closed time range. Spark does not derive the date partitions from a filter on
+    ``scanned_at``, so both filters are given."""
+    at = F.col("scanned_at")
+    days = read_lake_range(spark, root, floor.date(), ceiling.date())
+    return days.where(at.between(S.ts(floor), S.ts(ceiling)))
+
+
 def read_package_scans(spark: SparkSession, root: str, package_id: str) -> DataFrame:
     """All scans of one package in time order, over every date."""
     return (

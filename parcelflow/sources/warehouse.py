@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from parcelflow.operators import alerts as A
 from parcelflow.sources.lake import exists
 
 
-# Stored columns plus the partition columns; batch_id only exists in tables fed by a stream.
+# Stored columns plus the partition columns.
 _ALERT_FILES = T.StructType(
     [
         *domain.ALERT_ROW.fields,
@@ -51,36 +52,30 @@ def _alert_rows(alerts: DataFrame, inserted_at: Column) -> DataFrame:
 def append_alerts(
     alerts: DataFrame, root: str, inserted_at: datetime | None = None, batch_id: int | None = None
 ) -> None:
-    """Appends alerts, and the partial counts they add to the hourly rollup.
+    """Adds a batch of alerts, and the partial counts it adds to the hourly rollup.
 
-    With a ``batch_id`` both writes replace that batch's own directory, so a micro-batch that is
-    repeated after a failure does not count twice.
+    A batch lives in directories of its own: a micro-batch that is repeated after a failure replaces
+    them and does not count twice. Without a ``batch_id`` the batch is new. The counts are taken from
+    the stored batch, so ``alerts`` is computed once.
     """
+    batch = time.time_ns() // 1000 if batch_id is None else batch_id
     stamp = F.current_timestamp() if inserted_at is None else S.ts(inserted_at)
-    rows = _alert_rows(alerts, stamp)
-    partials = A.hourly_rollup(rows)
-    parts = ["detected_date"]
-    hours = ["hour_date"]
-    if batch_id is not None:
-        rows = rows.withColumn("batch_id", F.lit(batch_id))
-        partials = partials.withColumn("batch_id", F.lit(batch_id))
-        parts, hours = ["batch_id", *parts], ["batch_id", *hours]
-    mode = "append" if batch_id is None else "overwrite"
+    stored = f"{alerts_path(root)}/batch_id={batch}"
     (
-        rows.hint("rebalance", "detected_date")
+        _alert_rows(alerts, stamp)
+        .hint("rebalance", "detected_date")
         .sortWithinPartitions("detected_date", "alert_type", "detected_at")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts)
-        .parquet(alerts_path(root))
+        .write.mode("overwrite")
+        .partitionBy("detected_date")
+        .parquet(stored)
     )
     (
-        partials.withColumn("hour_date", F.to_date("hour"))
+        A.hourly_rollup(alerts.sparkSession.read.schema(domain.ALERT_ROW).parquet(stored))
+        .withColumn("hour_date", F.to_date("hour"))
         .hint("rebalance", "hour_date")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*hours)
-        .parquet(rollup_path(root))
+        .write.mode("overwrite")
+        .partitionBy("hour_date")
+        .parquet(f"{rollup_path(root)}/batch_id={batch}")
     )
 
 
@@ -109,20 +104,18 @@ def read_rollup(spark: SparkSession, root: str, floor: datetime | None = None) -
 def drop_expired(spark: SparkSession, root: str, as_of: datetime, days: int = domain.DEFAULTS.alert_retention_days) -> int:
     """Deletes whole day directories that are past retention; returns how many.
 
-    Works on the tables of :func:`append_alerts` with or without batch directories. Only directory
-    names pass through the driver.
+    Only directory names pass through the driver.
     """
     limit = (S.utc(as_of.strftime("%Y-%m-%d")).timestamp() // 86400) - days
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     dropped = 0
-    for depth in ("detected_date=*", "batch_id=*/detected_date=*"):
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{alerts_path(root)}/{depth}")
-        fs = pattern.getFileSystem(conf)
-        for status in fs.globStatus(pattern) or []:
-            day = status.getPath().getName().split("=", 1)[1]
-            if S.utc(day).timestamp() // 86400 < limit:
-                fs.delete(status.getPath(), True)
-                dropped += 1
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{alerts_path(root)}/batch_id=*/detected_date=*")
+    fs = pattern.getFileSystem(conf)
+    for status in fs.globStatus(pattern) or []:
+        day = status.getPath().getName().split("=", 1)[1]
+        if S.utc(day).timestamp() // 86400 < limit:
+            fs.delete(status.getPath(), True)
+            dropped += 1
     return dropped
 
 

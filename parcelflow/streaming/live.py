@@ -79,6 +79,14 @@ def positions_snapshot(spark: SparkSession, root: str) -> DataFrame:
     return newest.select(*domain.POSITION.names)
 
 
+def compact_positions(spark: SparkSession, root: str, target: str) -> None:
+    """Writes the newest positions as one batch of a fresh table under ``target``; the old one stays
+    as it is, so a failed run can be repeated."""
+    versions = spark.read.parquet(positions_path(root)).drop("batch_id")
+    newest = latest_versions(versions, ["package_id"], ["updated_at", "event_id"])
+    newest.write.mode("overwrite").parquet(f"{positions_path(target)}/batch_id=0")
+
+
 def damage_rate_stream(
     scans: DataFrame,
     window_ms: int = _P.damage_window_ms,
@@ -111,12 +119,7 @@ def start_alert_loader(
     """Loads nested alerts into the alert table and adds their hourly partial counts."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        # Two writes per batch: without persisting, the second one would run the stream plan again.
-        batch.persist()
-        try:
-            warehouse.append_alerts(batch, root, batch_id=batch_id)
-        finally:
-            batch.unpersist()
+        warehouse.append_alerts(batch, root, batch_id=batch_id)
 
     return (
         alerts.writeStream.foreachBatch(load)
@@ -137,6 +140,7 @@ def start_journeys(
     options.setdefault("lateness_ms", _P.allowed_lateness_ms)
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        # Two consumers: without persisting, the second one would run the stream plan again.
         batch.persist()
         try:
             alerts = journeys.misrouting_alerts(journeys.closed_sessions(batch))

@@ -171,6 +171,10 @@ def test_positions_keep_the_newest_scan(spark, tmp_path):
         live.start_positions(scans, items, root, checkpoint, NOW).awaitTermination()
     got = {r.package_id: (r.station[13:], r.item_name) for r in live.positions_snapshot(spark, root).collect()}
     assert got == {"p": ("INDUCTION", "Lamp"), "q": ("INTAKE", ""), "r": ("INTAKE", "")}
+    compact = str(tmp_path / "compact")
+    live.compact_positions(spark, root, compact)
+    assert live.positions_snapshot(spark, compact).exceptAll(live.positions_snapshot(spark, root)).count() == 0
+    assert spark.read.parquet(live.positions_path(compact)).count() == 3
 
 
 def test_kafka_options():
