@@ -21,6 +21,8 @@ from parcelflow.sources.shared import shared_dir
 class Testbed:
     """Views over the given tables, and stored tables that are written once when first needed."""
 
+    __test__ = False  # not a pytest class
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = apply_settings(spark)
         self.sf_dir = sf_dir

@@ -7,7 +7,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelflow import domain
-from parcelflow.sources.lake import exists
+from parcelflow.sources.lake import read_stored
 
 log = logging.getLogger(__name__)
 
@@ -18,8 +18,9 @@ def read_items(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
     A missing catalog fails a batch job. The live path goes on without item names: it warns and
     gets an empty catalog.
     """
-    if exists(spark, path):
-        return spark.read.schema(domain.ITEM).parquet(path)
+    stored = read_stored(spark, domain.ITEM, path)
+    if stored is not None:
+        return stored
     if not live:
         raise FileNotFoundError(f"no item catalog at {path}")
     log.warning("no item catalog at %s, positions will show no item", path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date as Date
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,10 +27,14 @@ def events_path(root: str) -> str:
     return f"{root}/scan_events"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on the file system it names (local, HDFS, object store)."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+def read_stored(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame | None:
+    """Parquet files in a declared schema, None when the path does not exist."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def lake_rows(scans: DataFrame) -> DataFrame:
@@ -59,32 +64,30 @@ def write_lake(scans: DataFrame, root: str, mode: str = "append") -> None:
     )
 
 
-def _empty(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], PARTITIONED)
-
-
 def read_lake(spark: SparkSession, root: str) -> DataFrame:
     """The whole lake, empty when nothing was written yet."""
-    path = events_path(root)
-    if not exists(spark, path):
-        return _empty(spark)
-    return spark.read.schema(PARTITIONED).parquet(path)
+    stored = read_stored(spark, PARTITIONED, events_path(root))
+    return spark.createDataFrame([], PARTITIONED) if stored is None else stored
+
+
+def _existing_lake(spark: SparkSession, root: str) -> DataFrame:
+    """Like :func:`read_lake`, but a root that does not exist at all is an error."""
+    stored = read_stored(spark, PARTITIONED, events_path(root))
+    if stored is None and read_stored(spark, PARTITIONED, root) is None:
+        raise FileNotFoundError(f"no lake at {root}")
+    return spark.createDataFrame([], PARTITIONED) if stored is None else stored
 
 
 def read_lake_day(spark: SparkSession, root: str, day: str | Date) -> DataFrame:
     """One event date. No data for it gives 0 rows in the same schema; no lake is an error."""
-    if not exists(spark, root):
-        raise FileNotFoundError(f"no lake at {root}")
-    return read_lake(spark, root).where(F.col("date") == F.lit(str(day)).cast("date")).select(*_WITH_HOUR)
+    return _existing_lake(spark, root).where(F.col("date") == F.lit(str(day)).cast("date")).select(*_WITH_HOUR)
 
 
 def read_lake_range(spark: SparkSession, root: str, first: str | Date, last: str | Date) -> DataFrame:
     """Event dates ``first`` to ``last``, both included, pruned to their partitions."""
-    if not exists(spark, root):
-        raise FileNotFoundError(f"no lake at {root}")
     day = F.col("date")
     span = day.between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
-    return read_lake(spark, root).where(span).select(*_WITH_HOUR)
+    return _existing_lake(spark, root).where(span).select(*_WITH_HOUR)
 
 
 def read_lake_between(spark: SparkSession, root: str, floor: datetime, ceiling: datetime) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from parcelflow import domain
 from parcelflow.functions import scalars as S
 from parcelflow.operators import alerts as A
-from parcelflow.sources.lake import exists
+from parcelflow.sources.lake import read_stored
 
 
 # Stored columns plus the partition columns.
@@ -81,10 +81,9 @@ def append_alerts(
 
 def read_alerts(spark: SparkSession, root: str, floor: datetime | None = None) -> DataFrame:
     """The alert table; ``floor`` filters by time and prunes the day directories."""
-    path = alerts_path(root)
-    if not exists(spark, path):
+    df = read_stored(spark, _ALERT_FILES, alerts_path(root))
+    if df is None:
         return spark.createDataFrame([], domain.ALERT_ROW)
-    df = spark.read.schema(_ALERT_FILES).parquet(path)
     if floor is not None:
         df = df.where(F.col("detected_date") >= F.lit(floor.date())).where(F.col("detected_at") >= S.ts(floor))
     return df.select(*domain.ALERT_ROW.names)
@@ -92,10 +91,9 @@ def read_alerts(spark: SparkSession, root: str, floor: datetime | None = None) -
 
 def read_rollup(spark: SparkSession, root: str, floor: datetime | None = None) -> DataFrame:
     """Partial hourly counts; merge them with ``alerts.merge_rollup``."""
-    path = rollup_path(root)
-    if not exists(spark, path):
+    df = read_stored(spark, _ROLLUP_FILES, rollup_path(root))
+    if df is None:
         return spark.createDataFrame([], domain.ROLLUP_ROW)
-    df = spark.read.schema(_ROLLUP_FILES).parquet(path)
     if floor is not None:
         df = df.where(F.col("hour_date") >= F.lit(floor.date()))
     return df.select(*domain.ROLLUP_ROW.names)
