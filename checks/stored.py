@@ -122,6 +122,16 @@ def _(t):
     return t.alerts
 
 
+@check(
+    "snk4_alerts_since_a_time",
+    """select alert_id, detected_ms detected_at from alerts
+    where detected_at >= (select t from as_of) - interval '7' day""",
+)
+def _(t):
+    since = t.as_of - timedelta(days=7)
+    return warehouse.read_alerts(t.spark, t.warehouse_root, floor=since).select("alert_id", "detected_at")
+
+
 @check(
     "agg4_hourly_rollup",
     """select epoch_ms(hour_at) as "hour", alert_type, severity, station, alert_count from rollup""",
@@ -346,7 +356,9 @@ FACILITY = {
 
 def _facility(t, frame: str):
     span = resolve_range("week", as_of=t.as_of)
-    return api.facility_stats(t.throughput, t.by_category, t.rollup, t.alerts, span)[frame]
+    # With a floor the alert table is read from its day directories only.
+    alerts = warehouse.read_alerts(t.spark, t.warehouse_root, floor=span.floor)
+    return api.facility_stats(t.throughput, t.by_category, t.rollup, alerts, span)[frame]
 
 
 for _frame, (_name, _sql) in FACILITY.items():

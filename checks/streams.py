@@ -18,6 +18,25 @@ from parcelflow.streaming import journeys, live, stuck
 NOW = {"availableNow": True}
 
 
+def stream_check(name: str, sql: str):
+    """Like ``check``. The number of state partitions is fixed by the first batch of a stream, with a
+    state store each: these streams start with one per core at most."""
+
+    def register(build):
+        def run(t):
+            setting, cores = "spark.sql.shuffle.partitions", t.spark.sparkContext.defaultParallelism
+            before = t.spark.conf.get(setting)
+            t.spark.conf.set(setting, str(min(int(before), cores)))
+            try:
+                return build(t)
+            finally:
+                t.spark.conf.set(setting, before)
+
+        return check(name, sql)(run)
+
+    return register
+
+
 def files(t, df: DataFrame, name: str) -> DataFrame:
     """A table as a file stream."""
     path = t.folder(name)
@@ -49,7 +68,7 @@ def alert_wire_stream(t) -> DataFrame:
     return files(t, A.encode_alerts(t.detected()), "alert-wire")
 
 
-@check("src1_scan_stream_from_wire", f"select {LAKE_COLUMNS} from scans")
+@stream_check("src1_scan_stream_from_wire", f"select {LAKE_COLUMNS} from scans")
 def _(t):
     path = t.folder("wire")
     stream.publish(ingest.encode_scans(t.scans), fmt="parquet", path=path)
@@ -57,14 +76,14 @@ def _(t):
     return collected(t, scans, "decoded")
 
 
-@check("snk1_published_scans", "select package_id as key, count(*) as records from scans group by 1")
+@stream_check("snk1_published_scans", "select package_id as key, count(*) as records from scans group by 1")
 def _(t):
     path = t.folder("published")
     stream.publish(ingest.encode_scans(t.scans), fmt="parquet", path=path)
     return t.spark.read.schema(stream.WIRE).parquet(path).groupBy("key").agg(F.count(F.lit(1)).alias("records"))
 
 
-@check("snk2_published_alerts", f"select {ALERT_COLUMNS} from alerts")
+@stream_check("snk2_published_alerts", f"select {ALERT_COLUMNS} from alerts")
 def _(t):
     nested, _ = A.decode_alerts(alert_wire_stream(t))
     out = t.folder("alert-topic")
@@ -76,7 +95,7 @@ def _(t):
     return A.flatten_alerts(A.decode_alerts(t.spark.read.schema(stream.WIRE).parquet(out))[0])
 
 
-@check(
+@stream_check(
     "snk3_lake_stream_with_restart",
     f"""select {LAKE_COLUMNS}, cast(cast(scanned_at as date) as varchar) as "date",
       cast(hour(scanned_at) as int) as "hour" from scans""",
@@ -92,7 +111,7 @@ def _(t):
     return lake.read_lake(t.spark, root)
 
 
-@check("snk4_alert_loader_stream", f"select {ALERT_COLUMNS} from alerts")
+@stream_check("snk4_alert_loader_stream", f"select {ALERT_COLUMNS} from alerts")
 def _(t):
     root = t.folder("loaded")
     nested, _ = A.decode_alerts(alert_wire_stream(t))
@@ -100,7 +119,7 @@ def _(t):
     return warehouse.read_alerts(t.spark, root).drop("inserted_at")
 
 
-@check(
+@stream_check(
     "str7_incremental_rollup",
     """select epoch_ms(hour_at) as "hour", alert_type, severity, station, alert_count from rollup""",
 )
@@ -116,7 +135,7 @@ def _(t):
     return A.merge_rollup(warehouse.read_rollup(t.spark, root), "hour", "alert_type", "severity", "station")
 
 
-@check(
+@stream_check(
     "str4_stuck_stream",
     f"""select concat('stuck-', package_id, '-', last_ms + {SIX_HOURS}) alert_id, package_id, station,
       last_ms + {SIX_HOURS} detected_at, 21600 stuck_duration_seconds
@@ -145,20 +164,20 @@ where (dev <> -1 or not reached)
 JOURNEY_COLUMNS = ["package_id", "severity", "expected_station", "actual_station", "path_so_far", "detected_at"]
 
 
-@check("str5_journey_stream", _closed_sql(HALF_DAY))
+@stream_check("str5_journey_stream", _closed_sql(HALF_DAY))
 def _(t):
     found = collected(t, journeys.journey_stream(long_stream(t), gap_ms=HALF_DAY), "journeys")
     return A.flatten_alerts(found).select(*JOURNEY_COLUMNS)
 
 
-@check("str6_journey_stream_refire", _closed_sql(HALF_DAY))
+@stream_check("str6_journey_stream_refire", _closed_sql(HALF_DAY))
 def _(t):
     root = t.folder("refire")
     finish(live.start_journeys(long_stream(t), root, t.folder("refire-checkpoint"), NOW, gap_ms=HALF_DAY))
     return warehouse.read_alerts(t.spark, root).select(*JOURNEY_COLUMNS)
 
 
-@check(
+@stream_check(
     "str8_position_table",
     """select package_id, station, epoch_ms(updated_at) updated_at, item_name, item_category, damage_detected
     from positions""",
@@ -169,14 +188,14 @@ def _(t):
     return live.positions_snapshot(t.spark, root)
 
 
-@check("str9_dedup_within_watermark", f"select {LAKE_COLUMNS} from scans")
+@stream_check("str9_dedup_within_watermark", f"select {LAKE_COLUMNS} from scans")
 def _(t):
     rows = lake.lake_rows(t.scans).drop("date", "hour")
     resent = rows.where("result <> 'SCAN_RESULT_OK'")
     return collected(t, live.dedup(files(t, rows.unionByName(resent), "resent")), "deduplicated")
 
 
-@check(
+@stream_check(
     "str12_damage_rate_stream",
     """select end_ms window_end, d / cast(n as double) damage_rate, n sample_size from (
       select end_ms, count(*) n, count(*) filter (result = 'SCAN_RESULT_DAMAGE_DETECTED') d from (
@@ -188,7 +207,7 @@ def _(t):
     return collected(t, live.damage_rate_stream(scan_stream(t)), "damage-rate")
 
 
-@check(
+@stream_check(
     "set2_live_feed_stream",
     """select package_id, epoch_ms(scanned_at) at_ms, station position_station, null alert_id from scans
     union all select package_id, detected_ms, null, alert_id from alerts""",
@@ -204,7 +223,7 @@ def _(t):
     )
 
 
-@check(
+@stream_check(
     "jn7_interval_join_of_streams",
     """select a.alert_id, s.event_id, s.station, epoch_ms(s.scanned_at) scanned_at
     from damage a join scans s on s.package_id = a.package_id

@@ -145,6 +145,16 @@ PARCEL_SORT_FIELDS = ("dwell_time", "detected_at", "package_id")
 RANGE_PRESET_DAYS = {"today": 1, "week": 7, "month": 30}
 CSV_HEADER = ("Parcel ID", "Issue", "Station", "Detected At")
 
+# Texts, ids and formats.
+MISROUTING_ID = "misrouting-"
+MISROUTING_EXPECTED = "Package journey diverged from expected path: expected "
+MISROUTING_OBSERVED = ", observed path ends at "
+STUCK_ID = "stuck-"
+STUCK_AT = "Package stuck at "
+STUCK_FOR = " for {threshold} with no further scan"
+SEED_ID = "seed-"
+REASON_DAMAGE = "damage detected: "
+ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 REASON_UNREADABLE = "barcode unreadable, needs manual identification"
 REASON_FINAL_STATION = "package has reached final station"
 

@@ -46,7 +46,7 @@ def seed_alerts(flagged: DataFrame) -> DataFrame:
     """Historical flagged rows as placeholder alerts."""
     return flagged.select(
         F.concat(
-            F.lit("seed-"), "package_id", F.lit("-"), S.millis("detected_at").cast("string")
+            F.lit(domain.SEED_ID), "package_id", F.lit("-"), S.millis("detected_at").cast("string")
         ).alias("alert_id"),
         "package_id",
         "alert_type",

@@ -23,14 +23,14 @@ def stuck_alert_columns(package: Column, station: Column, last_ms: Column, thres
     """The nested alert of a package whose last scan at ``last_ms`` had no follow-up in time."""
     fire_ms = last_ms + F.lit(threshold_ms)
     return [
-        F.concat(F.lit("stuck-"), package, F.lit("-"), fire_ms.cast("string")).alias("alert_id"),
+        F.concat(F.lit(domain.STUCK_ID), package, F.lit("-"), fire_ms.cast("string")).alias("alert_id"),
         package.alias("package_id"),
         F.lit("ALERT_TYPE_STUCK_PACKAGE").alias("alert_type"),
         F.lit("SEVERITY_WARNING").alias("severity"),
         F.concat(
-            F.lit("Package stuck at "),
+            F.lit(domain.STUCK_AT),
             station,
-            F.lit(f" for {threshold_text(threshold_ms)} with no further scan"),
+            F.lit(domain.STUCK_FOR.format(threshold=threshold_text(threshold_ms))),
         ).alias("message"),
         station.alias("station"),
         F.timestamp_millis(fire_ms).alias("detected_at"),

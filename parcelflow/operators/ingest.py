@@ -128,7 +128,7 @@ def route(scans: DataFrame, issued_at: datetime) -> DataFrame:
         F.when(unreadable | damaged | last_stop, "").otherwise(S.lane(following)).alias("next_lane_id"),
         F.when(unreadable, "STATION_TYPE_UNSPECIFIED").otherwise(following).alias("next_station"),
         F.when(unreadable, domain.REASON_UNREADABLE)
-        .when(damaged, F.concat(F.lit("damage detected: "), damage))
+        .when(damaged, F.concat(F.lit(domain.REASON_DAMAGE), damage))
         .when(last_stop, domain.REASON_FINAL_STATION)
         .otherwise("")
         .alias("reason"),

@@ -167,16 +167,16 @@ def misrouting_alerts(sessions: DataFrame, route: tuple[str, ...] = domain.ROUTE
         verdicts(sessions, route)
         .where("misrouted")
         .select(
-            F.concat(F.lit("misrouting-"), "package_id").alias("alert_id"),
+            F.concat(F.lit(domain.MISROUTING_ID), "package_id").alias("alert_id"),
             "package_id",
             F.lit("ALERT_TYPE_MISROUTING").alias("alert_type"),
             F.when(F.col("reached_dispatch"), "SEVERITY_WARNING")
             .otherwise("SEVERITY_CRITICAL")
             .alias("severity"),
             F.concat(
-                F.lit("Package journey diverged from expected path: expected "),
+                F.lit(domain.MISROUTING_EXPECTED),
                 "expected_station",
-                F.lit(", observed path ends at "),
+                F.lit(domain.MISROUTING_OBSERVED),
                 "actual_station",
             ).alias("message"),
             F.lit("STATION_TYPE_UNSPECIFIED").alias("station"),

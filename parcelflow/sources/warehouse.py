@@ -157,7 +157,7 @@ def csv_rows(flagged: DataFrame) -> DataFrame:
         F.col("package_id").alias(names[0]),
         S.alert_label(F.col("alert_type"), "Alert").alias(names[1]),
         S.station_label(F.col("station"), "").alias(names[2]),
-        F.date_format("detected_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias(names[3]),
+        F.date_format("detected_at", domain.ISO_MILLIS).alias(names[3]),
     )
 
 

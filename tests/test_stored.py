@@ -124,6 +124,17 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     assert merged.alert_count == 2
 
 
+def test_alerts_since_a_time_prune_days(spark, tmp_path):
+    root = str(tmp_path)
+    df = nested(spark, "ALERT_TYPE_STUCK_PACKAGE", "STATION_TYPE_SORT_A")
+    for back in (0, 3, 9):
+        warehouse.append_alerts(df.withColumn("detected_at", F.lit(DAY - timedelta(days=back))), root)
+    recent = warehouse.read_alerts(spark, root, floor=DAY - timedelta(days=3))
+    assert recent.count() == 2
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(detected_date" in plan
+
+
 def test_empty_warehouse(spark, tmp_path):
     assert warehouse.read_alerts(spark, str(tmp_path)).schema == domain.ALERT_ROW
     assert warehouse.read_rollup(spark, str(tmp_path)).count() == 0
