@@ -32,13 +32,14 @@ def _slotted(scans: DataFrame, gap_ms: int) -> DataFrame:
 
 
 def _slot_summaries(scans: DataFrame, gap_ms: int) -> DataFrame:
+    # Fixed-width values only, so that Spark aggregates by hash, without sorting the scans.
     return (
         _slotted(scans, gap_ms)
         .groupBy("package_id", "slot")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min("at_ms").alias("first_ms"),
-            F.max(F.struct("at_ms", "event_id", "station")).alias("last"),
+            F.max("at_ms").alias("last_ms"),
             F.max(F.col("station") == domain.DISPATCH).alias("dispatched"),
         )
     )
@@ -59,7 +60,7 @@ def _slot_heads(scans: DataFrame, gap_ms: int, keep: int) -> DataFrame:
 def _number_sessions(summaries: DataFrame, gap_ms: int) -> DataFrame:
     """Adds ``session_no`` per package; a scan exactly one gap later stays in the session."""
     by_time = W.partitionBy("package_id").orderBy("slot")
-    away = F.col("first_ms") - F.lag(F.col("last.at_ms")).over(by_time)
+    away = F.col("first_ms") - F.lag("last_ms").over(by_time)
     return summaries.withColumn("opens", F.coalesce(away > gap_ms, F.lit(True)).cast("int")).withColumn(
         "session_no", F.sum("opens").over(by_time)
     )
@@ -76,8 +77,8 @@ def sessions(
     """
     if inline_scans < len(domain.ROUTE):
         raise ValueError("inline_scans must cover at least one full route")
-    # Both sides are already partitioned and sorted by the join keys: a merge join adds no shuffle
-    # and no sort, while a broadcast would gather one of these unbounded sides on the driver.
+    # Both sides are already partitioned by the join keys, so a merge join adds no shuffle, while a
+    # broadcast would gather one of these unbounded sides on the driver.
     slots = _slot_summaries(scans, gap_ms).join(
         _slot_heads(scans, gap_ms, inline_scans).hint("merge"), ["package_id", "slot"]
     )
@@ -95,7 +96,7 @@ def sessions(
         numbered.groupBy("package_id", "session_no")
         .agg(
             F.min("first_ms").alias("first_ms"),
-            F.max("last").alias("last"),
+            F.max("last_ms").alias("last_ms"),
             F.sum("n").alias("scan_count"),
             F.max("dispatched").alias("reached_dispatch"),
             F.slice(F.flatten(F.sort_array(F.collect_list(head)).getField("head")), 1, inline_scans).alias("path"),
@@ -103,9 +104,8 @@ def sessions(
         .select(
             "package_id",
             F.timestamp_millis("first_ms").alias("session_start"),
-            F.timestamp_millis(F.col("last.at_ms") + gap_ms).alias("session_end"),
-            F.timestamp_millis("last.at_ms").alias("last_scan_at"),
-            F.col("last.station").alias("last_station"),
+            F.timestamp_millis(F.col("last_ms") + gap_ms).alias("session_end"),
+            F.timestamp_millis("last_ms").alias("last_scan_at"),
             "scan_count",
             "reached_dispatch",
             (F.col("scan_count") <= inline_scans).alias("path_complete"),
@@ -145,14 +145,22 @@ def first_deviation(path: Column, route: tuple[str, ...] = domain.ROUTE) -> Colu
 
 
 def verdicts(sessions: DataFrame, route: tuple[str, ...] = domain.ROUTE) -> DataFrame:
-    """Sessions plus ``deviation_index``, ``misrouted`` and the station pair that shows it."""
+    """Sessions plus ``deviation_index``, ``misrouted`` and the station pair that shows it.
+
+    Without a deviation the actual station is the last one. A misrouted session of that kind is
+    shorter than the route, so its path is always complete; for a clean session with an incomplete
+    path it is NULL.
+    """
     dev = F.col("deviation_index")
     expected = F.array(*[F.lit(s) for s in route])
     return (
         sessions.withColumn("deviation_index", first_deviation(F.col("path"), route))
         .withColumn("misrouted", (dev != -1) | ~F.col("reached_dispatch"))
         .withColumn("expected_station", F.coalesce(F.get(expected, dev), F.lit(route[-1])))
-        .withColumn("actual_station", F.when(dev != -1, F.get("path", dev)).otherwise(F.col("last_station")))
+        .withColumn(
+            "actual_station",
+            F.when(dev != -1, F.get("path", dev)).when(F.col("path_complete"), F.try_element_at("path", F.lit(-1))),
+        )
     )
 
 

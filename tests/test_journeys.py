@@ -130,5 +130,5 @@ def test_inline_limit_must_cover_the_route(spark):
 def test_slots_are_reduced_before_the_shuffle(spark):
     plan = journeys.sessions(journey(spark, "INA"))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
-    assert "partial_max" in plan
+    assert "partial_max" in plan and "HashAggregate" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
