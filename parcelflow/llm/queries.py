@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import sharding
+from parcelflow.llm import decontaminate, sharding
 from parcelflow.llm.common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def query(name: str, sql: str | None = None):
 @query("op1_sharding")
 def op1(spark, sf_dir):
     return sharding.document_shards(table(spark, sf_dir, "documents"), shards=8)
+
+
+@query("op4_decontamination")
+def op4(spark, sf_dir):
+    return decontaminate.document_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
