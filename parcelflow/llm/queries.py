@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import decontaminate, packing, sharding
+from parcelflow.llm import decontaminate, packing, sharding, toxicity
 from parcelflow.llm.common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ def op4(spark, sf_dir):
 @query("op7_packing")
 def op7(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op8_toxicity")
+def op8(spark, sf_dir):
+    return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
