@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +70,24 @@ def held_out(doc_id: str | Column) -> Column:
     """True where crc32 of the id's decimal text leaves 1 modulo 3: rows no label is learnt from. A null id is not held out."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def map_texts(documents: DataFrame, added: dict[str, str], make, keep: list[str] | None = None) -> DataFrame:
+    """``documents`` (or its columns ``keep``) with columns computed from each whole ``text``, batch by batch.
+
+    ``added``: name to type. ``make()`` runs once in a task and returns a function from a batch's UTF-8
+    texts (None for null) to one Arrow array for each added column. An added name replaces a clashing column.
+    """
+    names = [c for c in (documents.columns if keep is None else keep) if c not in added]
+    schema = [f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in names]
+    schema += [f"`{c}` {kind}" for c, kind in added.items()]
+    out = [*names, *added]
+
+    def run(batches):
+        of = make()
+        for batch in batches:
+            arrays = of(batch.column(len(names)).to_pylist())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), *arrays], out)
+
+    source = documents.select(*[F.col(f"`{c}`") for c in names], utf8("text").alias("__utf8"))
+    return source.mapInArrow(run, ", ".join(schema))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import decontaminate, packing, sharding, toxicity
+from parcelflow.llm import decontaminate, packing, quality, sharding, simhash, toxicity
 from parcelflow.llm.common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,13 @@ def op7(spark, sf_dir):
 @query("op8_toxicity")
 def op8(spark, sf_dir):
     return toxicity.document_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_quality")
+def op5(spark, sf_dir):
+    return quality.document_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_simhash")
+def op2(spark, sf_dir):
+    return simhash.document_classes(table(spark, sf_dir, "documents"))

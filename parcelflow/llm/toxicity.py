@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import held_out, utf8
+from parcelflow.llm.common import held_out, map_texts, utf8
 from parcelflow.llm.labelled import fit_logistic, label_sample
 
 #: Labelled documents of each class to learn from, about, and the text of both classes that is read at most.
@@ -174,47 +174,25 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     return train(sorted(rows), stands_for)
 
 
-def with_score(documents: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
-    """``documents`` with a score from 0 to 1 of each whole text."""
-    kept = [c for c in documents.columns if c != column]
-    schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in kept)
+def with_score(documents: DataFrame, model: Model, column: str = "toxicity", keep: list[str] | None = None) -> DataFrame:
+    """``documents`` (or its columns ``keep``) with a score from 0 to 1 of each whole text."""
 
-    def run(batches):
+    def make():
         score = model.scorer()
-        for batch in batches:
-            scores = score(batch.column("__bytes").to_pylist())
-            columns = [batch.column(c) for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], [*kept, column])
+        return lambda texts: [pa.array(score(texts), pa.float64())]
 
-    return documents.select(*[F.col(f"`{c}`") for c in kept], utf8("text").alias("__bytes")).mapInArrow(
-        run, f"{schema}, `{column}` double"
-    )
+    return map_texts(documents, {column: "double"}, make, keep)
 
 
 def document_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` (1 from ``REJECT`` on) of every document."""
-    narrow = documents.select("doc_id", "text")
-    scored = with_score_only(narrow, fit(narrow, labels))
+    scored = with_score(documents, fit(documents, labels), "score", keep=["doc_id"])
     return scored.select(
         "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= REJECT).cast("int").alias("predicted")
     )
 
 
-def with_score_only(documents: DataFrame, model: Model) -> DataFrame:
-    """``doc_id`` and ``score``, without carrying the text along."""
-
-    def run(batches):
-        score = model.scorer()
-        for batch in batches:
-            scores = pa.array(score(batch.column(1).to_pylist()), pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), scores], ["doc_id", "score"])
-
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", utf8("text").alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
-
-
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents below the rejection score, with their columns as they were."""
-    model = fit(documents, labels)
-    scored = with_score(documents, model, "__toxicity").where(F.col("__toxicity") < REJECT)
+    scored = with_score(documents, fit(documents, labels), "__toxicity").where(F.col("__toxicity") < REJECT)
     return scored.select(*[f"`{c}`" for c in documents.columns])
