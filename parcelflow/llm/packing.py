@@ -22,10 +22,10 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
+import struct
 import zlib
-from itertools import chain
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -39,54 +39,92 @@ END_ID = 1
 SHARD_PIECES = 1 << 22
 #: Parts in which the pieces of one size and shard are numbered.
 PARTS = 256
-#: Chunks a worker remembers, and the longest that it does.
-CACHE_CHUNKS = 200_000
+#: Chunks that a Python worker remembers (some 100 MB), and the bytes of the longest that it does.
+CACHE_CHUNKS = 500_000
 CACHE_BYTES = 48
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
-class ChunkTokenizer:
-    """Token ids of whole texts, by chunks between ASCII white space.
+#: Lower-case words of ASCII and Latin-1 letters: already normal, and one token group each.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The byte-level alphabet: printable Latin-1 stands for itself, the other bytes follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
+class ChunkTokenizer(dict):
+    """Token ids (little-endian, unsigned, 32 bits) of chunks between ASCII white space, looked up or made.
 
     No token of the word-level vocabulary reaches across white space, and neither normalization nor
-    lower-casing does, so the ids of a text are those of its chunks in a row; frequent chunks are
-    looked up.
+    lower-casing does, so the ids of a text are those of its chunks in a row. Sentence marks at the end
+    of a chunk, after an ASCII letter or digit, are tokens of their own and are looked up apart. Plain
+    words go straight to the tokenizer's model, all others through the whole tokenizer.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
-        self.known: dict[bytes, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.before: dict[bytes, bytes] = {}
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        out = self.before.get(chunk)
+        if out is not None:
+            self[chunk] = out
+            return out
+        core = chunk.rstrip(b".,!?;:")
+        if len(core) < len(chunk) and core[-1:].isalnum():
+            out = self[core] + self[chunk[len(core) :]]
+        else:
+            if _PLAIN.fullmatch(chunk):
+                ids = [t.id for t in self.model.tokenize(chunk.decode("latin-1").translate(self.letters))]
+            else:
+                ids = self.tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
+            out = struct.pack(f"<{len(ids)}I", *ids)
+        if len(chunk) <= CACHE_BYTES:
+            self[chunk] = out
+        return out
 
     def ids(self, texts: list[bytes | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, with the end id."""
-        split = [t.split() if t else [] for t in texts]
-        new = list(set(chain.from_iterable(split)) - self.known.keys())
-        if len(self.known) + len(new) > CACHE_CHUNKS:
-            self.known = {}
-            new = list(set(chain.from_iterable(split)))
-        table = self.known
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            found = self.encode([c.decode("utf-8", "replace") for c in part], add_special_tokens=False)
-            table.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(part, found, strict=True))
-        end = END_ID.to_bytes(4, "little")
-        out = [b"".join(map(table.__getitem__, s)) + end for s in split]
-        for c in new:
-            if len(c) > CACHE_BYTES:
-                del table[c]
+        """The ids of each text, with the end id.
+
+        A-Z is lower-cased first, as the tokenizer does, except in texts that could hold a special token
+        (these are matched before lower-casing).
+        """
+        end, out = END_ID.to_bytes(4, "little"), []
+        for t in texts:
+            if len(self) > CACHE_CHUNKS:  # chunks seen since the last time stay at hand, the others go
+                self.before = dict(self)
+                self.clear()
+            out.append(b"".join(map(self.__getitem__, (t if b"<|" in t else t.lower()).split())) + end if t else end)
         return out
 
 
+_tokenizers: dict[str, ChunkTokenizer] = {}
+
+
+def tokenizer_of(path: str) -> ChunkTokenizer:
+    """The tokenizer that the tasks of one Python worker share."""
+    if path not in _tokenizers:
+        _tokenizers[path] = ChunkTokenizer(path)
+    return _tokenizers[path]
+
+
 def tokenized_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: ``doc_id``, ``piece`` (from 0), ``start`` (ids before it), ``length``, ``ids_crc32``."""
     step = 4 * capacity
 
     def run(batches):
-        tokenizer = ChunkTokenizer(tokenizer_path)
+        tokenizer = tokenizer_of(tokenizer_path)
         for batch in batches:
             ids = tokenizer.ids(batch.column(1).to_pylist())
             cuts = [(d, i, b[i * step : (i + 1) * step]) for d, b in enumerate(ids) for i in range(-(-len(b) // step))]
