@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import decontaminate, packing, quality, sharding, simhash, toxicity
+from parcelflow.llm import cover_tree, decontaminate, packing, quality, sharding, simhash, toxicity
 from parcelflow.llm.common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def op5(spark, sf_dir):
 @query("op2_simhash")
 def op2(spark, sf_dir):
     return simhash.document_classes(table(spark, sf_dir, "documents"))
+
+
+@query("op10_embeddings")
+def op10(spark, sf_dir):
+    return cover_tree.vector_classes(table(spark, sf_dir, "embeddings"))
