@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import cover_tree, decontaminate, packing, quality, sharding, simhash, toxicity
+from parcelflow.llm import cover_tree, decontaminate, packing, quality, sharding, simhash, site_tree, toxicity, urls
 from parcelflow.llm.common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,13 @@ def op2(spark, sf_dir):
 @query("op10_embeddings")
 def op10(spark, sf_dir):
     return cover_tree.vector_classes(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_url_filter", urls.verdict_sql())
+def op6(spark, sf_dir):
+    return urls.page_verdicts(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_html_extraction")
+def op9(spark, sf_dir):
+    return site_tree.page_texts(table(spark, sf_dir, "pages"))
