@@ -2,9 +2,10 @@
 
 Outcomes of labelled pages (bad or not) are counted per host. Reputation is shrunk downwards through
 beta-binomial priors: the suffix (last label) towards all pages, the registered domain (last two labels)
-towards its suffix, the host towards its domain. The strength of the prior of a level, in pages, comes
-from the data by the method of moments: the spread of the group shares around their parents beyond what
-chance gives. A host is blocked if the lower bound of its bad share reaches ``BLOCK_SHARE``.
+towards its suffix, the host towards its domain. A group's prior is its parent without the group itself.
+The strength of the priors of a level, in pages, comes from the data by the method of moments (the spread
+of the group shares around their priors beyond what chance gives) and is never more than the evidence
+behind the prior. A host is blocked if the lower bound of its bad share reaches ``BLOCK_SHARE``.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path; hosts without labelled
 pages have the reputation of their domain, suffix or all pages; without any label everything that no
@@ -96,26 +97,38 @@ def reputations(outcomes: DataFrame) -> DataFrame:
         .withColumn("suffix", _parent("host", SUFFIX)),
         "hosts",
     )
-    total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
+    counts = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    total = hosts.agg(*counts).first()
     share = total["bad"] / total["n"] if total["n"] else 0.0
-    suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("prior", F.lit(share))
-    suffixes = store(_posterior(suffixes, _strength(suffixes)), "suffixes")
-    domains = (
-        hosts.groupBy("domain", "suffix")
-        .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-        .join(suffixes.select("suffix", F.col("share").alias("prior")), "suffix")
+    all_pages = [F.lit(float(x)) for x in (total["n"] or 0, total["bad"] or 0, WEAKEST, share)]
+    suffixes = _level(hosts.groupBy("suffix").agg(*counts), all_pages)
+    domains = hosts.groupBy("domain", "suffix").agg(*counts)
+    domains = _level(domains.join(_as_parent(suffixes, "suffix"), "suffix"))
+    placed = _level(hosts.join(_as_parent(domains, "domain"), "domain"))
+    weight = F.col("n") + F.col("strength")
+    mean = (F.col("bad") + F.col("strength") * F.col("prior")) / weight
+    bound = F.col("share") - F.lit(DEVIATIONS) * F.sqrt(F.col("share") * (1 - F.col("share")) / (weight + 1))
+    return (
+        placed.withColumn("share", mean)
+        .withColumn("bound", bound)
+        .select("host", "n", "bad", "share", "bound", (F.col("bound") >= F.lit(BLOCK_SHARE)).alias("blocked"))
     )
-    domains = store(domains, "domains")
-    domains = store(_posterior(domains, _strength(domains)), "domains")
-    placed = store(hosts.join(domains.select("domain", F.col("share").alias("prior")), "domain"), "placed")
-    return _posterior(placed, _strength(placed)).select("host", "n", "bad", "share", "bound", "blocked")
 
 
-def _posterior(groups: DataFrame, strength: float) -> DataFrame:
-    weight = F.col("n").cast("double") + F.lit(strength)
-    share = (F.col("bad").cast("double") + F.lit(strength) * F.col("prior")) / weight
-    bound = F.col("share") - F.lit(DEVIATIONS) * F.sqrt(F.col("share") * (1 - F.col("share")) / (weight + 1))
-    return groups.withColumn("share", share).withColumn("bound", bound).withColumn("blocked", F.col("bound") >= F.lit(BLOCK_SHARE))
+_PARENT = ("parent_n", "parent_bad", "parent_strength", "parent_prior")
+
+
+def _as_parent(groups: DataFrame, key: str) -> DataFrame:
+    return groups.select(key, *[F.col(c.removeprefix("parent_")).alias(c) for c in _PARENT])
+
+
+def _level(groups: DataFrame, parent: list[Column] | None = None) -> DataFrame:
+    """``groups(n, bad)`` with the ``prior`` share and its ``strength``, stored."""
+    n, bad, strength, prior = parent or [F.col(c).cast("double") for c in _PARENT]
+    evidence = n - F.col("n") + strength
+    own = (bad - F.col("bad") + strength * prior) / evidence
+    placed = store(groups.withColumn("prior", own).withColumn("evidence", evidence).drop(*_PARENT), "level")
+    return placed.withColumn("strength", F.least(F.lit(_strength(placed)), F.col("evidence")))
 
 
 def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
@@ -159,9 +172,25 @@ def verdict_sql(rules=RULES) -> str:
       / (sum(n * (bad / n - prior) * (bad / n - prior)) - sum(prior * (1 - prior))) - 1)) end
     from {groups} where n > 0)"""
 
-    def share(groups: str) -> str:
-        return f"(bad + {strength(groups)} * prior) / (n + {strength(groups)})"
-
+    def level(name: str, groups: str, n: str, bad: str, weight: str, prior: str) -> str:
+        return f"""{name}0 as materialized (
+  select *, ({bad} - bad + {weight} * {prior}) / ({n} - n + {weight}) prior, {n} - n + {weight} evidence from ({groups})),
+{name} as materialized (select *, least({strength(name + "0")}, evidence) strength from {name}0)"""
+
+    above = ("parent_n", "parent_bad", "parent_strength", "parent_prior")
+    parent = "n parent_n, bad parent_bad, strength parent_strength, prior parent_prior"
+    counts = "sum(n) n, sum(bad) bad"
+    all_n, all_bad = "(select coalesce(sum(n), 0) from hosts)", "(select coalesce(sum(bad), 0) from hosts)"
+    levels = ",\n".join(
+        [
+            level("suffixes", f"select suffix, {counts} from hosts group by 1", all_n, all_bad, str(WEAKEST),
+                  f"coalesce({all_bad} / nullif({all_n}, 0), 0)"),
+            level("domains", f"""select * from (select "domain", suffix, {counts} from hosts group by 1, 2)
+    join (select suffix, {parent} from suffixes) using (suffix)""", *above),
+            level("placed", f"""select host, n, bad, parent_n, parent_bad, parent_strength, parent_prior from hosts
+    join (select "domain", {parent} from domains) using ("domain")""", *above),
+        ]
+    )
     return f"""
 with split as (
   select page_id, coalesce(translate(regexp_extract(url, '{URL}', 1), '{UPPER}', '{LOWER}'), '') host,
@@ -174,17 +203,9 @@ hosts as (
     case when regexp_extract(host, '{DOMAIN}', 1) = '' then host else regexp_extract(host, '{DOMAIN}', 1) end as "domain",
     case when regexp_extract(host, '{SUFFIX}', 1) = '' then host else regexp_extract(host, '{SUFFIX}', 1) end suffix
   from split left join outcomes on try_cast(regexp_extract(path, '{PAGE_NUMBER}', 1) as bigint) = doc_id group by 1),
-suffixes0 as materialized (
-  select suffix, sum(n) n, sum(bad) bad,
-    coalesce((select sum(bad) / nullif(sum(n), 0) from hosts), 0) prior from hosts group by 1),
-suffixes as materialized (select suffix, {share("suffixes0")} share from suffixes0),
-domains0 as materialized (
-  select "domain", suffix, sum(n) n, sum(bad) bad, any_value(share) prior from hosts join suffixes using (suffix) group by 1, 2),
-domains as materialized (select "domain", {share("domains0")} share from domains0),
-placed as materialized (
-  select host, n, bad, share prior from hosts join domains using ("domain")),
+{levels},
 judged as (
-  select host, {share("placed")} share, n + {strength("placed")} weight from placed)
+  select host, (bad + strength * prior) / (n + strength) share, n + strength weight from placed)
 select page_id, host, path, case {rule} end rule,
   case {verdict} when share - {DEVIATIONS} * sqrt(share * (1 - share) / (weight + 1)) >= {BLOCK_SHARE} then 'block'
   else 'allow' end verdict
