@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import cover_tree, decontaminate, packing, quality, sharding, simhash, site_tree, toxicity, urls
+from parcelflow.llm import cover_tree, decontaminate, licences, packing, quality, sharding, simhash, site_tree, toxicity, urls
 from parcelflow.llm.common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op6(spark, sf_dir):
 @query("op9_html_extraction")
 def op9(spark, sf_dir):
     return site_tree.page_texts(table(spark, sf_dir, "pages"))
+
+
+@query("op3_licences", licences.licences_sql())
+def op3(spark, sf_dir):
+    return licences.document_licences(table(spark, sf_dir, "documents"))
