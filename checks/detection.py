@@ -38,20 +38,53 @@ def _(t):
 @check(
     "win1_sessions_long_gap",
     f"""select package_id, start_ms session_start, last_ms last_scan_at, scan_count,
-      array_to_string(path, '>') path from ({sessions_sql("scans_long", HALF_DAY)})""",
+      array_to_string(path[1:7], '>') head, path[len(path)] last_station from ({sessions_sql("scans_long", HALF_DAY)})""",
 )
 def _(t):
     return journeys.sessions(t.scans_events, HALF_DAY).select(
-        "package_id", "session_start", "last_scan_at", "scan_count", "path"
+        "package_id", "session_start", "last_scan_at", "scan_count", "head", "last_station"
     )
 
 
+PATH_ROWS_SQL = """
+select package_id, start_ms session_start, unnest(range(1, len(path) + 1)) as "position", unnest(path) station from ({sessions})"""
+
+
+@check("win2_ordered_paths", PATH_ROWS_SQL.format(sessions="select * from sess"))
+def _(t):
+    return journeys.session_scans(t.scans).select("package_id", "session_start", "position", "station")
+
+
+@check("win2_ordered_long_paths", PATH_ROWS_SQL.format(sessions=sessions_sql("scans_long", HALF_DAY)))
+def _(t):
+    rows = journeys.session_scans(t.scans_events, HALF_DAY)
+    return rows.select("package_id", "session_start", "position", "station")
+
+
+LONG_VERDICT_SQL = f"""
+select *, case when dev <> -1 then path[dev + 1] else path[len(path)] end actual_station
+from ({sessions_sql("scans_long", HALF_DAY)}) where dev <> -1 or not reached"""
+
+
+@check(
+    "win4_misrouted_paths",
+    f"""select concat('misrouting-', package_id) alert_id, last_ms detected_at,
+      unnest(range(1, len(path) + 1)) as "position", unnest(path) station from ({LONG_VERDICT_SQL})""",
+)
+def _(t):
+    rows = journeys.misrouted_paths(t.scans_events, HALF_DAY)
+    return rows.select("alert_id", "detected_at", "position", "station")
+
+
 @check(
-    "win2_ordered_paths",
-    "select package_id, start_ms session_start, array_to_string(path, '>') path from sess",
+    "win4_alerts_with_whole_paths",
+    f"""select concat('misrouting-', package_id) alert_id, last_ms detected_at, actual_station,
+      array_to_string(path, '>') path_so_far from ({LONG_VERDICT_SQL})""",
 )
 def _(t):
-    return journeys.sessions(t.scans).select("package_id", "session_start", "path")
+    alerts = journeys.misrouting_alerts(journeys.sessions(t.scans_events, HALF_DAY))
+    whole = A.with_whole_paths(alerts, journeys.misrouted_paths(t.scans_events, HALF_DAY))
+    return A.flatten_alerts(whole).select("alert_id", "detected_at", "actual_station", "path_so_far")
 
 
 @check(
@@ -75,7 +108,7 @@ def _(t):
 )
 def _(t):
     return journeys.sessions(t.scans).select(
-        "package_id", "session_start", journeys.first_deviation(F.col("path")).alias("deviation_index")
+        "package_id", "session_start", journeys.first_deviation(F.col("head")).alias("deviation_index")
     )
 
 
@@ -467,17 +500,17 @@ def _(t):
 
 @check(
     "scl15_path_arrays",
-    """select package_id, start_ms session_start, list_contains(path, 'STATION_TYPE_DISPATCH') has_dispatch,
-      path[1] first_station, path[len(path)] last_station, cast(len(path) as int) path_length from sess""",
+    """select package_id, start_ms session_start, list_contains(path[1:7], 'STATION_TYPE_DISPATCH') has_dispatch,
+      path[1] first_station, path[len(path[1:7])] last_station, cast(len(path[1:7]) as int) head_length from sess""",
 )
 def _(t):
     return journeys.sessions(t.scans).select(
         "package_id",
         "session_start",
-        F.array_contains("path", domain.DISPATCH).alias("has_dispatch"),
-        F.get("path", F.lit(0)).alias("first_station"),
-        F.element_at("path", -1).alias("last_station"),
-        F.size("path").alias("path_length"),
+        F.array_contains("head", domain.DISPATCH).alias("has_dispatch"),
+        F.get("head", F.lit(0)).alias("first_station"),
+        F.element_at("head", -1).alias("last_station"),
+        F.size("head").alias("head_length"),
     )
 
 

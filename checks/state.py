@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -67,6 +67,53 @@ def _(t):
     return floor.evict_stale(t.positions, t.as_of)
 
 
+# Positions as they were at NOON.
+POSITIONS_THEN = f"""(select package_id, station, scanned_at updated_at from (
+  select *, row_number() over (partition by package_id order by scanned_at desc, event_id desc) rn
+  from scans where scanned_at <= {NOON}) where rn = 1)"""
+
+
+@check(
+    "agg14_positions_at_noon",
+    f"select package_id, station, epoch_ms(updated_at) updated_at from {POSITIONS_THEN}",
+)
+def _(t):
+    return floor.current_positions(t.scans, t.items, _noon(t)).select("package_id", "station", "updated_at")
+
+
+@check(
+    "agg16_kpis_at_noon",
+    f"""select count(*) in_transit, count(*) filter (d >= 480000 and d < 600000) at_risk,
+      count(*) filter (d >= 300000) as delayed
+    from (select epoch_ms({NOON}) - epoch_ms(updated_at) d from positions where updated_at <= {NOON})""",
+)
+def _(t):
+    return floor.kpis(t.positions, _noon(t))
+
+
+@check(
+    "agg17_station_kpis_at_noon",
+    f"""select s.station, count(p.package_id) occupancy,
+      count(*) filter (d >= 300000 and not (d >= 480000 and d < 600000)) as delayed,
+      count(*) filter (d >= 480000 and d < 600000) at_risk
+    from {SPINE} s left join
+      (select *, epoch_ms({NOON}) - epoch_ms(updated_at) d from positions where updated_at <= {NOON}) p
+      on p.station = s.station
+    group by 1""",
+)
+def _(t):
+    return floor.station_kpis(t.positions, _noon(t))
+
+
+@check(
+    "flt10_evict_stale_positions_at_noon",
+    f"""select {POSITION_COLUMNS} from positions
+      where updated_at between {NOON} - interval '30' minute and {NOON}""",
+)
+def _(t):
+    return floor.evict_stale(t.positions, _noon(t))
+
+
 @check(
     "agg16_kpis",
     """select count(*) in_transit, count(*) filter (d >= 480000 and d < 600000) at_risk,
@@ -94,7 +141,8 @@ def _(t):
     "agg18_station_alert_state",
     f"""select s.station, case coalesce(w, 0) when 3 then 'critical' when 2 then 'warning' else 'normal' end state
     from {SPINE} s left join (select station, max({severity_rank("severity")}) w from alerts
-      where detected_ms >= epoch_ms({NOON}) - 300000 group by 1) a on a.station = s.station""",
+      where detected_ms between epoch_ms({NOON}) - 300000 and epoch_ms({NOON}) group by 1) a
+      on a.station = s.station""",
 )
 def _(t):
     return A.station_alert_state(t.alerts, _noon(t))
@@ -202,33 +250,41 @@ select p.package_id, concat_ws('>',
   max(case when a.alert_type = 'ALERT_TYPE_DAMAGE' then a.alert_type end)) active_flags
 from positions p left join (
   select package_id, alert_type, max(detected_ms) ms from alerts
-  where alert_type in ('ALERT_TYPE_MISROUTING', 'ALERT_TYPE_DAMAGE') and detected_ms >= (select ms from as_of) - {back}
+  where alert_type in ('ALERT_TYPE_MISROUTING', 'ALERT_TYPE_DAMAGE') and detected_ms between {now} - {back} and {now}
   group by 1, 2) a on a.package_id = p.package_id and a.ms >= epoch_ms(p.updated_at)
 group by 1"""
+LATEST = "(select ms from as_of)"
 
 
-@check("jn3_active_flags", FLAGS_SQL.format(back=30 * 86_400_000))
+@check("jn3_active_flags", FLAGS_SQL.format(back=30 * 86_400_000, now=LATEST))
 def _(t):
     return cases.with_active_flags(t.positions, t.alerts, t.as_of, 30 * 86_400_000).select(
         "package_id", "active_flags"
     )
 
 
+@check("jn3_active_flags_at_noon", FLAGS_SQL.format(back=30 * 86_400_000, now=f"epoch_ms({NOON})"))
+def _(t):
+    return cases.with_active_flags(t.positions, t.alerts, _noon(t), 30 * 86_400_000).select(
+        "package_id", "active_flags"
+    )
+
+
 @check(
     "agg13_latest_flags",
-    """select package_id, alert_type, max(detected_ms) detected_at from alerts
+    f"""select package_id, alert_type, max(detected_ms) detected_at from alerts
     where alert_type in ('ALERT_TYPE_MISROUTING', 'ALERT_TYPE_DAMAGE')
-      and detected_ms >= (select ms from as_of) - 2592000000 group by 1, 2""",
+      and detected_ms between epoch_ms({NOON}) - 2592000000 and epoch_ms({NOON}) group by 1, 2""",
 )
 def _(t):
-    return A.latest_flags(t.alerts, t.as_of, lookback_ms=30 * 86_400_000)
+    return A.latest_flags(t.alerts, _noon(t), lookback_ms=30 * 86_400_000)
 
 
 @check(
     "flt6_flag_alerts_in_lookback",
     f"""select package_id, alert_type, max(detected_ms) detected_at from alerts
     where alert_type in ('ALERT_TYPE_MISROUTING', 'ALERT_TYPE_DAMAGE')
-      and detected_ms >= epoch_ms({NOON}) - 3600000 group by 1, 2""",
+      and detected_ms between epoch_ms({NOON}) - 3600000 and epoch_ms({NOON}) group by 1, 2""",
 )
 def _(t):
     return A.latest_flags(t.alerts, _noon(t))
@@ -258,17 +314,15 @@ def _(t):
 
 @check(
     "jn6_match_detailed_alert",
-    """select initial_id, detail_id, detail_at from (
-      select concat('seed-', a.package_id, '-', a.detected_ms) initial_id, b.alert_id detail_id,
-        b.detected_ms detail_at, row_number() over (partition by a.package_id, a.detected_ms
+    """select initial_id, alert_type, detail_id, detail_at from (
+      select concat('seed-', a.package_id, '-', a.detected_ms) initial_id, a.alert_type, b.alert_id detail_id,
+        b.detected_ms detail_at, row_number() over (partition by a.package_id, a.alert_type, a.detected_ms
           order by b.detected_ms desc, b.alert_id) rn
       from alerts a join alerts b on a.package_id = b.package_id and a.alert_type = b.alert_type
-        and abs(a.detected_ms - b.detected_ms) < 1000
-      where a.alert_type = 'ALERT_TYPE_MISROUTING') where rn = 1""",
+        and abs(a.detected_ms - b.detected_ms) < 1000) where rn = 1""",
 )
 def _(t):
-    initial = cases.seed_alerts(t.alerts.where("alert_type = 'ALERT_TYPE_MISROUTING'"))
-    return cases.match_detail(initial, t.alerts)
+    return cases.match_detail(cases.seed_alerts(t.alerts), t.alerts)
 
 
 @check(
@@ -291,10 +345,10 @@ def _(t):
     "jn8_hours_of_day",
     """select cast(h as int) hour_of_day, coalesce(n, 0) alert_count from (select unnest(range(24)) h)
     left join (select hour(detected_at) hh, count(*) n from alerts
-      where station = 'STATION_TYPE_QC_CHECK' group by 1) on hh = h""",
+      group by 1) on hh = h""",
 )
 def _(t):
-    return A.hours_of_day(A.busiest_hours(t.rollup.where("station = 'STATION_TYPE_QC_CHECK'")))
+    return A.hours_of_day(A.busiest_hours(t.rollup))
 
 
 @check(
@@ -356,7 +410,7 @@ select p.package_id, p.station current_station, epoch_ms(p.updated_at) last_scan
     else 'PARCEL_STATUS_IN_TRANSIT' end status,
   f.active_flags, p.item_name, p.item_category
 from positions p join ({flags}) f on f.package_id = p.package_id""".format(
-    flags=FLAGS_SQL.format(back=3_600_000)
+    flags=FLAGS_SQL.format(back=3_600_000, now=LATEST)
 )
 
 
@@ -381,6 +435,28 @@ def _(t):
     return api.list_parcels(t.positions, t.alerts, t.as_of).page
 
 
+@check(
+    "api4_parcel_summaries_at_noon",
+    f"""select package_id, cast((epoch_ms({NOON}) - epoch_ms(updated_at)) // 1000 as int) dwell_seconds
+    from positions where updated_at <= {NOON}""",
+)
+def _(t):
+    return api.parcel_summaries(t.positions, t.alerts, _noon(t)).select("package_id", "dwell_seconds")
+
+
+@check(
+    "api4_next_page_after_a_row",
+    f"{PARCELS_SQL} order by epoch_ms(p.updated_at) desc, p.package_id limit 200 offset 50",
+)
+def _(t):
+    first = api.list_parcels_from(t.spark, t.warehouse_root, t.positions, t.as_of, limit=50, sort_field="detected_at", sort_desc=True)
+    last = first.page.collect()[-1]  # one page of fifty rows
+    after = (last["last_scan_at"].astimezone(timezone.utc), last["package_id"])
+    return api.list_parcels_from(
+        t.spark, t.warehouse_root, t.positions, t.as_of, sort_field="detected_at", sort_desc=True, after=after
+    ).page
+
+
 @check("ord3_list_parcels_by_package", f"{PARCELS_SQL} order by p.package_id desc limit 200")
 def _(t):
     return api.list_parcels(
@@ -443,10 +519,28 @@ def _(t):
     return A.flagged_rows(rows, text=" Sort ", sort_key="station", descending=False)
 
 
-@check("ord8_flagged_sorted", FLAGGED_SQL)
-def _(t):
-    rows = t.alerts.select("package_id", "alert_type", "station", "detected_at", "alert_id")
-    return A.flagged_rows(rows, sort_key="issue")
+def _placed(ordered, n: int = 300):
+    """The first rows of an ordered frame with their place in it."""
+    return ordered.limit(n).coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
+def _place_sql(rows: str, order: str, n: int = 300) -> str:
+    return f"select *, row_number() over (order by {order}) - 1 place from ({rows}) order by {order} limit {n}"
+
+
+FLAGGED_ORDERS = {"time": "detected_at", "station": "station_label", "issue": "issue_label"}
+for _key, _column in FLAGGED_ORDERS.items():
+    for _down in (True, False):
+
+        @check(
+            f"ord8_flagged_by_{_key}{'_down' if _down else ''}",
+            "select place, {0} from ({1})".format(
+                _column, _place_sql(FLAGGED_SQL, f"{_column} {'desc' if _down else 'asc'}, package_id, alert_type")
+            ),
+        )
+        def _(t, key=_key, down=_down, column=_column):
+            rows = t.alerts.select("package_id", "alert_type", "station", "detected_at", "alert_id")
+            return _placed(A.flagged_rows(rows, sort_key=key, descending=down)).select("place", column)
 
 
 @check(
@@ -485,20 +579,25 @@ def _(t):
     return floor.packages_per_station(t.positions).select("station", "rank", "package_id", "total", "overflow")
 
 
-@check("ord1_scans_by_time", "select event_id, epoch_ms(scanned_at) scanned_at from scans")
+@check("ord1_scans_by_time", _place_sql("select event_id, package_id, epoch_ms(scanned_at) scanned_at from scans "
+       "where package_id = (select package_id from scans group by 1 order by count(*) desc, 1 limit 1)", "scanned_at, event_id"))
 def _(t):
-    return t.scans.select("event_id", "scanned_at").orderBy("scanned_at", "event_id")
+    busiest = t.scans.groupBy("package_id").count().orderBy(F.desc("count"), "package_id").first()[0]
+    journey = api.package_journey(t.scans, t.alerts, busiest).scans
+    return _placed(journey).select("event_id", F.lit(busiest).alias("package_id"), "scanned_at", "place")
 
 
-@check("ord2_alerts_newest_first", "select alert_id, detected_ms detected_at from alerts")
+@check("ord2_alerts_newest_first", _place_sql("select alert_id, detected_ms detected_at from alerts "
+       "where package_id = (select package_id from alerts group by 1 order by count(*) desc, 1 limit 1)", "detected_at desc, alert_id"))
 def _(t):
-    return t.alerts.select("alert_id", "detected_at").orderBy(F.desc("detected_at"), "alert_id")
+    busiest = t.alerts.groupBy("package_id").count().orderBy(F.desc("count"), "package_id").first()[0]
+    return _placed(api.package_journey(t.scans, t.alerts, busiest).alerts).select("alert_id", "detected_at", "place")
 
 
 @check(
     "ord9_worst_categories",
-    """select item_category, cast(sum(damage_count) as double) / cast(sum(scan_count) as double) damage_rate
-    from by_category group by 1""",
+    _place_sql("""select item_category, cast(sum(damage_count) as double) / cast(sum(scan_count) as double) damage_rate
+    from by_category group by 1""", "damage_rate desc, item_category"),
 )
 def _(t):
-    return reports.worst_categories(reports.damage_rate(t.by_category, "item_category"))
+    return _placed(reports.worst_categories(reports.damage_rate(t.by_category, "item_category")))

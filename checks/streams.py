@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,8 +12,9 @@ from checks.detection import ALERT_COLUMNS, HALF_DAY, SIX_HOURS
 from checks.oracle import ROUTE_LIST, sessions_sql, stuck_sql
 from checks.registry import check
 from checks.stored import LAKE_COLUMNS
+from parcelflow.functions import scalars as S
 from parcelflow.operators import alerts as A
-from parcelflow.operators import ingest
+from parcelflow.operators import dwell, ingest
 from parcelflow.sources import lake, stream, warehouse
 from parcelflow.streaming import journeys, live, stuck
 
@@ -56,6 +59,14 @@ def collected(t, df: DataFrame, name: str) -> DataFrame:
     return t.spark.read.schema(df.schema).parquet(out)
 
 
+def in_steps(t, parts: list[DataFrame], name: str, start) -> None:
+    """Feeds a file stream part by part: ``start(stream, checkpoint)`` runs once after each, a restart every time."""
+    inbox, checkpoint = t.folder(f"{name}-inbox"), t.folder(f"{name}-checkpoint")
+    for part in parts:
+        part.write.mode("append").parquet(inbox)
+        finish(start(t.spark.readStream.schema(part.schema).parquet(inbox), checkpoint))
+
+
 def scan_stream(t) -> DataFrame:
     return files(t, lake.lake_rows(t.scans).drop("date", "hour"), "scan-files")
 
@@ -119,6 +130,17 @@ def _(t):
     return warehouse.read_alerts(t.spark, root).drop("inserted_at")
 
 
+@stream_check("snk4_two_loaders_with_restart", f"select {ALERT_COLUMNS} from alerts")
+def _(t):
+    root = t.folder("two-loaders")
+    nested = A.decode_alerts(A.encode_alerts(t.detected()))[0]
+    for kinds in (["ALERT_TYPE_STUCK_PACKAGE"], ["ALERT_TYPE_MISROUTING", "ALERT_TYPE_DAMAGE"]):
+        own = nested.where(F.col("alert_type").isin(*kinds))
+        parts = [own.where(f"pmod(xxhash64(alert_id), 2) = {k}") for k in (0, 1)]
+        in_steps(t, parts, f"loader-{kinds[0]}", lambda s, c: live.start_alert_loader(s, root, c, NOW))
+    return warehouse.read_alerts(t.spark, root).drop("inserted_at")
+
+
 @stream_check(
     "str7_incremental_rollup",
     """select epoch_ms(hour_at) as "hour", alert_type, severity, station, alert_count from rollup""",
@@ -155,7 +177,7 @@ def _closed_sql(gap_ms: int) -> str:
 select package_id, case when reached then 'SEVERITY_WARNING' else 'SEVERITY_CRITICAL' end severity,
   case when dev <> -1 then {ROUTE_LIST}[dev + 1] else 'STATION_TYPE_DISPATCH' end expected_station,
   case when dev <> -1 then path[dev + 1] else path[len(path)] end actual_station,
-  array_to_string(path, '>') path_so_far, last_ms detected_at
+  array_to_string(path[1:7], '>') path_so_far, last_ms detected_at
 from ({sessions_sql("scans_long", gap_ms)})
 where (dev <> -1 or not reached)
   and last_ms + {gap_ms} <= (select max(epoch_ms(scanned_at)) from scans_long) - 30000"""
@@ -170,11 +192,31 @@ def _(t):
     return A.flatten_alerts(found).select(*JOURNEY_COLUMNS)
 
 
-@stream_check("str6_journey_stream_refire", _closed_sql(HALF_DAY))
+# Lateness covers the whole month, so every late scan makes its session fire again.
+def _judged_sql(source: str) -> str:
+    return f"""select package_id, severity, path_so_far, detected_at from (
+      {_closed_sql(HALF_DAY).replace("scans_long", source)})"""
+
+
+@stream_check(
+    "str6_journey_stream_refire",
+    f"""with kept as (select * from scans_long where cast(substr(event_id, 5) as bigint) % 25 <> 0),
+    whole as (select * from scans_long)
+    select * from ({_judged_sql("kept")}) union select * from ({_judged_sql("whole")})""",
+)
 def _(t):
     root = t.folder("refire")
-    finish(live.start_journeys(long_stream(t), root, t.folder("refire-checkpoint"), NOW, gap_ms=HALF_DAY))
-    return warehouse.read_alerts(t.spark, root).select(*JOURNEY_COLUMNS)
+    rows = t.scans_events
+    late = F.substring("event_id", 5, 20).cast("long") % 25 == 0
+    month = 40 * 86_400_000
+    in_steps(
+        t,
+        [rows.where(~late), rows.where(late)],
+        "refire",
+        lambda s, c: live.start_journeys(s, root, c, NOW, gap_ms=HALF_DAY, lateness_ms=month),
+    )
+    columns = ["package_id", "severity", "path_so_far", "detected_at"]
+    return warehouse.read_alerts(t.spark, root).select(*columns).distinct()
 
 
 @stream_check(
@@ -184,15 +226,74 @@ def _(t):
 )
 def _(t):
     root = t.folder("positions")
-    finish(live.start_positions(scan_stream(t), t.items, root, t.folder("positions-checkpoint"), NOW))
+    rows = lake.lake_rows(t.scans).drop("date", "hour")
+    middle = F.lit("2026-08-15").cast("timestamp")
+    # The newer half arrives first: scans of the older half are days late.
+    parts = [rows.where(F.col("scanned_at") >= middle), rows.where(F.col("scanned_at") < middle)]
+    in_steps(t, parts, "positions", lambda s, c: live.start_positions(s, t.items, root, c, NOW))
+    live.compact_positions(t.spark, root)
     return live.positions_snapshot(t.spark, root)
 
 
-@stream_check("str9_dedup_within_watermark", f"select {LAKE_COLUMNS} from scans")
+@stream_check(
+    "snk8_late_scans",
+    """select event_id, package_id, station, epoch_ms(scanned_at) scanned_at from scans
+    where cast(substr(package_id, 5) as bigint) % 40 = 7 and scanned_at < (select t from as_of) - interval '1' day""",
+)
+def _(t):
+    root = t.folder("late")
+    rows = lake.lake_rows(t.scans).drop("date", "hour")
+    # Whole packages come late, so none of their scans can join an open session.
+    late = F.substring("package_id", 5, 20).cast("long") % 40 == 7
+    old = F.col("scanned_at") < S.ts(t.as_of - timedelta(days=1))
+    parts = [rows.where(~late), rows.where(late & old)]
+    in_steps(t, parts, "journeys", lambda s, c: live.start_journeys(s, root, c, NOW))
+    return live.read_late_scans(t.spark, root)
+
+
+@stream_check("str4_stuck_alerts_repaired", "select package_id, station, last_ms + 600000 detected_at from stuck_point")
+def _(t):
+    root = t.folder("repaired")
+    rows = lake.lake_rows(t.scans).drop("date", "hour")
+    middle = F.lit("2026-08-15").cast("timestamp")
+    parts = [rows.where(F.col("scanned_at") >= middle), rows.where(F.col("scanned_at") < middle)]
+
+    def start(scans, checkpoint):
+        return live.start_alert_loader(stuck.stuck_stream(scans), root, checkpoint, NOW)
+
+    in_steps(t, parts, "stuck", start)
+    # The older half came too late for the stream; the lake has it, and the batch detector adds what is missing.
+    stored = warehouse.read_alerts(t.spark, root)
+    found = dwell.stuck_alerts(lake.read_lake(t.spark, t.lake_root))
+    warehouse.append_alerts(A.missing_alerts(found, stored), root, inserted_at=t.as_of)
+    return warehouse.read_alerts(t.spark, root).select("package_id", "station", "detected_at")
+
+
+@stream_check(
+    "str11_replay_lake_through_detector",
+    """select package_id, station, last_ms + 600000 detected_at from stuck_point
+    where last_ms + 600000 - (last_ms + 600000) % 60000 + 60000 <= (select ms from as_of) - 30000""",
+)
+def _(t):
+    scans = stream.read_scan_table_stream(t.spark, lake.events_path(t.lake_root))
+    found = collected(t, stuck.stuck_stream(scans), "replayed")
+    return A.flatten_alerts(found).select("package_id", "station", "detected_at")
+
+
+@stream_check("str9_dedup_keeps_late_scans", f"select {LAKE_COLUMNS} from scans")
 def _(t):
     rows = lake.lake_rows(t.scans).drop("date", "hour")
+    middle = F.lit("2026-08-15").cast("timestamp")
     resent = rows.where("result <> 'SCAN_RESULT_OK'")
-    return collected(t, live.dedup(files(t, rows.unionByName(resent), "resent")), "deduplicated")
+    newer, older = rows.where(F.col("scanned_at") >= middle), rows.where(F.col("scanned_at") < middle)
+    out = t.folder("deduplicated")
+
+    def start(scans, checkpoint):
+        writer = live.dedup(scans).writeStream.format("parquet").option("path", out)
+        return writer.option("checkpointLocation", checkpoint).trigger(**NOW).start()
+
+    in_steps(t, [newer.unionByName(resent), older.unionByName(resent)], "resent", start)
+    return t.spark.read.schema(rows.schema).parquet(out)
 
 
 @stream_check(
@@ -226,11 +327,10 @@ def _(t):
 @stream_check(
     "jn7_interval_join_of_streams",
     """select a.alert_id, s.event_id, s.station, epoch_ms(s.scanned_at) scanned_at
-    from damage a join scans s on s.package_id = a.package_id
+    from alerts a join scans s on s.package_id = a.package_id
       and abs(epoch_ms(s.scanned_at) - a.detected_ms) < 1800000""",
 )
 def _(t):
     nested, _ = A.decode_alerts(alert_wire_stream(t))
-    raised = nested.where("alert_type = 'ALERT_TYPE_DAMAGE'")
-    near = live.nearby_scan_stream(raised, scan_stream(t))
+    near = live.nearby_scan_stream(nested, scan_stream(t))
     return collected(t, near, "near").drop("package_id")

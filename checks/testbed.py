@@ -101,6 +101,10 @@ class Testbed:
             warehouse.overwrite_report(report, warehouse.report_path(root, name), self.as_of)
         return root
 
+    @property
+    def reports_root(self) -> str:
+        return self._reports
+
     def report(self, name: str) -> DataFrame:
         return warehouse.read_report(self.spark, warehouse.report_path(self._reports, name))
 

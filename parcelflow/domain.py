@@ -183,18 +183,14 @@ class Params:
     recent_flagged: int = 20
     live_alert_cap: int = 100
     live_event_cap: int = 500
+    # How long a resent scan is recognised (the scan topic's retention).
+    resend_window_ms: int = 7 * 86_400_000
     station_alerts_shown: int = 10
     station_packages_shown: int = 12
 
 
 DEFAULTS = Params()
 
-# A session's path is returned as one array up to this many scans (a full route is 7). Longer
-# sessions keep their exact verdict and carry their path as rows, see journeys.session_scans.
-# 1000 is also the largest limit Spark still applies before the shuffle by default
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-INLINE_PATH_SCANS = 1000
-
 # The prefix of a path that can decide a verdict is exactly one route long.
 DISPATCH = ROUTE[-1]
 

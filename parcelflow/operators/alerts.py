@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelflow import domain
 from parcelflow.functions import scalars as S
+from parcelflow.operators.ingest import wire_payload
 
 _P = domain.DEFAULTS
 
@@ -85,6 +86,27 @@ def nest_alert_detail(flat: DataFrame) -> DataFrame:
     )
 
 
+def with_whole_paths(alerts: DataFrame, paths: DataFrame) -> DataFrame:
+    """Nested alerts with the whole path of the journey in ``path_so_far``, as consumers of the wire expect.
+
+    ``paths`` are the rows of ``journeys.misrouted_paths``. The array of one alert is as long as its
+    journey; tables keep the rows instead.
+    """
+    stations = F.sort_array(F.collect_list(F.struct("position", "station"))).getField("station")
+    whole = paths.groupBy("alert_id", "detected_at").agg(stations.alias("_whole"))
+    detail = F.when(
+        F.col("misrouting_detail").isNotNull(),
+        F.col("misrouting_detail").withField(
+            "path_so_far", F.coalesce("_whole", F.col("misrouting_detail.path_so_far"))
+        ),
+    )
+    return (
+        alerts.join(whole, ["alert_id", "detected_at"], "left")
+        .withColumn("misrouting_detail", detail)
+        .select(*alerts.columns)
+    )
+
+
 def encode_alerts(alerts: DataFrame) -> DataFrame:
     """Nested alerts as keyed wire records (base64 of JSON)."""
     body = F.struct(*[F.col(f.name) for f in domain.ALERT.fields])
@@ -93,15 +115,24 @@ def encode_alerts(alerts: DataFrame) -> DataFrame:
     )
 
 
-def decode_alerts(wire: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(alerts, quarantine)`` of keyed wire records."""
-    payload = F.try_to_binary("value", F.lit("base64")).cast("string")
-    parsed = F.from_json(payload, domain.ALERT, {"mode": "PERMISSIVE"})
+def decode_alerts(wire: DataFrame, fmt: str = "json", **protobuf) -> tuple[DataFrame, DataFrame]:
+    """``(alerts, quarantine)`` of keyed wire records; formats as in ``ingest.wire_payload``."""
+    parsed = wire_payload(domain.ALERT, fmt, **protobuf)
     # Filtered inside an array so that each record is parsed once, see ingest.wire_events.
     alerts = F.filter(F.array(parsed), lambda a: a["detected_at"].isNotNull())
     return wire.select(F.inline(alerts)), wire.where(F.size(alerts) == 0)
 
 
+def missing_alerts(found: DataFrame, stored: DataFrame) -> DataFrame:
+    """Alerts of ``found`` whose id is not in ``stored``.
+
+    Repairs what a stream has judged without its late scans: run a batch detector over the touched days
+    of the lake, which keeps every scan, and append what is missing. Ids come from the content, so
+    repeating it adds nothing.
+    """
+    return found.join(stored.select("alert_id").distinct(), "alert_id", "left_anti").select(*found.columns)
+
+
 def hourly_rollup(alerts: DataFrame) -> DataFrame:
     """Partial counts per (hour, type, severity, station). Partials of the same key add up."""
     return alerts.groupBy(
@@ -119,8 +150,8 @@ def rollup_between(rollup: DataFrame, floor: datetime, ceiling: datetime) -> Dat
 
 
 def recent_rollup(rollup: DataFrame, as_of: datetime, hours: int = 24) -> DataFrame:
-    since = rollup.where(F.col("hour") >= S.ts(as_of - timedelta(hours=hours)))
-    return merge_rollup(since, "hour", "alert_type")
+    """Hours from ``hours`` before ``as_of`` up to the one that holds it."""
+    return merge_rollup(rollup_between(rollup, as_of - timedelta(hours=hours), as_of), "hour", "alert_type")
 
 
 def busiest_hours(rollup: DataFrame) -> DataFrame:
@@ -175,25 +206,35 @@ def recent_flagged(alerts: DataFrame, floor: datetime, ceiling: datetime, n: int
     )
 
 
+def within(column: str, as_of: datetime, back_ms: int) -> Column:
+    """True for times from ``back_ms`` before ``as_of`` up to ``as_of``, both included."""
+    return F.col(column).between(S.ts(S.to_millis(as_of) - back_ms), S.ts(as_of))
+
+
 def latest_flags(
     alerts: DataFrame,
     as_of: datetime,
     types: tuple[str, ...] = domain.FLAG_ALERT_TYPES,
     lookback_ms: int = _P.flag_lookback_ms,
 ) -> DataFrame:
-    """Latest alert time per (package, type) of the flag types in the lookback."""
-    since = S.to_millis(as_of) - lookback_ms
+    """Latest alert time per (package, type) of the flag types in the lookback up to ``as_of``."""
     return (
-        alerts.where(F.col("alert_type").isin(*types) & (F.col("detected_at") >= S.ts(since)))
+        alerts.where(F.col("alert_type").isin(*types) & within("detected_at", as_of, lookback_ms))
         .groupBy("package_id", "alert_type")
         .agg(F.max("detected_at").alias("detected_at"))
     )
 
 
 def latest_versions(table: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The newest row per key by ``order``; a combinable aggregate, so hot keys reduce map-side."""
+    """The newest row per key by ``order``; a combinable aggregate, so hot keys reduce map-side.
+
+    Rows that are equal in ``order`` are told apart by their other columns (maps by their text), so the
+    choice can be repeated.
+    """
     rest = [c for c in table.columns if c not in keys and c not in order]
-    newest = F.max_by(F.struct(*order, *rest), F.struct(*order)).alias("r")
+    maps = {f.name for f in table.schema.fields if "map<" in f.dataType.simpleString()}
+    last = [F.to_json(F.col(c)).alias(c) if c in maps else F.col(c) for c in rest]
+    newest = F.max_by(F.struct(*order, *rest), F.struct(*order, *last)).alias("r")
     return table.groupBy(*keys).agg(newest).select(*keys, "r.*").select(*table.columns)
 
 
@@ -229,10 +270,9 @@ def journey_badges(alerts: DataFrame) -> DataFrame:
 def station_alert_state(
     alerts: DataFrame, as_of: datetime, window_ms: int = _P.station_alert_window_ms
 ) -> DataFrame:
-    """``critical``, ``warning`` or ``normal`` per station, from alerts that are recent enough."""
-    since = S.to_millis(as_of) - window_ms
+    """``critical``, ``warning`` or ``normal`` per station, from the alerts of the window up to ``as_of``."""
     recent = (
-        alerts.where(F.col("detected_at") >= S.ts(since))
+        alerts.where(within("detected_at", as_of, window_ms))
         .groupBy("station")
         .agg(F.max(S.severity_rank(F.col("severity"))).alias("worst"))
     )

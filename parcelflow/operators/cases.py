@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelflow import domain
 from parcelflow.functions import scalars as S
+from parcelflow.operators.alerts import within
 
 _P = domain.DEFAULTS
 
@@ -16,13 +17,13 @@ _P = domain.DEFAULTS
 def with_active_flags(
     positions: DataFrame, alerts: DataFrame, as_of: datetime, lookback_ms: int = _P.flag_lookback_ms
 ) -> DataFrame:
-    """Adds ``active_flags``: flag alerts not older than the package's last scan, in fixed order."""
-    since = S.to_millis(as_of) - lookback_ms
+    """Adds ``active_flags``: flag alerts of the lookback up to ``as_of`` that are not older than the
+    package's last scan, in fixed order."""
     latest = [
         F.max(F.when(F.col("alert_type") == t, F.col("detected_at"))).alias(t) for t in domain.FLAG_ALERT_TYPES
     ]
     flags = (
-        alerts.where(F.col("alert_type").isin(*domain.FLAG_ALERT_TYPES) & (F.col("detected_at") >= S.ts(since)))
+        alerts.where(F.col("alert_type").isin(*domain.FLAG_ALERT_TYPES) & within("detected_at", as_of, lookback_ms))
         .groupBy("package_id")
         .agg(*latest)
     )
@@ -63,7 +64,9 @@ def seed_alerts(flagged: DataFrame) -> DataFrame:
 
 def match_detail(initial: DataFrame, detailed: DataFrame, within_ms: int = _P.detail_match_ms) -> DataFrame:
     """For each placeholder alert the newest detailed alert of the same package and type less than
-    ``within_ms`` away, if any. Both sides meet on (package, type, time slot)."""
+    ``within_ms`` away, if any. Both sides meet on (package, type, time slot).
+
+    Placeholder ids do not carry the type, so a match belongs to (``initial_id``, ``alert_type``)."""
     left = initial.select(
         F.col("alert_id").alias("initial_id"), "package_id", "alert_type", S.millis("detected_at").alias("t0")
     )
@@ -78,9 +81,9 @@ def match_detail(initial: DataFrame, detailed: DataFrame, within_ms: int = _P.de
         left.withColumn("slot", F.explode(near))
         .join(right, ["package_id", "alert_type", "slot"])
         .where(F.abs(F.col("t1") - F.col("t0")) < within_ms)
-        .groupBy("initial_id")
+        .groupBy("initial_id", "alert_type")
         .agg(first.alias("m"))
-        .select("initial_id", "m.detail_id", F.timestamp_millis("m.t1").alias("detail_at"))
+        .select("initial_id", "alert_type", "m.detail_id", F.timestamp_millis("m.t1").alias("detail_at"))
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelflow import domain
 from parcelflow.functions import scalars as S
-from parcelflow.operators.alerts import station_spine
+from parcelflow.operators.alerts import station_spine, within
 from parcelflow.operators.ingest import with_items
 
 _P = domain.DEFAULTS
@@ -20,15 +20,17 @@ def _damaged() -> Column:
     return F.col("result") == "SCAN_RESULT_DAMAGE_DETECTED"
 
 
-def last_scans(scans: DataFrame) -> DataFrame:
-    """The latest scan per package by (``scanned_at``, ``event_id``)."""
+def last_scans(scans: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """The latest scan per package by (``scanned_at``, ``event_id``), up to ``as_of`` if it is given."""
+    if as_of is not None:
+        scans = scans.where(F.col("scanned_at") <= S.ts(as_of))
     latest = F.max(F.struct("scanned_at", "event_id", "station", "result", "item_id")).alias("s")
     return scans.groupBy("package_id").agg(latest).select("package_id", "s.*")
 
 
-def current_positions(scans: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per package: where it was last seen, and what it is."""
-    return with_items(last_scans(scans), items).select(
+def current_positions(scans: DataFrame, items: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """One row per package: where it was last seen (up to ``as_of``), and what it is."""
+    return with_items(last_scans(scans, as_of), items).select(
         "package_id",
         "station",
         F.col("scanned_at").alias("updated_at"),
@@ -39,8 +41,14 @@ def current_positions(scans: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def evict_stale(positions: DataFrame, as_of: datetime, stale_ms: int = _P.position_stale_ms) -> DataFrame:
-    """Drops positions that are strictly older than the staleness limit."""
-    return positions.where(F.col("updated_at") >= S.ts(S.to_millis(as_of) - stale_ms))
+    """Drops positions that are strictly older than the staleness limit, or newer than ``as_of``."""
+    return positions.where(within("updated_at", as_of, stale_ms))
+
+
+def known_at(positions: DataFrame, as_of: datetime) -> DataFrame:
+    """Positions that are not newer than ``as_of``. What a package did before a newer one is in the
+    scans: see ``current_positions(scans, items, as_of)``."""
+    return positions.where(F.col("updated_at") <= S.ts(as_of))
 
 
 def occupancy(positions: DataFrame) -> DataFrame:
@@ -60,9 +68,9 @@ def _at_risk(dwell: Column, p: domain.Params) -> Column:
 
 
 def kpis(positions: DataFrame, as_of: datetime, p: domain.Params = _P) -> DataFrame:
-    """In transit, at risk and delayed. Delayed includes packages at risk and stuck ones."""
+    """In transit, at risk and delayed at ``as_of``. Delayed includes packages at risk and stuck ones."""
     dwell = _dwell(as_of)
-    return positions.agg(
+    return known_at(positions, as_of).agg(
         F.count(F.lit(1)).alias("in_transit"),
         F.count_if(_at_risk(dwell, p)).alias("at_risk"),
         F.count_if(dwell >= p.delayed_threshold_ms).alias("delayed"),
@@ -73,7 +81,7 @@ def station_kpis(positions: DataFrame, as_of: datetime, p: domain.Params = _P) -
     """Per station; here a package at risk does not also count as delayed."""
     dwell = _dwell(as_of)
     risk = _at_risk(dwell, p)
-    counts = positions.groupBy("station").agg(
+    counts = known_at(positions, as_of).groupBy("station").agg(
         F.count(F.lit(1)).alias("o"),
         F.count_if(~risk & (dwell >= p.delayed_threshold_ms)).alias("d"),
         F.count_if(risk).alias("r"),

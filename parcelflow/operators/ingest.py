@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelflow import domain
 from parcelflow.functions import scalars as S
@@ -50,29 +51,30 @@ def _usable(event: Column) -> Column:
     )
 
 
-def wire_events(fmt: str = "json", **protobuf) -> Column:
-    """The ``value`` column decoded: an array of one event, empty where it cannot be decoded.
+def wire_payload(schema: T.StructType, fmt: str = "json", **protobuf) -> Column:
+    """The ``value`` column (base64 text) parsed; null fields where it cannot be.
 
-    ``value`` is base64 text of the payload. ``fmt='json'`` needs nothing else;
-    ``fmt='protobuf'`` uses Spark's protobuf package with ``message_name`` and ``descriptor_path``.
-    An array, because filtering inside it parses each record once; as a plain column the optimizer
-    would copy the parser into every condition that follows.
+    ``fmt='json'`` needs nothing else; ``fmt='protobuf'`` uses Spark's protobuf package with
+    ``message_name`` and ``descriptor_path``.
     """
     payload = F.try_to_binary("value", F.lit("base64"))
     if fmt == "json":
-        event = F.from_json(payload.cast("string"), domain.SCAN_EVENT, {"mode": "PERMISSIVE"})
-    elif fmt == "protobuf":
+        return F.from_json(payload.cast("string"), schema, {"mode": "PERMISSIVE"})
+    if fmt == "protobuf":
         from pyspark.sql.protobuf.functions import from_protobuf
 
-        event = from_protobuf(
-            payload,
-            protobuf["message_name"],
-            protobuf["descriptor_path"],
-            {"mode": "PERMISSIVE", "enums.as.ints": "false"},
-        )
-    else:
-        raise ValueError(f"unknown wire format: {fmt}")
-    return F.filter(F.array(event), _usable)
+        options = {"mode": "PERMISSIVE", "enums.as.ints": "false"}
+        return from_protobuf(payload, protobuf["message_name"], protobuf["descriptor_path"], options)
+    raise ValueError(f"unknown wire format: {fmt}")
+
+
+def wire_events(fmt: str = "json", **protobuf) -> Column:
+    """The ``value`` column decoded: an array of one event, empty where it cannot be decoded.
+
+    An array, because filtering inside it parses each record once; as a plain column the optimizer
+    would copy the parser into every condition that follows.
+    """
+    return F.filter(F.array(wire_payload(domain.SCAN_EVENT, fmt, **protobuf)), _usable)
 
 
 def decode_scans(wire: DataFrame, fmt: str = "json", **protobuf) -> tuple[DataFrame, DataFrame]:

@@ -4,8 +4,11 @@ Plan shape. Scans of one package that fall into the same slot of ``gap`` millise
 a session, because they lie less than the gap apart. So every slot is first reduced to one summary
 row (a combinable aggregate), and only these summaries, whose number per package is bounded by
 time and not by rows, are ordered per package. A package that holds a third of all scans therefore
-never meets in one task: it is reduced map-side and spread over its slots. The ordered scans of a
+never meets in one task: it is reduced map-side and spread over its slots. The first scans of a
 slot come from a ``row_number() <= k`` filter, which Spark also applies before the shuffle.
+
+A session row has what a verdict reads, at every length: counts, its last scan and as many first
+stations as the route has. Whole paths are rows (``session_scans``, ``misrouted_paths``).
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from parcelflow import domain
 from parcelflow.functions import scalars as S
 
 _GAP = domain.DEFAULTS.session_gap_ms
+_HEAD = len(domain.ROUTE)
 
 
 def _slotted(scans: DataFrame, gap_ms: int) -> DataFrame:
@@ -32,16 +36,18 @@ def _slotted(scans: DataFrame, gap_ms: int) -> DataFrame:
 
 
 def _slot_summaries(scans: DataFrame, gap_ms: int) -> DataFrame:
-    # Fixed-width values only, so that Spark aggregates by hash, without sorting the scans.
     return (
         _slotted(scans, gap_ms)
         .groupBy("package_id", "slot")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min("at_ms").alias("first_ms"),
-            F.max("at_ms").alias("last_ms"),
+            F.max(F.struct("at_ms", "event_id", "station")).alias("last"),
             F.max(F.col("station") == domain.DISPATCH).alias("dispatched"),
         )
+        .withColumn("last_ms", F.col("last.at_ms"))
+        .withColumn("last_station", F.col("last.station"))
+        .drop("last")
     )
 
 
@@ -66,69 +72,88 @@ def _number_sessions(summaries: DataFrame, gap_ms: int) -> DataFrame:
     )
 
 
-def sessions(
-    scans: DataFrame, gap_ms: int = _GAP, inline_scans: int = domain.INLINE_PATH_SCANS
-) -> DataFrame:
+def sessions(scans: DataFrame, gap_ms: int = _GAP) -> DataFrame:
     """One row per package and session.
 
-    ``path`` holds all stations in scan order when ``path_complete``; a session with more than
-    ``inline_scans`` scans keeps its first ones there (enough for any verdict), and
-    :func:`session_scans` has all of them as rows.
+    ``head`` holds the first stations in scan order, as many as the route has; ``last_station`` is the
+    station of the last scan.
     """
-    if inline_scans < len(domain.ROUTE):
-        raise ValueError("inline_scans must cover at least one full route")
     # Both sides are already partitioned by the join keys, so a merge join adds no shuffle, while a
     # broadcast would gather one of these unbounded sides on the driver.
     slots = _slot_summaries(scans, gap_ms).join(
-        _slot_heads(scans, gap_ms, inline_scans).hint("merge"), ["package_id", "slot"]
-    )
-    in_session = (
-        W.partitionBy("package_id", "session_no")
-        .orderBy("slot")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
+        _slot_heads(scans, gap_ms, _HEAD).hint("merge"), ["package_id", "slot"]
     )
-    numbered = _number_sessions(slots, gap_ms).withColumn(
-        "before", F.sum("n").over(in_session) - F.col("n")
-    )
-    # Slots that start after the inline limit no longer matter for the array.
-    head = F.when(F.col("before") < inline_scans, F.struct("slot", "head"))
+    numbered = _number_scans(_number_sessions(slots, gap_ms))
+    # Slots that start after the head no longer matter for it.
+    head = F.when(F.col("before") < _HEAD, F.struct("slot", "head"))
     return (
         numbered.groupBy("package_id", "session_no")
         .agg(
             F.min("first_ms").alias("first_ms"),
-            F.max("last_ms").alias("last_ms"),
+            F.max(F.struct("slot", "last_ms", "last_station")).alias("last"),
             F.sum("n").alias("scan_count"),
             F.max("dispatched").alias("reached_dispatch"),
-            F.slice(F.flatten(F.sort_array(F.collect_list(head)).getField("head")), 1, inline_scans).alias("path"),
+            F.slice(F.flatten(F.sort_array(F.collect_list(head)).getField("head")), 1, _HEAD).alias("head"),
         )
         .select(
             "package_id",
             F.timestamp_millis("first_ms").alias("session_start"),
-            F.timestamp_millis(F.col("last_ms") + gap_ms).alias("session_end"),
-            F.timestamp_millis("last_ms").alias("last_scan_at"),
+            F.timestamp_millis(F.col("last.last_ms") + gap_ms).alias("session_end"),
+            F.timestamp_millis("last.last_ms").alias("last_scan_at"),
+            F.col("last.last_station").alias("last_station"),
             "scan_count",
             "reached_dispatch",
-            (F.col("scan_count") <= inline_scans).alias("path_complete"),
-            "path",
+            "head",
         )
     )
 
 
+def _number_scans(slots: DataFrame) -> DataFrame:
+    """Adds ``before``: how many scans of the session lie in its earlier slots."""
+    in_session = (
+        W.partitionBy("package_id", "session_no").orderBy("slot").rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
+    return slots.withColumn("before", F.sum("n").over(in_session) - F.col("n"))
+
+
 def session_scans(scans: DataFrame, gap_ms: int = _GAP) -> DataFrame:
-    """Every scan with the start of its session: whole paths as rows, whatever their length.
+    """Every scan with the start of its session and its ``position`` there (from 1): whole paths as rows.
 
     The order inside a session is (``scanned_at``, ``event_id``).
     """
-    starts = _number_sessions(_slot_summaries(scans, gap_ms), gap_ms).select(
+    starts = _number_scans(_number_sessions(_slot_summaries(scans, gap_ms), gap_ms)).select(
         "package_id",
         "slot",
+        "before",
         F.min("first_ms").over(W.partitionBy("package_id", "session_no")).alias("start_ms"),
     )
+    in_slot = W.partitionBy("package_id", "slot").orderBy("scanned_at", "event_id")
     return (
         scans.withColumn("slot", S.slot_start(S.millis("scanned_at"), gap_ms))
+        .withColumn("rn", F.row_number().over(in_slot))
         .join(starts, ["package_id", "slot"])
         .withColumn("session_start", F.timestamp_millis("start_ms"))
-        .drop("slot", "start_ms")
+        .withColumn("position", F.col("before") + F.col("rn"))
+        .drop("slot", "start_ms", "before", "rn")
+    )
+
+
+def misrouted_paths(scans: DataFrame, gap_ms: int = _GAP, route: tuple[str, ...] = domain.ROUTE) -> DataFrame:
+    """The whole path of every misrouted session as rows, under the id and time of its alert."""
+    judged = (
+        verdicts(sessions(scans, gap_ms), route)
+        .where("misrouted")
+        .select(
+            "package_id",
+            "session_start",
+            F.concat(F.lit(domain.MISROUTING_ID), "package_id").alias("alert_id"),
+            F.col("last_scan_at").alias("detected_at"),
+        )
+    )
+    return (
+        session_scans(scans, gap_ms)
+        .join(judged, ["package_id", "session_start"])
+        .select("alert_id", "package_id", "detected_at", "position", "event_id", "station", "scanned_at")
     )
 
 
@@ -147,30 +172,27 @@ def first_deviation(path: Column, route: tuple[str, ...] = domain.ROUTE) -> Colu
 def verdicts(sessions: DataFrame, route: tuple[str, ...] = domain.ROUTE) -> DataFrame:
     """Sessions plus ``deviation_index``, ``misrouted`` and the station pair that shows it.
 
-    Without a deviation the actual station is the last one. A misrouted session of that kind is
-    shorter than the route, so its path is always complete; for a clean session with an incomplete
-    path it is NULL.
+    Without a deviation the actual station is that of the last scan.
     """
+    if len(route) > _HEAD:
+        raise ValueError(f"a route has at most {_HEAD} stations")
     dev = F.col("deviation_index")
     expected = F.array(*[F.lit(s) for s in route])
     return (
-        sessions.withColumn("deviation_index", first_deviation(F.col("path"), route))
+        sessions.withColumn("deviation_index", first_deviation(F.col("head"), route))
         .withColumn("misrouted", (dev != -1) | ~F.col("reached_dispatch"))
         .withColumn("expected_station", F.coalesce(F.get(expected, dev), F.lit(route[-1])))
-        .withColumn(
-            "actual_station",
-            F.when(dev != -1, F.get("path", dev)).when(F.col("path_complete"), F.try_element_at("path", F.lit(-1))),
-        )
+        .withColumn("actual_station", F.when(dev != -1, F.get("head", dev)).otherwise(F.col("last_station")))
     )
 
 
 def misrouting_alerts(sessions: DataFrame, route: tuple[str, ...] = domain.ROUTE) -> DataFrame:
     """One alert per misrouted session, in the nested alert schema.
 
-    The id is stable per package, so a corrected journey updates its alert. When the path is too
-    long to be inlined, ``path_so_far`` is empty and ``attributes`` name the scan count.
+    The id is stable per package, so a corrected journey updates its alert. ``path_so_far`` is the head
+    of the path that the verdict has read, at every length; :func:`misrouted_paths` has whole paths as
+    rows, and ``alerts.with_whole_paths`` puts them into alerts that go out on the wire.
     """
-    whole = F.col("path_complete")
     return (
         verdicts(sessions, route)
         .where("misrouted")
@@ -194,12 +216,8 @@ def misrouting_alerts(sessions: DataFrame, route: tuple[str, ...] = domain.ROUTE
             F.struct(
                 "expected_station",
                 "actual_station",
-                F.when(whole, F.col("path")).otherwise(F.array().cast("array<string>")).alias("path_so_far"),
+                F.col("head").alias("path_so_far"),
             ).alias("misrouting_detail"),
-            F.when(whole, F.create_map().cast("map<string,string>"))
-            .otherwise(
-                F.create_map(F.lit("path_scan_count"), F.col("scan_count").cast("string"))
-            )
-            .alias("attributes"),
+            F.create_map().cast("map<string,string>").alias("attributes"),
         )
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date as Date
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,11 +81,38 @@ def station_stats(throughput: DataFrame, rollup: DataFrame, station: str, span:
     }
 
 
+def facility_stats_from(spark: SparkSession, warehouse_root: str, reports_root: str, span: DateRange) -> dict[str, DataFrame]:
+    """``facility_stats`` over the stored tables, each read pruned to the days of ``span``."""
+    report = lambda name: warehouse.read_report(spark, warehouse.report_path(reports_root, name))
+    return facility_stats(
+        report("daily_station_throughput"),
+        report("daily_damage_rate_by_category"),
+        warehouse.read_rollup(spark, warehouse_root, span.floor, span.ceiling),
+        warehouse.read_alerts(spark, warehouse_root, span.floor, span.ceiling),
+        span,
+    )
+
+
+def station_stats_from(
+    spark: SparkSession, warehouse_root: str, reports_root: str, station: str, span: DateRange
+) -> dict[str, DataFrame]:
+    """``station_stats`` over the stored tables, pruned in the same way."""
+    throughput = warehouse.read_report(spark, warehouse.report_path(reports_root, "daily_station_throughput"))
+    return station_stats(throughput, warehouse.read_rollup(spark, warehouse_root, span.floor, span.ceiling), station, span)
+
+
+def list_parcels_from(spark: SparkSession, warehouse_root: str, positions: DataFrame, as_of: datetime, **options) -> ParcelPage:
+    """``list_parcels`` that reads only the alerts of the lookback."""
+    p = options.get("p", _P)
+    alerts = warehouse.read_alerts(spark, warehouse_root, as_of - timedelta(milliseconds=p.flag_lookback_ms), as_of)
+    return list_parcels(positions, alerts, as_of, **options)
+
+
 def parcel_summaries(positions: DataFrame, alerts: DataFrame, as_of: datetime, p: domain.Params = _P) -> DataFrame:
-    """Every current parcel with dwell, status and active flags."""
+    """Every parcel known at ``as_of`` with dwell, status and active flags."""
     dwell = S.dwell_ms("updated_at", as_of)
     return (
-        cases.with_active_flags(positions, alerts, as_of, p.flag_lookback_ms)
+        cases.with_active_flags(floor.known_at(positions, as_of), alerts, as_of, p.flag_lookback_ms)
         .withColumn("dwell_ms", dwell)
         .select(
             "package_id",
@@ -111,11 +138,15 @@ def list_parcels(
     sort_field: str = "",
     sort_desc: bool = False,
     search: str = "",
+    after: tuple | None = None,
     p: domain.Params = _P,
 ) -> ParcelPage:
     """One page of the parcel grid.
 
     The text search looks at all parcels before paging. Ties in the sort are broken by package id.
+    A page far down costs as much as its ``offset``; ``after``, the sort value and package id of the
+    last row of the page before, goes on from there at the cost of one page. ``has_more`` counts rows
+    from ``offset`` on, and from ``after`` on if it is given.
     """
     field = sort_field or "dwell_time"
     if field not in domain.PARCEL_SORT_FIELDS:
@@ -127,9 +158,16 @@ def list_parcels(
     rows = rows.where(S.contains_text(search, F.col("package_id"), F.col("item_name")))
     column = {"dwell_time": "dwell_ms", "detected_at": "last_scan_at", "package_id": "package_id"}[field]
     key = F.col(column).desc() if sort_desc else F.col(column).asc()
+    total, seen = rows, F.lit(offset + size)
+    if after is not None:
+        value, package = (S.ts(after[0]) if column == "last_scan_at" else F.lit(after[0])), F.lit(after[1])
+        beyond = F.col(column) < value if sort_desc else F.col(column) > value
+        rest = beyond | ((F.col(column) == value) & (F.col("package_id") > package))
+        rows = rows.where(rest)
+        seen = F.lit(offset + size) + F.count_if(~rest)
     page = rows.orderBy(key, "package_id").offset(offset).limit(size).drop("dwell_ms")
-    summary = rows.agg(F.count(F.lit(1)).alias("total_count")).select(
-        "total_count", (F.lit(offset + size) < F.col("total_count")).alias("has_more")
+    summary = total.agg(F.count(F.lit(1)).alias("total_count"), seen.alias("seen")).select(
+        "total_count", (F.col("seen") < F.col("total_count")).alias("has_more")
     )
     return ParcelPage(page, summary)
 
@@ -173,6 +211,7 @@ def run_daily_reports(
     """
     final = last or first
     scans = lake.read_lake_range(spark, lake_root, first, final)
-    alerts = warehouse.read_alerts(spark, warehouse_root, S.utc(str(first)))
+    end = S.utc(str(final)) + timedelta(days=1) - timedelta(microseconds=1)
+    alerts = warehouse.read_alerts(spark, warehouse_root, S.utc(str(first)), end)
     for name, report in daily_reports(scans, items, alerts, first, final).items():
         warehouse.overwrite_report(report, warehouse.report_path(warehouse_root, name), inserted_at)

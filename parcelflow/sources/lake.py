@@ -20,6 +20,11 @@ PARTITIONED = T.StructType(
         T.StructField("hour", T.IntegerType()),
     ]
 )
+# Readers of one package skip row groups by their bloom filters without opening the data.
+PACKAGE_BLOOM = {
+    "parquet.bloom.filter.enabled#package_id": "true",
+    "parquet.bloom.filter.adaptive.enabled#package_id": "true",
+}
 _WITH_HOUR = [f.name for f in domain.LAKE_ROW.fields] + ["hour"]
 
 
@@ -27,10 +32,10 @@ def events_path(root: str) -> str:
     return f"{root}/scan_events"
 
 
-def read_stored(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame | None:
+def read_stored(spark: SparkSession, schema: T.StructType, path: str, **options: str) -> DataFrame | None:
     """Parquet files in a declared schema, None when the path does not exist."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).options(**options).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -59,6 +64,7 @@ def write_lake(scans: DataFrame, root: str, mode: str = "append") -> None:
         .hint("rebalance", "date", "hour")
         .sortWithinPartitions("date", "hour", "package_id", "scanned_at")
         .write.mode(mode)
+        .options(**PACKAGE_BLOOM)
         .partitionBy("date", "hour")
         .parquet(events_path(root))
     )
@@ -111,6 +117,16 @@ def read_package_scans(spark: SparkSession, root: str, package_id: str) -> DataF
 def compact_day(spark: SparkSession, root: str, day: str | Date, target: str) -> None:
     """Rewrites one date with few large files under ``target``, another lake root.
 
-    The source stays untouched, so a lost executor or a failed run can simply be repeated.
+    The source stays untouched and the date's partitions in ``target`` are replaced, so a run can be
+    repeated after a failure or when late rows have come.
     """
-    write_lake(read_lake_day(spark, root, day), target, mode="append")
+    (
+        lake_rows(read_lake_day(spark, root, day))
+        .hint("rebalance", "date", "hour")
+        .sortWithinPartitions("date", "hour", "package_id", "scanned_at")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .options(**PACKAGE_BLOOM)
+        .partitionBy("date", "hour")
+        .parquet(events_path(target))
+    )

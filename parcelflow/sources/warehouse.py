@@ -2,34 +2,16 @@
 
 from __future__ import annotations
 
-import time
+from datetime import date as Date
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from parcelflow import domain
 from parcelflow.functions import scalars as S
 from parcelflow.operators import alerts as A
-from parcelflow.sources.lake import read_stored
-
-
-# Stored columns plus the partition columns.
-_ALERT_FILES = T.StructType(
-    [
-        *domain.ALERT_ROW.fields,
-        T.StructField("detected_date", T.DateType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
-_ROLLUP_FILES = T.StructType(
-    [
-        *domain.ROLLUP_ROW.fields,
-        T.StructField("hour_date", T.DateType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
+from parcelflow.sources import parts
 
 
 def alerts_path(root: str) -> str:
@@ -50,53 +32,62 @@ def _alert_rows(alerts: DataFrame, inserted_at: Column) -> DataFrame:
 
 
 def append_alerts(
-    alerts: DataFrame, root: str, inserted_at: datetime | None = None, batch_id: int | None = None
+    alerts: DataFrame,
+    root: str,
+    inserted_at: datetime | None = None,
+    batch_id: int | None = None,
+    writer: str = "batch",
 ) -> None:
     """Adds a batch of alerts, and the partial counts it adds to the hourly rollup.
 
-    A batch lives in directories of its own: a micro-batch that is repeated after a failure replaces
-    them and does not count twice. Without a ``batch_id`` the batch is new. The counts are taken from
-    the stored batch, so ``alerts`` is computed once.
+    Any number of writers share the tables. A batch lives in parts of its own: a micro-batch that the
+    same ``writer`` repeats after a failure replaces them and does not count twice. Without a
+    ``batch_id`` the batch is new. The counts are taken from the stored batch, so ``alerts`` is
+    computed once.
     """
-    batch = time.time_ns() // 1000 if batch_id is None else batch_id
+    spark = alerts.sparkSession
+    batch = parts.new_batch() if batch_id is None else batch_id
     stamp = F.current_timestamp() if inserted_at is None else S.ts(inserted_at)
-    stored = f"{alerts_path(root)}/batch_id={batch}"
-    (
-        _alert_rows(alerts, stamp)
-        .hint("rebalance", "detected_date")
-        .sortWithinPartitions("detected_date", "alert_type", "detected_at")
-        .write.mode("overwrite")
-        .partitionBy("detected_date")
-        .parquet(stored)
-    )
-    (
-        A.hourly_rollup(alerts.sparkSession.read.schema(domain.ALERT_ROW).parquet(stored))
-        .withColumn("hour_date", F.to_date("hour"))
-        .hint("rebalance", "hour_date")
-        .write.mode("overwrite")
-        .partitionBy("hour_date")
-        .parquet(f"{rollup_path(root)}/batch_id={batch}")
+    parts.append(
+        _alert_rows(alerts, stamp), alerts_path(root), "detected_date", writer, batch, "alert_type", "detected_at"
     )
+    stored = parts.read_part(spark, alerts_path(root), domain.ALERT_ROW, "detected_date", writer, batch)
+    rollup = A.hourly_rollup(stored).withColumn("hour_date", F.to_date("hour"))
+    parts.append(rollup, rollup_path(root), "hour_date", writer, batch, "hour")
 
 
-def read_alerts(spark: SparkSession, root: str, floor: datetime | None = None) -> DataFrame:
-    """The alert table; ``floor`` filters by time and prunes the day directories."""
-    df = read_stored(spark, _ALERT_FILES, alerts_path(root))
-    if df is None:
-        return spark.createDataFrame([], domain.ALERT_ROW)
-    if floor is not None:
-        df = df.where(F.col("detected_date") >= F.lit(floor.date())).where(F.col("detected_at") >= S.ts(floor))
-    return df.select(*domain.ALERT_ROW.names)
+def _date(t: datetime | None):
+    return None if t is None else t.date()
 
 
-def read_rollup(spark: SparkSession, root: str, floor: datetime | None = None) -> DataFrame:
-    """Partial hourly counts; merge them with ``alerts.merge_rollup``."""
-    df = read_stored(spark, _ROLLUP_FILES, rollup_path(root))
-    if df is None:
-        return spark.createDataFrame([], domain.ROLLUP_ROW)
+def read_alerts(
+    spark: SparkSession, root: str, floor: datetime | None = None, ceiling: datetime | None = None
+) -> DataFrame:
+    """The alert table; ``floor`` and ``ceiling`` (both included) filter by time and prune the day directories."""
+    df = parts.read(spark, alerts_path(root), domain.ALERT_ROW, "detected_date", _date(floor), _date(ceiling))
     if floor is not None:
-        df = df.where(F.col("hour_date") >= F.lit(floor.date()))
-    return df.select(*domain.ROLLUP_ROW.names)
+        df = df.where(F.col("detected_at") >= S.ts(floor))
+    if ceiling is not None:
+        df = df.where(F.col("detected_at") <= S.ts(ceiling))
+    return df
+
+
+def read_rollup(
+    spark: SparkSession, root: str, floor: datetime | None = None, ceiling: datetime | None = None
+) -> DataFrame:
+    """Partial hourly counts of whole days, pruned; merge them with ``alerts.merge_rollup``."""
+    return parts.read(spark, rollup_path(root), domain.ROLLUP_ROW, "hour_date", _date(floor), _date(ceiling))
+
+
+def compact_alert_day(spark: SparkSession, root: str, day: Date) -> None:
+    """Few files for one finished day of the alert and rollup tables; readers see it at once."""
+    parts.compact(
+        spark, alerts_path(root), domain.ALERT_ROW, "detected_date", day, None, "alert_type", "detected_at", "alert_id"
+    )
+    keys = ("hour", "alert_type", "severity", "station")
+    parts.compact(
+        spark, rollup_path(root), domain.ROLLUP_ROW, "hour_date", day, lambda df: A.merge_rollup(df, *keys), "hour"
+    )
 
 
 def drop_expired(spark: SparkSession, root: str, as_of: datetime, days: int = domain.DEFAULTS.alert_retention_days) -> int:
@@ -107,7 +98,7 @@ def drop_expired(spark: SparkSession, root: str, as_of: datetime, days: int = do
     limit = (S.utc(as_of.strftime("%Y-%m-%d")).timestamp() // 86400) - days
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     dropped = 0
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{alerts_path(root)}/batch_id=*/detected_date=*")
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{alerts_path(root)}/*/detected_date=*")
     fs = pattern.getFileSystem(conf)
     for status in fs.globStatus(pattern) or []:
         day = status.getPath().getName().split("=", 1)[1]

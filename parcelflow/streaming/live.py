@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import sys
+from datetime import date as Date
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from parcelflow import domain
 from parcelflow.functions import scalars as S
-from parcelflow.operators import cases, ingest
+from parcelflow.operators import cases, floor, ingest
 from parcelflow.operators.alerts import latest_versions
-from parcelflow.sources import warehouse
+from parcelflow.sources import parts, warehouse
 from parcelflow.streaming import journeys
 
+# The processor travels to the workers by value: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _P = domain.DEFAULTS
 
 
@@ -21,26 +29,43 @@ def with_event_time(scans: DataFrame, ooo_ms: int = _P.max_out_of_orderness_ms)
     return scans.withWatermark("scanned_at", f"{ooo_ms} milliseconds")
 
 
-def dedup(scans: DataFrame, ooo_ms: int = _P.max_out_of_orderness_ms) -> DataFrame:
-    """Optional: drops resent scans (same ``event_id``) that arrive within the watermark delay."""
-    return with_event_time(scans, ooo_ms).dropDuplicatesWithinWatermark(["event_id"])
+class _FirstSeen(StatefulProcessor):
+    """Passes the first record of a key on, until its time to live in processing time is over."""
+
+    def __init__(self, keep_ms: int):
+        self._keep = keep_ms
+
+    def init(self, handle):
+        self._seen = handle.getValueState("seen", "seen boolean", ttlDurationMs=self._keep)
 
+    def handleInputRows(self, key, rows, timerValues):
+        if not self._seen.exists():
+            self._seen.update((True,))
+            yield next(iter(rows))
 
-def latest_scan_stream(scans: DataFrame, ooo_ms: int = _P.max_out_of_orderness_ms, slot: str = "1 hour") -> DataFrame:
-    """Latest scan per package and hour, for update mode.
+    def close(self):
+        pass
 
-    The hour in the key lets the watermark drop finished state; a package's position is the newest
-    of its rows. The aggregate combines map-side, so a busy package is no bottleneck.
+
+def dedup(scans: DataFrame, keep_ms: int = _P.resend_window_ms) -> DataFrame:
+    """Optional: drops resent scans (same ``event_id``) that arrive within ``keep_ms`` of the first one.
+
+    No watermark is involved, so a late scan that is not a duplicate passes.
     """
-    newest = F.max(F.struct("scanned_at", "event_id", "station", "result", "item_id")).alias("s")
-    return (
-        with_event_time(scans, ooo_ms)
-        .groupBy("package_id", F.window("scanned_at", slot))
-        .agg(newest)
-        .select("package_id", "s.*")
+    return scans.groupBy("event_id").transformWithState(
+        statefulProcessor=_FirstSeen(keep_ms),
+        outputStructType=scans.schema,
+        outputMode="append",
+        timeMode="ProcessingTime",
     )
 
 
+#: Columns of a stored version of a position.
+POSITION_VERSION = T.StructType([*domain.POSITION.fields, T.StructField("event_id", T.StringType())])
+# Positions are one table whatever the day: the newest version of a package counts.
+_ALL_DAYS = Date(1970, 1, 1)
+
+
 def positions_path(root: str) -> str:
     return f"{root}/positions"
 
@@ -48,43 +73,44 @@ def positions_path(root: str) -> str:
 def start_positions(
     scans: DataFrame, items: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Keeps the position table current: every micro-batch writes the changed positions to its own
-    directory, which a repeated batch replaces."""
+    """Keeps the position table current: every micro-batch appends the newest scan of each of its
+    packages, however late, as a part of its own; readers pick the newest version."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        ingest.with_items(batch, items).select(
+        newest = ingest.with_items(floor.last_scans(batch), items).select(
             "package_id",
             "station",
             F.col("scanned_at").alias("updated_at"),
-            "event_id",
             "item_name",
             "item_category",
             (F.col("result") == "SCAN_RESULT_DAMAGE_DETECTED").alias("damage_detected"),
-        ).write.mode("overwrite").parquet(f"{positions_path(root)}/batch_id={batch_id}")
+            "event_id",
+        )
+        parts.append(
+            newest.withColumn("kept", F.lit(_ALL_DAYS)), positions_path(root), "kept", parts.writer_of(batch), batch_id, "package_id"
+        )
 
     return (
-        latest_scan_stream(scans)
-        .writeStream.outputMode("update")
-        .foreachBatch(write)
+        scans.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
         .start()
     )
 
 
+def _newest_versions(versions: DataFrame) -> DataFrame:
+    return latest_versions(versions, ["package_id"], ["updated_at", "event_id"])
+
+
 def positions_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The table a new reader starts from: the newest position per package."""
-    versions = spark.read.parquet(positions_path(root)).drop("batch_id")
-    newest = latest_versions(versions, ["package_id"], ["updated_at", "event_id"])
-    return newest.select(*domain.POSITION.names)
+    versions = parts.read(spark, positions_path(root), POSITION_VERSION, "kept")
+    return _newest_versions(versions).select(*domain.POSITION.names)
 
 
-def compact_positions(spark: SparkSession, root: str, target: str) -> None:
-    """Writes the newest positions as one batch of a fresh table under ``target``; the old one stays
-    as it is, so a failed run can be repeated."""
-    versions = spark.read.parquet(positions_path(root)).drop("batch_id")
-    newest = latest_versions(versions, ["package_id"], ["updated_at", "event_id"])
-    newest.write.mode("overwrite").parquet(f"{positions_path(target)}/batch_id=0")
+def compact_positions(spark: SparkSession, root: str) -> None:
+    """Keeps only the newest version per package of what was written so far; readers see it at once."""
+    parts.compact(spark, positions_path(root), POSITION_VERSION, "kept", _ALL_DAYS, _newest_versions, "package_id")
 
 
 def damage_rate_stream(
@@ -119,7 +145,7 @@ def start_alert_loader(
     """Loads nested alerts into the alert table and adds their hourly partial counts."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        warehouse.append_alerts(batch, root, batch_id=batch_id)
+        warehouse.append_alerts(batch, root, batch_id=batch_id, writer=parts.writer_of(batch))
 
     return (
         alerts.writeStream.foreachBatch(load)
@@ -133,6 +159,19 @@ def late_path(root: str) -> str:
     return f"{root}/late_scans"
 
 
+LATE_SCAN = T.StructType(
+    [
+        *(T.StructField(n, T.StringType()) for n in ("package_id", "event_id", "station")),
+        T.StructField("scanned_at", T.TimestampType()),
+    ]
+)
+
+
+def read_late_scans(spark: SparkSession, root: str) -> DataFrame:
+    """Scans that came too late for their journey."""
+    return parts.read(spark, late_path(root), LATE_SCAN, "scan_date")
+
+
 def start_journeys(
     scans: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, **options
 ) -> StreamingQuery:
@@ -144,8 +183,10 @@ def start_journeys(
         batch.persist()
         try:
             alerts = journeys.misrouting_alerts(journeys.closed_sessions(batch))
-            warehouse.append_alerts(alerts, root, batch_id=batch_id)
-            journeys.late_scans(batch).write.mode("overwrite").parquet(f"{late_path(root)}/batch_id={batch_id}")
+            writer = parts.writer_of(batch)
+            warehouse.append_alerts(alerts, root, batch_id=batch_id, writer=writer)
+            late = journeys.late_scans(batch).withColumn("scan_date", F.to_date("scanned_at"))
+            parts.append(late, late_path(root), "scan_date", writer, batch_id, "package_id")
         finally:
             batch.unpersist()
 
@@ -158,16 +199,6 @@ def start_journeys(
     )
 
 
-def rollup_stream(alerts: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Hourly alert counts for update mode, as an alternative to the loader's partial counts."""
-    return (
-        alerts.withWatermark("detected_at", delay)
-        .groupBy(F.window("detected_at", "1 hour"), "alert_type", "severity", "station")
-        .agg(F.count(F.lit(1)).alias("alert_count"))
-        .select(F.col("window.start").alias("hour"), "alert_type", "severity", "station", "alert_count")
-    )
-
-
 def live_feed_stream(scans: DataFrame, items: DataFrame, alerts: DataFrame) -> DataFrame:
     """Position updates and alerts as one tagged stream."""
     return cases.live_feed(ingest.position_updates(scans, items), alerts)
@@ -177,17 +208,30 @@ def nearby_scan_stream(
     alerts: DataFrame,
     scans: DataFrame,
     half_width_ms: int = _P.case_half_width_ms,
-    ooo_ms: int = _P.max_out_of_orderness_ms,
+    delay_ms: int = _P.max_out_of_orderness_ms,
 ) -> DataFrame:
     """Stream-stream form of ``cases.nearby_scans``: both sides need a watermark, and the time range
-    in the join condition lets Spark drop old state."""
-    left = alerts.select("alert_id", F.col("package_id").alias("alert_package"), "detected_at").withWatermark(
-        "detected_at", f"{half_width_ms + ooo_ms} milliseconds"
+    in the join condition lets Spark drop old state.
+
+    ``delay_ms`` is how late a scan or alert may come; state is kept that much longer. Both sides meet
+    on (package, time slot), so a busy package is spread over its slots.
+    """
+    at, seen = S.millis("detected_at"), S.millis("scanned_at")
+    slot = S.slot_start(at, half_width_ms)
+    left = (
+        alerts.select("alert_id", F.col("package_id").alias("alert_package"), "detected_at")
+        .withWatermark("detected_at", f"{half_width_ms + delay_ms} milliseconds")
+        .withColumn("alert_slot", F.explode(F.array(slot - half_width_ms, slot, slot + half_width_ms)))
+    )
+    right = (
+        with_event_time(scans, delay_ms)
+        .select("package_id", "event_id", "station", "scanned_at")
+        .withColumn("slot", S.slot_start(seen, half_width_ms))
     )
-    right = with_event_time(scans, ooo_ms).select("package_id", "event_id", "station", "scanned_at")
     width = F.expr(f"INTERVAL '{half_width_ms / 1000:.3f}' SECOND")
     near = (
         (F.col("alert_package") == F.col("package_id"))
+        & (F.col("alert_slot") == F.col("slot"))
         & (F.col("scanned_at") > F.col("detected_at") - width)
         & (F.col("scanned_at") < F.col("detected_at") + width)
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parcelflow import domain
 from parcelflow.functions.scalars import millis, to_millis
 from parcelflow.operators import journeys
+from parcelflow.operators.alerts import with_whole_paths
 from tests.helpers import BASE, GAP, STATION, brute_sessions, frame, journey, path, random_rows, scan
 
 
@@ -78,10 +79,21 @@ def test_a_gap_of_exactly_the_limit_stays_in_the_session(spark):
 
 
 def _sessions(df, **options):
+    """Sessions with their whole path, put together from the path rows."""
     rows = journeys.sessions(df, **options).select(
-        "package_id", millis("session_start"), millis("last_scan_at"), "scan_count", "path"
+        "package_id", millis("session_start"), millis("last_scan_at"), "scan_count", "head", "last_station"
     )
-    return sorted((r[0], r[1], r[2], r[3], list(r[4])) for r in rows.collect())
+    paths = {}
+    for r in journeys.session_scans(df, **options).select("package_id", millis("session_start"), "position", "station").collect():
+        paths.setdefault((r[0], r[1]), []).append((r[2], r[3]))
+    found = []
+    for package, start, last, count, head, last_station in rows.collect():
+        path = sorted(paths[package, start])
+        assert [p for p, _ in path] == list(range(1, count + 1))
+        stations = [s for _, s in path]
+        assert list(head) == stations[:7] and last_station == stations[-1]
+        found.append((package, start, last, count, stations))
+    return sorted(found)
 
 
 @pytest.mark.parametrize("seed, grain", [(1, 1), (2, 60_000), (3, 1_200_000)])
@@ -98,37 +110,38 @@ def test_very_long_session_of_a_hot_package(spark):
     rows = hot + random_rows(rng, packages=500, scans=6000)
     expected = brute_sessions(rows)
     df = frame(spark, rows)
-    got = {(r.package_id, to_millis(r.session_start)): r for r in journeys.sessions(df, inline_scans=100).collect()}
-    assert len(got) == len(expected)
-    for package, start, _, count, stations in expected:
-        r = got[(package, start)]
-        assert r.scan_count == count
-        assert r.path_complete == (count <= 100)
-        assert list(r.path) == stations[:100]
-    judged = journeys.verdicts(journeys.sessions(df, inline_scans=100)).where("package_id = 'hot'").collect()
-    assert [(v.deviation_index, v.misrouted) for v in judged] == [(-1, False)]
+    assert _sessions(df) == expected
+    judged = journeys.verdicts(journeys.sessions(df)).where("package_id = 'hot'").collect()
+    last = next(stations[-1] for package, *_, stations in expected if package == "hot")
+    assert [(v.deviation_index, v.misrouted, v.actual_station) for v in judged] == [(-1, False, last)]
     tagged = journeys.session_scans(df)
     assert tagged.count() == len(rows)
     sizes = tagged.groupBy("package_id", millis("session_start").alias("s")).count().collect()
     assert sorted((r[0], r[1], r[2]) for r in sizes) == [(p, s, n) for p, s, _, n, _ in expected]
 
 
-def test_path_too_long_to_inline_is_left_to_the_rows(spark):
-    rows = [scan("p", "I", BASE + i) for i in range(20)]
-    sessions = journeys.sessions(frame(spark, rows), inline_scans=10)
-    (a,) = journeys.misrouting_alerts(sessions).collect()
-    assert a.misrouting_detail.path_so_far == []
-    assert a.attributes == {"path_scan_count": "20"}
-    assert a.misrouting_detail.expected_station == STATION["N"]
+@pytest.mark.parametrize("count", [3, 7, 8, 1500])
+def test_alert_and_whole_path_at_every_length(spark, count):
+    rows = [scan("p", "I", BASE + i, event=f"e{i:05d}") for i in range(count)]
+    df = frame(spark, rows + [scan("q", x, BASE + i) for i, x in enumerate("INABQSD")])
+    found = journeys.misrouting_alerts(journeys.sessions(df))
+    paths = journeys.misrouted_paths(df)
+    (a,) = found.collect()
+    assert a.misrouting_detail.path_so_far == [STATION["I"]] * min(count, 7) and a.attributes == {}
+    assert (a.misrouting_detail.expected_station, a.misrouting_detail.actual_station) == (STATION["N"], STATION["I"])
+    assert sorted((r.position, r.event_id) for r in paths.collect()) == [(i + 1, f"e{i:05d}") for i in range(count)]
+    assert {r.alert_id for r in paths.collect()} == {"misrouting-p"}
+    (whole,) = with_whole_paths(found, paths).collect()
+    assert whole.misrouting_detail.path_so_far == [STATION["I"]] * count and whole.alert_id == a.alert_id
 
 
-def test_inline_limit_must_cover_the_route(spark):
+def test_a_longer_route_is_refused(spark):
     with pytest.raises(ValueError):
-        journeys.sessions(frame(spark, []), inline_scans=len(domain.ROUTE) - 1)
+        journeys.verdicts(journeys.sessions(frame(spark, [])), (*domain.ROUTE, "STATION_TYPE_INTAKE"))
 
 
 def test_slots_are_reduced_before_the_shuffle(spark):
     plan = journeys.sessions(journey(spark, "INA"))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
-    assert "partial_max" in plan and "HashAggregate" in plan
+    assert "partial_max" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan

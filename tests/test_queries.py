@@ -8,6 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from checks import load  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -16,7 +17,7 @@ TABLES = (
 ).split()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = load().QUERIES, load().ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -56,3 +57,4 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and ORACLE.items() <= contract.oracle_sql().items()

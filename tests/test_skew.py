@@ -61,12 +61,11 @@ def test_the_hot_package_is_hot(bed):
 
 
 def test_sessions(bed, duck, monkeypatch):
-    df = journeys.sessions(bed.scans, inline_scans=50).select(
-        "package_id", "session_start", "last_scan_at", "scan_count", "reached_dispatch",
-        F.slice("path", 1, 50).alias("path"),
+    df = journeys.sessions(bed.scans).select(
+        "package_id", "session_start", "last_scan_at", "scan_count", "reached_dispatch", "head", "last_station"
     )
     sql = """select package_id, start_ms session_start, last_ms last_scan_at, scan_count, reached reached_dispatch,
-      array_to_string(path[1:50], '>') path from sess"""
+      array_to_string(path[1:7], '>') head, path[len(path)] last_station from sess"""
     rows = compare(duck, monkeypatch, df, sql)
     assert max(int(r[3]) for r in rows) > 1000
 
@@ -81,8 +80,12 @@ def test_verdicts(bed, duck, monkeypatch):
 
 
 def test_whole_paths_as_rows(bed, duck, monkeypatch):
-    df = journeys.session_scans(bed.scans).groupBy("package_id", "session_start").agg(F.count(F.lit(1)).alias("scan_count"))
-    compare(duck, monkeypatch, df, "select package_id, start_ms session_start, scan_count from sess")
+    df = journeys.session_scans(bed.scans).select("package_id", "session_start", "position", "station")
+    compare(duck, monkeypatch, df, detection.PATH_ROWS_SQL.format(sessions="select * from sess"))
+    sql = """select concat('misrouting-', package_id) alert_id, last_ms detected_at,
+      unnest(range(1, len(path) + 1)) as "position", unnest(path) station from sess where dev <> -1 or not reached"""
+    paths = journeys.misrouted_paths(bed.scans).select("alert_id", "detected_at", "position", "station")
+    compare(duck, monkeypatch, paths, sql)
 
 
 def test_stuck(bed, duck, monkeypatch):

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from parcelflow.functions.scalars import millis, to_millis
 from parcelflow.operators import alerts as A
-from parcelflow.sources import stream, warehouse
+from parcelflow.operators import journeys as batch_journeys
+from parcelflow.sources import parts, stream, warehouse
 from parcelflow.streaming import journeys, live, stuck
 from tests.helpers import BASE, GAP, brute_sessions, brute_stuck, frame, random_rows, scan
 
@@ -76,8 +78,11 @@ def test_journey_stream_closes_sessions_like_the_batch(spark, tmp_path):
         feed.step(arrived[i : i + 40])
     newest = max(to_millis(r[3]) for r in rows)
     expected = [s for s in brute_sessions(rows) if s[2] + GAP <= newest - 30_000]
-    got = feed.result().select("package_id", millis("session_start"), millis("last_scan_at"), "scan_count", "path")
-    assert sorted((r[0], r[1], r[2], r[3], list(r[4])) for r in got.collect()) == expected
+    got = feed.result().select(
+        "package_id", millis("session_start"), millis("last_scan_at"), "scan_count", "head", "last_station"
+    )
+    want = [(p, a, b, n, stations[:7], stations[-1]) for p, a, b, n, stations in expected]
+    assert sorted((*r[:4], list(r[4]), r[5]) for r in got.collect()) == want
 
 
 def test_late_scan_fires_again_then_goes_to_the_side(spark, tmp_path):
@@ -94,7 +99,7 @@ def test_late_scan_fires_again_then_goes_to_the_side(spark, tmp_path):
     # Late by less than five minutes: judged again, now with the whole path.
     feed.step([scan("p", "D", start + 4_500)])
     again = feed.result().where("package_id = 'p' and scan_count = 7").collect()
-    assert [(r.reached_dispatch, len(r.path)) for r in again] == [(True, 7)]
+    assert [(r.reached_dispatch, len(r.head)) for r in again] == [(True, 7)]
     # A late scan that moves the end of the session waits for the new end.
     feed.step([scan("p", "A", start + 6_000)])
     assert feed.result().where("package_id = 'p'").count() == 2
@@ -114,7 +119,7 @@ def test_late_scan_bridges_two_open_sessions(spark, tmp_path):
     feed.step([scan("q", "I", BASE + 4 * GAP)])
     got = feed.result().where("package_id = 'p'").collect()
     # The first part had closed on its own before the late scan joined both.
-    assert sorted((r.scan_count, [s[13:] for s in r.path]) for r in got) == [
+    assert sorted((r.scan_count, [s[13:] for s in r.head]) for r in got) == [
         (1, ["INTAKE"]),
         (3, ["INTAKE", "INDUCTION", "SORT_A"]),
     ]
@@ -140,23 +145,33 @@ def test_corrected_alert_keeps_its_id(spark, tmp_path):
     assert [(r.alert_type, r.alert_count) for r in counted] == [("ALERT_TYPE_MISROUTING", 2)]
 
 
-def test_long_session_keeps_bounded_state(spark, tmp_path):
+def test_long_session_keeps_what_the_verdict_reads(spark, tmp_path):
     rows = [scan("p", x, BASE + i * 100, event=f"a{i}") for i, x in enumerate("INABQSD")]
-    rows += [scan("p", "A", BASE + 1000 + i * 10, event=f"b{i:04d}") for i in range(500)]
-    feed = Feed(spark, tmp_path, lambda s: journeys.session_stream(s, inline_scans=50))
+    rows += [scan("p", "A", BASE + 1000 + i * 10, event=f"b{i:04d}") for i in range(1500)]
+    feed = Feed(spark, tmp_path, journeys.session_stream)
     feed.step(rows[250:])
     feed.step(rows[:250] + [scan("q", "I", BASE + 3 * GAP)])
     feed.step([scan("q", "I", BASE + 4 * GAP)])
     (r,) = feed.result().where("package_id = 'p'").collect()
-    assert (r.scan_count, len(r.path), r.reached_dispatch) == (507, 50, True)
-    assert [s[13:] for s in r.path[:7]] == ["INTAKE", "INDUCTION", "SORT_A", "SORT_B", "QC_CHECK", "STAGING", "DISPATCH"]
+    assert (r.scan_count, r.reached_dispatch, r.last_station[13:]) == (1507, True, "SORT_A")
+    assert [s[13:] for s in r.head] == ["INTAKE", "INDUCTION", "SORT_A", "SORT_B", "QC_CHECK", "STAGING", "DISPATCH"]
+
+
+def test_very_late_scans_are_reported(spark, tmp_path):
+    feed = Feed(spark, tmp_path, lambda s: journeys.session_stream(s, lateness_ms=300_000))
+    feed.step([scan("p", "I", BASE)])
+    feed.step([scan("q", "N", BASE + 60 * 86_400_000)])
+    feed.step([scan("r", "I", BASE + 1), scan("p", "N", BASE + 2 * GAP), scan("q", "A", BASE + 60 * 86_400_000 + 1)])
+    late = journeys.late_scans(feed.result()).collect()
+    assert sorted((r.package_id, to_millis(r.scanned_at)) for r in late) == [("p", BASE + 2 * GAP), ("r", BASE + 1)]
 
 
-def test_dedup_drops_resent_scans_across_batches(spark, tmp_path):
+def test_dedup_drops_resent_scans_and_keeps_late_ones(spark, tmp_path):
     feed = Feed(spark, tmp_path, live.dedup)
-    feed.step([scan("p", "I", BASE, event="e1")])
-    feed.step([scan("p", "I", BASE, event="e1"), scan("p", "N", BASE + 1, event="e2")])
-    assert sorted(r.event_id for r in feed.result().collect()) == ["e1", "e2"]
+    feed.step([scan("p", "I", BASE, event="e1"), scan("p", "I", BASE, event="e1")])
+    feed.step([scan("p", "I", BASE, event="e1"), scan("p", "N", BASE + 86_400_000, event="e2")])
+    feed.step([scan("p", "A", BASE - 86_400_000, event="e3"), scan("p", "N", BASE + 86_400_000, event="e2")])
+    assert sorted(r.event_id for r in feed.result().collect()) == ["e1", "e2", "e3"]
 
 
 def test_positions_keep_the_newest_scan(spark, tmp_path):
@@ -171,25 +186,45 @@ def test_positions_keep_the_newest_scan(spark, tmp_path):
         live.start_positions(scans, items, root, checkpoint, NOW).awaitTermination()
     got = {r.package_id: (r.station[13:], r.item_name) for r in live.positions_snapshot(spark, root).collect()}
     assert got == {"p": ("INDUCTION", "Lamp"), "q": ("INTAKE", ""), "r": ("INTAKE", "")}
-    compact = str(tmp_path / "compact")
-    live.compact_positions(spark, root, compact)
-    assert live.positions_snapshot(spark, compact).exceptAll(live.positions_snapshot(spark, root)).count() == 0
-    assert spark.read.parquet(live.positions_path(compact)).count() == 3
+    for _ in range(2):
+        live.compact_positions(spark, root)
+        kept = {r.package_id: (r.station[13:], r.item_name) for r in live.positions_snapshot(spark, root).collect()}
+        assert kept == got
+    assert parts.read(spark, live.positions_path(root), live.POSITION_VERSION, "kept").count() == 3
+
+
+def test_two_loaders_and_a_new_checkpoint_share_one_table(spark, tmp_path):
+    root, at = str(tmp_path / "wh"), F.lit("2026-08-01 10:00:00").cast("timestamp")
+    base = journeys_alert(spark)
+    for k, (inbox, checkpoint) in enumerate([("in1", "cp1"), ("in2", "cp2"), ("in1", "cp3")]):
+        rows = base.withColumn("alert_id", F.lit(f"a{k}")).withColumn("detected_at", at)
+        rows.write.mode("append").parquet(str(tmp_path / inbox))
+        source = spark.readStream.schema(rows.schema).parquet(str(tmp_path / inbox))
+        live.start_alert_loader(source, root, str(tmp_path / checkpoint), NOW).awaitTermination()
+    # The third loader has read its inbox from the start under a new identity.
+    assert sorted(r.alert_id for r in warehouse.read_alerts(spark, root).collect()) == ["a0", "a0", "a1", "a2"]
+    assert A.merge_rollup(warehouse.read_rollup(spark, root), "alert_type").first().alert_count == 4
+    from datetime import date, datetime, timezone
+
+    day = date(2026, 8, 1)
+    warehouse.compact_alert_day(spark, root, day)
+    assert A.merge_rollup(warehouse.read_rollup(spark, root), "alert_type").first().alert_count == 4
+    pruned = warehouse.read_alerts(spark, root, datetime(2026, 8, 1, tzinfo=timezone.utc), datetime(2026, 8, 2, tzinfo=timezone.utc))
+    assert pruned.count() == 4
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", pruned._jdf.queryExecution().executedPlan().toString())
+    assert filters and all("detected_date" in f for f in filters)
+
+
+def journeys_alert(spark):
+    return batch_journeys.misrouting_alerts(batch_journeys.sessions(frame(spark, [scan("p", "I", BASE)])))
+
+
+def test_file_sources_cannot_start_from_the_newest_records(spark, tmp_path):
+    with pytest.raises(ValueError):
+        stream.read_scan_stream(spark, fmt="parquet", starting="latest", path=str(tmp_path))
+    with pytest.raises(ValueError):
+        stream.read_scan_stream(spark, fmt="parquet", payload={"fmt": "xml"}, path=str(tmp_path))
 
 
 def test_kafka_options():
     assert stream.PRODUCER_OPTIONS == {"kafka.acks": "all", "kafka.enable.idempotence": "true"}
-
-
-def test_rollup_stream_in_update_mode(spark, tmp_path):
-    rows = [("a1", "ALERT_TYPE_DAMAGE", "SEVERITY_WARNING", "STATION_TYPE_SORT_A", BASE + i) for i in range(5)]
-    df = spark.createDataFrame(rows, "alert_id string, alert_type string, severity string, station string, ms long")
-    df = df.withColumn("detected_at", F.timestamp_millis("ms")).drop("ms")
-    df.write.parquet(str(tmp_path / "in"))
-    source = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
-    query = (
-        live.rollup_stream(source).writeStream.outputMode("update").format("memory").queryName("hours")
-        .trigger(**NOW).start()
-    )
-    query.awaitTermination()
-    assert [r.alert_count for r in spark.table("hours").collect()] == [5]
