@@ -33,10 +33,17 @@ class Stored(Testbed):
     def store_scans(self) -> None:
         Testbed.scans.fget(self).write.mode("overwrite").parquet(f"{self.root}/scans")
 
+    def store_wire(self) -> None:
+        ingest.encode_scans(self.scans).write.mode("overwrite").parquet(f"{self.root}/wire")
+
     @property
     def scans(self):
         return self.spark.read.parquet(f"{self.root}/scans")
 
+    @property
+    def wire(self):
+        return self.spark.read.parquet(f"{self.root}/wire")
+
 
 def drain(*frames) -> None:
     for df in frames:
@@ -50,7 +57,7 @@ def headline(t: Stored) -> dict:
         "misrouting_alerts": lambda: drain(journeys.misrouting_alerts(journeys.sessions(t.scans))),
         "session_scans": lambda: drain(journeys.session_scans(t.scans)),
         "stuck_alerts": lambda: drain(dwell.stuck_alerts(t.scans)),
-        "decode_scans": lambda: drain(ingest.decode_scans(ingest.encode_scans(t.scans))[0]),
+        "decode_scans": lambda: drain(ingest.decode_scans(t.wire)[0]),
         "routing": lambda: drain(ingest.route(t.scans, t.as_of)),
         "daily_station_throughput": lambda: drain(reports.daily_station_throughput(t.scans)),
         "daily_damage_rate_by_category": lambda: drain(reports.daily_damage_rate_by_category(t.scans, t.items)),
@@ -58,10 +65,12 @@ def headline(t: Stored) -> dict:
         "hourly_rollup": lambda: drain(A.hourly_rollup(t.alerts)),
         "latest_alerts": lambda: drain(A.latest_alerts(t.alerts)),
         "facility_stats": lambda: drain(
-            *api.facility_stats(t.throughput, t.by_category, t.rollup, t.alerts, week).values()
+            *api.facility_stats_from(t.spark, t.warehouse_root, t.reports_root, week).values()
         ),
         "current_positions": lambda: drain(t.positions),
-        "list_parcels": lambda: drain(api.list_parcels(t.positions, t.alerts, t.as_of, limit=50).page),
+        "list_parcels": lambda: drain(
+            api.list_parcels_from(t.spark, t.warehouse_root, t.positions, t.as_of, limit=50).page
+        ),
         "package_journey": lambda: drain(api.package_journey(t.scans, t.alerts, package).timeline),
         "lake_day": lambda: drain(lake.read_lake_day(t.spark, t.lake_root, "2026-08-10")),
         "lake_package": lambda: drain(lake.read_package_scans(t.spark, t.lake_root, package)),
@@ -87,6 +96,7 @@ def main() -> None:
     t = Stored(spark, sf_dir)
     setup = {
         "store_scans": clock(t.store_scans),
+        "store_wire": clock(t.store_wire),
         "store_alerts": clock(lambda: t.warehouse_root),
         "store_lake": clock(lambda: t.lake_root),
         "store_reports": clock(lambda: t.throughput),

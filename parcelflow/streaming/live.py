@@ -6,7 +6,7 @@ import sys
 from datetime import date as Date
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
@@ -30,33 +30,46 @@ def with_event_time(scans: DataFrame, ooo_ms: int = _P.max_out_of_orderness_ms)
 
 
 class _FirstSeen(StatefulProcessor):
-    """Passes the first record of a key on, until its time to live in processing time is over."""
+    """Passes the first record of a key on, and forgets the key when event time has gone on by ``keep_ms``.
 
-    def __init__(self, keep_ms: int):
-        self._keep = keep_ms
+    As for journeys, Spark's watermark runs ``shift_ms`` behind, so that no record is dropped for being late.
+    """
+
+    def __init__(self, names: list[str], keep_ms: int, shift_ms: int):
+        self._names, self._keep, self._shift = names, keep_ms, shift_ms
 
     def init(self, handle):
-        self._seen = handle.getValueState("seen", "seen boolean", ttlDurationMs=self._keep)
+        self._handle = handle
+        self._seen = handle.getValueState("seen", "seen boolean")
 
     def handleInputRows(self, key, rows, timerValues):
+        first = next(iter(rows))
         if not self._seen.exists():
             self._seen.update((True,))
-            yield next(iter(rows))
+            now = timerValues.getCurrentWatermarkInMs() + self._shift
+            self._handle.registerTimer(max(first["_at_ms"], now) + self._keep - self._shift)
+            yield Row(**{name: first[name] for name in self._names})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self._seen.clear()
+        yield from ()
 
     def close(self):
         pass
 
 
 def dedup(scans: DataFrame, keep_ms: int = _P.resend_window_ms) -> DataFrame:
-    """Optional: drops resent scans (same ``event_id``) that arrive within ``keep_ms`` of the first one.
+    """Optional: drops resent scans (same ``event_id``) until event time is ``keep_ms`` past the first one.
 
-    No watermark is involved, so a late scan that is not a duplicate passes.
+    A late scan that is not a duplicate passes, however late.
     """
-    return scans.groupBy("event_id").transformWithState(
-        statefulProcessor=_FirstSeen(keep_ms),
+    shift = journeys.HORIZON_MS
+    keyed = scans.withWatermark("scanned_at", f"{shift} milliseconds").withColumn("_at_ms", S.millis("scanned_at"))
+    return keyed.groupBy("event_id").transformWithState(
+        statefulProcessor=_FirstSeen(scans.columns, keep_ms, shift),
         outputStructType=scans.schema,
         outputMode="append",
-        timeMode="ProcessingTime",
+        timeMode="EventTime",
     )
 
 
