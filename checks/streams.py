@@ -288,7 +288,7 @@ def _(t):
     out = t.folder("deduplicated")
 
     def start(scans, checkpoint):
-        writer = live.dedup(scans).writeStream.format("parquet").option("path", out)
+        writer = live.dedup(scans, keep_ms=60 * 86_400_000).writeStream.format("parquet").option("path", out)
         return writer.option("checkpointLocation", checkpoint).trigger(**NOW).start()
 
     in_steps(t, [newer.unionByName(resent), older.unionByName(resent)], "resent", start)
