@@ -110,7 +110,7 @@ def newest_events(scans: DataFrame, n: int = _P.live_event_cap) -> DataFrame:
     return scans.orderBy(F.desc("scanned_at"), F.desc("event_id")).limit(n)
 
 
-def station_moves(scans: DataFrame, slot_ms: int = 3_600_000) -> DataFrame:
+def station_moves(scans: DataFrame, slot_ms: int = 300_000) -> DataFrame:
     """Station changes per package, and whether each was one step forward on the route.
 
     Scans are compared inside (package, time slot), which spreads a hot package over its slots. Only

@@ -143,13 +143,14 @@ def with_items(df: DataFrame, items: DataFrame) -> DataFrame:
 
     No broadcast hint: Spark broadcasts the catalog while its size stays under
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it beyond. For that case rows without an
-    item get a key of their own, so that they do not pile up in one partition.
+    item get a key of their own (their event where there is one, so that a busy package spreads too),
+    so that they do not pile up in one partition.
     """
     catalog = items.select(
         F.col("item_id").alias("lookup"), F.col("name").alias("_name"), F.col("category").alias("_category")
     ).where(F.col("lookup") != "")
     blank = F.coalesce(F.col("item_id"), F.lit("")) == ""
-    own_key = F.concat(F.lit("\u0000"), F.col("package_id"))
+    own_key = F.concat(F.lit("\u0000"), F.col("event_id" if "event_id" in df.columns else "package_id"))
     return (
         df.withColumn("lookup", F.when(blank, own_key).otherwise(F.col("item_id")))
         .join(catalog, "lookup", "left")
