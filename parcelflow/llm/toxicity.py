@@ -1,6 +1,9 @@
 """Toxicity by compression distance: two zstandard dictionaries, and which of them makes windows shorter.
 
-A text is lower-cased (A-Z), split at ASCII white space and cut into windows of ``WINDOW_WORDS`` words.
+A text is lower-cased (A-Z), split into words and cut into windows of ``WINDOW_WORDS`` words. A word is a
+run of letters with the other characters that follow it, up to white space; characters ahead of the first letter are a word of
+their own, longer words are cut into pieces of ``CODED_LETTERS`` bytes, and in scripts without spaces a word begins
+at every letter and reaches as far as a piece. So every byte of a text but white space is in a window.
 Words are written as path codes, ``CODE_BYTES`` bytes for each leading part of the word, so that two
 words share bytes exactly as far as they agree from their first letter, and a match inside an
 unrelated word counts for nothing. Two dictionaries are trained on a bounded sample of labelled texts:
@@ -17,6 +20,8 @@ repeated and conflicting labels count once, as toxic.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections import Counter
 from dataclasses import dataclass
@@ -43,24 +48,62 @@ REJECT = 0.7
 CACHE_WORDS = 200_000
 
 
-def _windows(text: bytes | None, known: dict[bytes, bytes]) -> list[bytes]:
+def _char_class(spans) -> str:
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in spans)
+
+
+#: Scripts that put no spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, Japanese, Chinese.
+_UNSPACED = _char_class(
+    [(0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF)]
+    + [(0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF)]
+)
+_COMBINING = "".join(map(re.escape, filter(lambda c: unicodedata.category(c)[0] == "M", map(chr, range(0x300, 0x20000)))))
+_LETTER = rf"(?:(?![{_UNSPACED}])(?:[^\W\d_]|[{_COMBINING}]))"
+_PARTS = re.compile(rf"([{_UNSPACED}]+)|{_LETTER}+(?:(?!{_LETTER}|[{_UNSPACED}])\S)*|(?:(?!{_LETTER}|[{_UNSPACED}])\S)+")
+_PLAIN_PARTS = re.compile(rb"[a-z]+[^a-z]*|[^a-z]+")
+
+
+def _parts(chunk: bytes) -> list[bytes]:
+    """The words of a lower-cased text without ASCII white space."""
+    if len(chunk) <= CODED_LETTERS and (chunk.isalpha() or chunk[:-1].isalpha() and chunk[-1] < 128):
+        return [chunk]  # most words
+    if chunk.isascii():
+        parts = _PLAIN_PARTS.findall(chunk)
+    else:
+        parts = []
+        text = chunk.decode("utf-8", "surrogateescape")
+        if len(chunk) <= CODED_LETTERS and text.isalpha() and max(text) < "\u0e00":
+            return [chunk]
+        for m in _PARTS.finditer(text):
+            run = m.group(1)
+            words = (run[i : i + CODED_LETTERS] for i in range(len(run))) if run else (m.group(),)
+            encoded = (w.encode("utf-8", "surrogateescape") for w in words)
+            parts += [w[:CODED_LETTERS] for w in encoded] if run else encoded
+    return [p[i : i + CODED_LETTERS] for p in parts for i in range(0, len(p), CODED_LETTERS)]
+
+
+def _words(text: bytes) -> set[bytes]:
+    return {p for chunk in set(text.lower().split()) for p in _parts(chunk)}
+
+
+def _windows(text: bytes | None, known: dict[bytes, list[bytes]]) -> list[bytes]:
     codes = []
     if text:
-        for word in text.lower().split():
-            code = known.get(word)
-            if code is None:
+        for chunk in text.lower().split():
+            found = known.get(chunk)
+            if found is None:
                 if len(known) >= CACHE_WORDS:
                     known.clear()
-                code = _path_code(word)
-                if len(word) <= 64:
-                    known[word] = code
-            codes.append(code)
+                found = list(map(_path_code, _parts(chunk)))
+                if len(chunk) <= 64:
+                    known[chunk] = found
+            codes += found
     return [b"".join(codes[i : i + WINDOW_WORDS]) for i in range(0, len(codes), WINDOW_WORDS)]
 
 
 def _path_code(word: bytes) -> bytes:
     out, crc = [], 0
-    for i in range(min(len(word), CODED_LETTERS)):
+    for i in range(len(word)):
         crc = zlib.crc32(word[i : i + 1], crc)
         out.append(crc.to_bytes(4, "little")[:CODE_BYTES])
     return b"".join(out)
@@ -88,7 +131,7 @@ class Model:
 
     def features(self, texts) -> np.ndarray:
         ordinary, toxic = self.compressors()
-        known: dict[bytes, bytes] = {}
+        known: dict[bytes, list[bytes]] = {}
         return np.array([self._of(t, ordinary, toxic, known) for t in texts]).reshape(-1, 2 * len(GAINS) + 1)
 
     @staticmethod
@@ -104,7 +147,7 @@ class Model:
             constant = 1 / (1 + np.exp(-self.weights[0]))
             return lambda texts: np.full(len(texts), constant)
         ordinary, toxic = self.compressors()
-        known: dict[bytes, bytes] = {}
+        known: dict[bytes, list[bytes]] = {}
         weights = np.array(self.weights)
 
         def score(texts):
@@ -120,8 +163,7 @@ def _marks(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     def stems(texts):
         counts: Counter[bytes] = Counter()
         for t in texts:
-            words = {w[:CODED_LETTERS] for w in t.lower().split()}
-            counts.update({w[:k] for w in words for k in range(MARK_LETTERS, len(w) + 1)})
+            counts.update({w[:k] for w in _words(t) for k in range(MARK_LETTERS, len(w) + 1)})
         return counts
 
     t, o = stems(toxic), stems(ordinary)
@@ -138,7 +180,7 @@ def train(rows: list[tuple[bytes, int]], stands_for: dict[int, float]) -> Model:
         return Model(b"", b"", [float(np.log(share / (1 - share)))])
     counts: Counter[bytes] = Counter()
     for t in ordinary:
-        counts.update({w[:CODED_LETTERS] for w in t.lower().split()})
+        counts.update(_words(t))
     frequent, size = [], 0
     for word, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
         code = _path_code(word)

@@ -72,6 +72,40 @@ def test_stage_keeps_columns_and_clean_rows(spark, documents):
     assert clean <= ids and len(ids - clean) <= 8
 
 
+def test_every_byte_reaches_a_window():
+    for chunk in ('"vilething,', "a" * 40, "one/two_three\u00a0four", "don't", "--", "n\u0303x1", "\u00e9t\u00e9" * 9, "x" * 20 + "/y"):
+        assert b"".join(toxicity._parts(chunk.encode())) == "".join(chunk.split()).encode()
+    for text in ("\u4f60\u597d\u4e16\u754c" * 30, "\u0e2a\u0e27\u0e31\u0e2a\u0e14\u0e35"):
+        data = text.encode()
+        assert toxicity._parts(data) == [data[i : i + 12] for i in range(0, len(data), 3)]
+    assert b"vilething," in toxicity._parts(b'"vilething,') and b"bad" in toxicity._parts("x\u00a0bad".encode())
+    assert toxicity._parts(b"a" * 30) == [b"a" * 12, b"a" * 12, b"a" * 6]
+
+
+def test_marks_behind_quotes_in_long_chunks_and_without_spaces():
+    rng = np.random.default_rng(7)
+    plain = ["".join(rng.choice(list("aeiorstln"), 5)) for _ in range(300)]
+    signs = [chr(c) for c in range(0x4E00, 0x4E00 + 200)]
+    rows = []
+    for i in range(400):
+        words, bad = rng.choice(plain, 40).tolist(), i % 5 == 0
+        marks = ["vilething", "zugzwangle", "\u60e1\u8a00\u8f9e"] * bad
+        for m in marks[:2]:
+            words.insert(int(rng.integers(0, 30)), m)
+        text = rng.choice(signs, 60).tolist()
+        text[30:30] = marks[2:]
+        rows.append(((" ".join(words) + " " + "".join(text)).encode(), int(bad)))
+    score = toxicity.train(rows, {0: 1.0, 1: 1.0}).scorer()
+    clean = " ".join(plain[:40])
+    signs = "".join(rng.choice(signs, 60))
+    hits = [
+        clean + ' "vilething" (zugzwangle) "vilething', "/".join([*plain[:40], "vilething", "zugzwangle", "vilething"]),
+        "\u00a0".join([*plain[:40], "vilething", "zugzwangle", "vilething"]), signs + "\u60e1\u8a00\u8f9e" + signs + "\u60e1\u8a00\u8f9e",
+    ]
+    assert min(score([h.encode() for h in hits])) >= toxicity.REJECT
+    assert max(score([clean.encode(), signs.encode(), "/".join(plain[:40]).encode()])) < toxicity.REJECT
+
+
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="no test tables")
 def test_held_out_accuracy(spark):
     read = lambda n: spark.read.parquet(f"{TABLES}/{n}.parquet")
