@@ -69,7 +69,8 @@ _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: One attribute after the other, values whole, so that no value is taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s/>"'=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']\S*)))?""")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
@@ -78,24 +79,33 @@ NOISE, OPEN, MAIN = 0, 1, 2
 
 
 class _Element:
-    __slots__ = ("children", "label", "path", "role", "tag")
+    __slots__ = ("children", "label", "path", "role", "soft", "tag")
 
-    def __init__(self, tag: str, label: str, path: str, role: int):
-        self.tag, self.label, self.path, self.role, self.children = tag, label, path, role, []
+    def __init__(self, tag: str, label: str, path: str, role: int, soft: bool = False):
+        self.tag, self.label, self.path, self.role, self.soft, self.children = tag, label, path, role, soft, []
 
 
-def _presentation(tag: str, rest: str) -> tuple[str, bool]:
-    """The element's label (tag, classes, id without digits), and whether it declares boilerplate."""
-    noise, label = tag in BOILERPLATE, tag
+def _declared(value: str) -> bool:
+    """Whether one of the words of an attribute is made of role words only (``cookie-notice``, but not ``no-sidebar``)."""
+    return any(parts <= DECLARED for parts in (set(_SPLIT.split(w)) - {""} for w in value.split()) if parts)
+
+
+def _presentation(tag: str, rest: str) -> tuple[str, bool, bool]:
+    """The element's label (tag, classes, id without digits), whether it declares boilerplate, and whether by class or id only."""
+    noise, soft, label = tag in BOILERPLATE, False, tag
     if rest:
         for name, a, b, c in _ATTRIBUTE.findall(rest):
-            value, name = (a or b or c).lower(), name.lower()
+            name = name.lower()
+            if name not in ("class", "id", "role", "hidden"):
+                continue
+            value = (a or b or c).lower()
             if name == "hidden":
                 noise = noise or not value or value == "hidden"
                 continue
-            noise = noise or not DECLARED.isdisjoint(_SPLIT.split(value))
+            if _declared(value):
+                noise, soft = noise or name == "role", soft or name != "role"
             label += {"class": ".", "id": "#", "role": "@"}[name] + re.sub(r"\d+", "", value)
-    return label, noise
+    return label, noise or soft, soft and not noise
 
 
 def parse(text: str | None) -> tuple[list[tuple[str, int, str]], dict[str, tuple[int, tuple[str, ...]]]]:
@@ -176,15 +186,20 @@ def parse(text: str | None) -> tuple[list[tuple[str, int, str]], dict[str, tuple
                         break
         if name in VOID:
             continue
-        label, noise = _presentation(name, rest)
+        label, noise, soft = _presentation(name, rest)
         if name in BLOCKS:
-            if owner.role == NOISE or noise or (name == "header" and owner.role != MAIN):
+            main = name in ("article", "main") or "@main" in label
+            if noise or (name == "header" and owner.role != MAIN) or (owner.role == NOISE and not (owner.soft and main)):
                 role = NOISE
-            elif name in ("article", "main") or "@main" in label:
+            elif main:
                 role = MAIN
             else:
                 role = owner.role
-            new = _Element(name, label, f"{owner.path}/{label}", role)
+            # Noise outside the main text that only a class or id marks: an article or main inside opens it again.
+            inherited = owner.role == NOISE
+            soft = role == NOISE and (owner.soft and (soft or not noise) if inherited else soft and owner.role == OPEN)
+            soft = soft and name != "header"
+            new = _Element(name, label, f"{owner.path}/{label}", role, soft)
             if not owner.children or owner.children[-1] != label:
                 owner.children.append(label)
             styles.setdefault(new.path, (role, new.children))

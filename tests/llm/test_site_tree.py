@@ -56,6 +56,22 @@ def test_declared_roles_and_odd_markup(spark):
         assert want is None or got[i] == want, i
 
 
+def test_attributes_by_name_and_whole_words():
+    text = lambda h: "\n\n".join(t for _, r, t in S.parse(h)[0] if r)
+    for mark in (
+        'style="overflow:hidden"', 'title="hidden gems"', 'href="/p?id=search"', "href=/x?class=nav", 'data-id="related"', 'class="with-sidebar"',
+        'class="no-sidebar has-comments"', 'aria-hidden="false"', "data-x='a class=\"nav\"'",
+    ):
+        assert text(f"<body {mark}><article><p {mark}>a <a {mark}>b</a></p></article></body>") == "a b", mark
+        assert text(f"<div {mark}>a</div>") == "a", mark
+    for mark in ("hidden", 'hidden=""', 'class="x sidebar"', "CLASS=cookie-notice", 'id="comments"', "role='search'", 'title="x" hidden'):
+        assert text(f"<article>a<div {mark}>b</div></article>") == "a", mark
+    assert text('<div class="sidebar">x<div><article>a</article></div></div>') == "a"
+    assert text('<div id="overlay"><main>a<div class="related"><article>b</article></div></main></div>') == "a"
+    for outer in ("<nav>", "<div hidden>", "<div role='search'>", "<aside class='sidebar'>", "<nav><div class='menu'>"):
+        assert text(f"{outer}<article>b</article>") == "", outer
+
+
 def test_tree_removes_what_repeats_on_a_host(spark, monkeypatch):
     rows = [(i, f"http://A.example/{i}", soup(i, f"w{i}")) for i in range(12)]
     rows += [(50, "http://b.example/x", soup(50, "only")), (None, "http://b.example/y?z", None), (0, rows[0][1], rows[0][2])]
