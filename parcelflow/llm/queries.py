@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import cover_tree, decontaminate, licences, packing, quality, sharding, simhash, site_tree, toxicity, urls
+from parcelflow.llm import (
+    cover_tree,
+    decontaminate,
+    hard_negatives,
+    licences,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    site_tree,
+    spelling,
+    top_scores,
+    toxicity,
+    urls,
+)
 from parcelflow.llm.common import small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +97,18 @@ def op9(spark, sf_dir):
 @query("op3_licences", licences.licences_sql())
 def op3(spark, sf_dir):
     return licences.document_licences(table(spark, sf_dir, "documents"))
+
+
+@query("op11_hard_negatives", hard_negatives.negatives_sql())
+def op11(spark, sf_dir):
+    return hard_negatives.embedding_negatives(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_top_scores", top_scores.top_sql())
+def op13(spark, sf_dir):
+    return top_scores.embedding_top(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_spelling_variants")
+def op12(spark, sf_dir):
+    return spelling.document_variants(table(spark, sf_dir, "documents"))
