@@ -3,13 +3,20 @@
 Every stage works on the whole output of the one before, which is written as Parquet to the shared
 folder and read again, so a lost executor costs tasks of one stage only. All stages but the last return
 the columns of ``documents``; rows pass unchanged or go.
+
+Defined cases: a null or empty text is scored by the classifiers like any other, has the fingerprint zero
+(so one such document stays), no benchmark words, and one token. Texts are read whole whatever their
+length. Repeated rows are copies: one stays. A null id is the last choice of its class. Extra columns pass
+through all stages but the last; one named like a column that a stage computes (``contaminated``, a text
+statistic) comes out with the stage's value. An empty ``documents`` gives no rows; without labels no
+document is rejected by a classifier, without a benchmark none is contaminated.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import decontaminate, near_copies, packing, quality, toxicity
+from parcelflow.llm import decontaminate, packing, quality, simhash, toxicity
 from parcelflow.llm.common import small_batches, store, table
 from parcelflow.llm.queries import tokenizer_path
 
@@ -27,9 +34,9 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share four fifths of their five-word shingles, the one with the smallest id stays."""
+    """Of documents whose fingerprints link (three-word shingles, two bits), the one with the smallest id stays."""
     small_batches(spark)
-    return near_copies.one_per_class(docs)
+    return simhash.one_per_class(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
