@@ -38,7 +38,7 @@ def _(t):
 @check(
     "win1_sessions_long_gap",
     f"""select package_id, start_ms session_start, last_ms last_scan_at, scan_count,
-      array_to_string(path[1:7], '>') head, path[len(path)] last_station from ({sessions_sql("scans_long", HALF_DAY)})""",
+      array_to_string(path[1:1000], '>') head, path[len(path)] last_station from ({sessions_sql("scans_long", HALF_DAY)})""",
 )
 def _(t):
     return journeys.sessions(t.scans_events, HALF_DAY).select(
@@ -500,8 +500,8 @@ def _(t):
 
 @check(
     "scl15_path_arrays",
-    """select package_id, start_ms session_start, list_contains(path[1:7], 'STATION_TYPE_DISPATCH') has_dispatch,
-      path[1] first_station, path[len(path[1:7])] last_station, cast(len(path[1:7]) as int) head_length from sess""",
+    """select package_id, start_ms session_start, list_contains(path, 'STATION_TYPE_DISPATCH') has_dispatch,
+      path[1] first_station, path[len(path)] last_station, cast(len(path) as int) path_length from sess""",
 )
 def _(t):
     return journeys.sessions(t.scans).select(
@@ -510,7 +510,7 @@ def _(t):
         F.array_contains("head", domain.DISPATCH).alias("has_dispatch"),
         F.get("head", F.lit(0)).alias("first_station"),
         F.element_at("head", -1).alias("last_station"),
-        F.size("head").alias("head_length"),
+        F.size("head").alias("path_length"),
     )
 
 

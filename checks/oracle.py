@@ -71,7 +71,7 @@ select concat('misrouting-', package_id) alert_id, package_id, 'ALERT_TYPE_MISRO
   concat('Package journey diverged from expected path: expected ', expected_station,
     ', observed path ends at ', actual_station) message,
   last_ms detected_ms, 0 stuck_duration_seconds, 0 threshold_seconds, expected_station, actual_station,
-  array_to_string(path[1:7], '>') path_so_far, '' damage_type, cast(0 as double) damage_confidence
+  array_to_string(path[1:1000], '>') path_so_far, '' damage_type, cast(0 as double) damage_confidence
 from verdict where misrouted""",
     "stuck_point": stuck_sql("scans", 600_000),
     "stuck": """

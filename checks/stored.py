@@ -78,10 +78,32 @@ def _(t):
     f"select {LAKE_COLUMNS} from scans where cast(scanned_at as date) = date '{DAY}'",
 )
 def _(t):
-    target = t.folder("compacted")
-    for _ in range(2):  # a repeated run replaces the day
-        lake.compact_day(t.spark, t.lake_root, DAY, target)
-    return lake.read_lake(t.spark, target).drop("date", "hour")
+    root = t.folder("compacted")
+    day = t.scans.where(F.to_date("scanned_at") == F.lit(DAY).cast("date"))
+    late = F.col("result") == "SCAN_RESULT_UNREADABLE"
+    lake.write_lake(day.where(~late), root)
+    lake.compact_day(t.spark, root, DAY)
+    # Rows that come later stay beside the compacted part, and the next run merges them.
+    lake.write_lake(day.where(late), root)
+    lake.compact_day(t.spark, root, DAY)
+    lake.clean_lake(t.spark, root, grace_ms=0)
+    return lake.read_lake(t.spark, root).drop("date", "hour")
+
+
+@check(
+    "src4_package_by_index",
+    f"select {LAKE_COLUMNS} from scans where package_id = {BUSIEST}",
+)
+def _(t):
+    root = t.folder("indexed")
+    late = F.col("result") == "SCAN_RESULT_UNREADABLE"
+    lake.write_lake(t.scans.where(~late), root)
+    busiest = _busiest(t)
+    seen = t.scans.where(F.col("package_id") == busiest).select(F.to_date("scanned_at").cast("string").alias("d"))
+    for day in sorted({r.d for r in seen.distinct().collect()} | {DAY}):
+        lake.compact_day(t.spark, root, day, buckets=8)
+    lake.write_lake(t.scans.where(late), root)  # not in the index yet
+    return lake.read_package_scans(t.spark, root, busiest, buckets=8)
 
 
 @check("src5_item_dimension", "select item_id, name, sku, category, unit_weight_kg, stock_quantity from items")
@@ -202,6 +224,7 @@ def _(t):
     # Rows that come after a day was compacted stay visible beside it, and are merged by the next run.
     warehouse.append_alerts(newer, root, inserted_at=t.as_of)
     warehouse.compact_alert_day(t.spark, root, date(2026, 8, 2))
+    warehouse.clean(t.spark, root, grace_ms=0)
     return warehouse.read_alerts(t.spark, root).drop("inserted_at")
 
 

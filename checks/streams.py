@@ -177,7 +177,7 @@ def _closed_sql(gap_ms: int) -> str:
 select package_id, case when reached then 'SEVERITY_WARNING' else 'SEVERITY_CRITICAL' end severity,
   case when dev <> -1 then {ROUTE_LIST}[dev + 1] else 'STATION_TYPE_DISPATCH' end expected_station,
   case when dev <> -1 then path[dev + 1] else path[len(path)] end actual_station,
-  array_to_string(path[1:7], '>') path_so_far, last_ms detected_at
+  array_to_string(path[1:1000], '>') path_so_far, last_ms detected_at
 from ({sessions_sql("scans_long", gap_ms)})
 where (dev <> -1 or not reached)
   and last_ms + {gap_ms} <= (select max(epoch_ms(scanned_at)) from scans_long) - 30000"""
@@ -274,7 +274,7 @@ def _(t):
     where last_ms + 600000 - (last_ms + 600000) % 60000 + 60000 <= (select ms from as_of) - 30000""",
 )
 def _(t):
-    scans = stream.read_scan_table_stream(t.spark, lake.events_path(t.lake_root))
+    scans = lake.replay(t.spark, t.lake_root)
     found = collected(t, stuck.stuck_stream(scans), "replayed")
     return A.flatten_alerts(found).select("package_id", "station", "detected_at")
 

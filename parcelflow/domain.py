@@ -158,6 +158,9 @@ ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 REASON_UNREADABLE = "barcode unreadable, needs manual identification"
 REASON_FINAL_STATION = "package has reached final station"
 
+# Attribute of an alert whose path is only the head of a very long one: the number of scans. Our own.
+PATH_SCANS = "path_scans"
+
 
 @dataclass(frozen=True)
 class Params:

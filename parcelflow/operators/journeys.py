@@ -7,8 +7,9 @@ time and not by rows, are ordered per package. A package that holds a third of a
 never meets in one task: it is reduced map-side and spread over its slots. The first scans of a
 slot come from a ``row_number() <= k`` filter, which Spark also applies before the shuffle.
 
-A session row has what a verdict reads, at every length: counts, its last scan and as many first
-stations as the route has. Whole paths are rows (``session_scans``, ``misrouted_paths``).
+A session row has its counts, its last scan and its path, whole up to ``PATH_STATIONS`` scans; a verdict
+reads the first seven of them. Longer paths are rows (``session_scans``, ``misrouted_paths``), and an alert
+that has only their head says so.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from parcelflow.functions import scalars as S
 
 _GAP = domain.DEFAULTS.session_gap_ms
 _HEAD = len(domain.ROUTE)
+#: Scans up to which a session row and its alert hold the whole path.
+PATH_STATIONS = 1_000
 
 
 def _slotted(scans: DataFrame, gap_ms: int) -> DataFrame:
@@ -72,20 +75,20 @@ def _number_sessions(summaries: DataFrame, gap_ms: int) -> DataFrame:
     )
 
 
-def sessions(scans: DataFrame, gap_ms: int = _GAP) -> DataFrame:
+def sessions(scans: DataFrame, gap_ms: int = _GAP, keep: int = PATH_STATIONS) -> DataFrame:
     """One row per package and session.
 
-    ``head`` holds the first stations in scan order, as many as the route has; ``last_station`` is the
-    station of the last scan.
+    ``head`` holds the first ``keep`` stations in scan order (at least as many as the route has): the
+    whole path of a shorter session; ``last_station`` is the station of the last scan.
     """
     # Both sides are already partitioned by the join keys, so a merge join adds no shuffle, while a
     # broadcast would gather one of these unbounded sides on the driver.
     slots = _slot_summaries(scans, gap_ms).join(
-        _slot_heads(scans, gap_ms, _HEAD).hint("merge"), ["package_id", "slot"]
+        _slot_heads(scans, gap_ms, keep).hint("merge"), ["package_id", "slot"]
     )
     numbered = _number_scans(_number_sessions(slots, gap_ms))
     # Slots that start after the head no longer matter for it.
-    head = F.when(F.col("before") < _HEAD, F.struct("slot", "head"))
+    head = F.when(F.col("before") < keep, F.struct("slot", "head"))
     return (
         numbered.groupBy("package_id", "session_no")
         .agg(
@@ -93,7 +96,7 @@ def sessions(scans: DataFrame, gap_ms: int = _GAP) -> DataFrame:
             F.max(F.struct("slot", "last_ms", "last_station")).alias("last"),
             F.sum("n").alias("scan_count"),
             F.max("dispatched").alias("reached_dispatch"),
-            F.slice(F.flatten(F.sort_array(F.collect_list(head)).getField("head")), 1, _HEAD).alias("head"),
+            F.slice(F.flatten(F.sort_array(F.collect_list(head)).getField("head")), 1, keep).alias("head"),
         )
         .select(
             "package_id",
@@ -141,7 +144,7 @@ def session_scans(scans: DataFrame, gap_ms: int = _GAP) -> DataFrame:
 def misrouted_paths(scans: DataFrame, gap_ms: int = _GAP, route: tuple[str, ...] = domain.ROUTE) -> DataFrame:
     """The whole path of every misrouted session as rows, under the id and time of its alert."""
     judged = (
-        verdicts(sessions(scans, gap_ms), route)
+        verdicts(sessions(scans, gap_ms, _HEAD), route)
         .where("misrouted")
         .select(
             "package_id",
@@ -189,10 +192,12 @@ def verdicts(sessions: DataFrame, route: tuple[str, ...] = domain.ROUTE) -> Data
 def misrouting_alerts(sessions: DataFrame, route: tuple[str, ...] = domain.ROUTE) -> DataFrame:
     """One alert per misrouted session, in the nested alert schema.
 
-    The id is stable per package, so a corrected journey updates its alert. ``path_so_far`` is the head
-    of the path that the verdict has read, at every length; :func:`misrouted_paths` has whole paths as
-    rows, and ``alerts.with_whole_paths`` puts them into alerts that go out on the wire.
+    The id is stable per package, so a corrected journey updates its alert. ``path_so_far`` is the whole
+    path as far as the sessions hold it; a longer journey's alert has its number of scans as attribute
+    ``path_scans``, and :func:`misrouted_paths` has its whole path as rows (``alerts.with_whole_paths``
+    puts them into alerts where arrays of that size are wanted).
     """
+    cut = F.col("scan_count") > F.size("head")
     return (
         verdicts(sessions, route)
         .where("misrouted")
@@ -218,6 +223,8 @@ def misrouting_alerts(sessions: DataFrame, route: tuple[str, ...] = domain.ROUTE
                 "actual_station",
                 F.col("head").alias("path_so_far"),
             ).alias("misrouting_detail"),
-            F.create_map().cast("map<string,string>").alias("attributes"),
+            F.when(cut, F.create_map(F.lit(domain.PATH_SCANS), F.col("scan_count").cast("string")))
+            .otherwise(F.create_map().cast("map<string,string>"))
+            .alias("attributes"),
         )
     )

@@ -1,4 +1,9 @@
-"""The scan lake: Parquet under ``<root>/scan_events/date=YYYY-MM-DD/hour=HH/``."""
+"""The scan lake: a table of parts by event date, with a folder per hour and an index of packages.
+
+Batch and stream writers add parts of sorted files; a finished day is compacted in place into few large
+ones, and the compacted part gets an index from packages to days, so that the history of one package
+opens files in proportion to the days on which it was seen.
+"""
 
 from __future__ import annotations
 
@@ -12,24 +17,22 @@ from pyspark.sql import types as T
 
 from parcelflow import domain
 from parcelflow.functions import scalars as S
+from parcelflow.sources import parts
 
-PARTITIONED = T.StructType(
-    [
-        *domain.LAKE_ROW.fields,
-        T.StructField("date", T.DateType()),
-        T.StructField("hour", T.IntegerType()),
-    ]
-)
+EVENTS, INDEX = "scan_events", "package_days"
+_DATE, _HOUR = T.StructField("date", T.DateType()), T.StructField("hour", T.IntegerType())
+PARTITIONED = T.StructType([*domain.LAKE_ROW.fields, _DATE, _HOUR])
 # Readers of one package skip row groups by their bloom filters without opening the data.
 PACKAGE_BLOOM = {
     "parquet.bloom.filter.enabled#package_id": "true",
     "parquet.bloom.filter.adaptive.enabled#package_id": "true",
 }
 _WITH_HOUR = [f.name for f in domain.LAKE_ROW.fields] + ["hour"]
-
-
-def events_path(root: str) -> str:
-    return f"{root}/scan_events"
+_ORDER = ("package_id", "scanned_at")
+#: Folders of the package index.
+BUCKETS = 64
+_INDEX_ROW = T.StructType([T.StructField("package_id", T.StringType()), T.StructField("day", T.StringType())])
+_BUCKET = T.StructField("bucket", T.IntegerType())
 
 
 def read_stored(spark: SparkSession, schema: T.StructType, path: str, **options: str) -> DataFrame | None:
@@ -52,48 +55,37 @@ def lake_rows(scans: DataFrame) -> DataFrame:
     )
 
 
-def write_lake(scans: DataFrame, root: str, mode: str = "append") -> None:
-    """Batch append.
+def write_lake(scans: DataFrame, root: str, writer: str | None = None, batch_id: int | None = None) -> None:
+    """Adds scans as one part, seen as a whole; a batch that a streaming ``writer`` repeats is not added again.
 
-    ``rebalance`` lets AQE size the files: small hours share a task, a very large hour is split over
-    several. Rows are sorted by package inside a file, which makes row groups skippable for
-    one-package reads.
+    Small hours share a task, a very large hour is split over several. Rows are sorted by package inside
+    a file, which makes row groups skippable for one-package reads.
     """
-    (
-        lake_rows(scans)
-        .hint("rebalance", "date", "hour")
-        .sortWithinPartitions("date", "hour", "package_id", "scanned_at")
-        .write.mode(mode)
-        .options(**PACKAGE_BLOOM)
-        .partitionBy("date", "hour")
-        .parquet(events_path(root))
+    parts.append(
+        lake_rows(scans), root, EVENTS, "date", *_ORDER, writer=writer, batch_id=batch_id, by=("hour",), options=PACKAGE_BLOOM
     )
 
 
+def _read(spark: SparkSession, root: str, first: Date | None, last: Date | None, snapshot=None) -> DataFrame:
+    return parts.read(spark, root, EVENTS, domain.LAKE_ROW, "date", first, last, snapshot, by=(_HOUR,))
+
+
 def read_lake(spark: SparkSession, root: str) -> DataFrame:
     """The whole lake, empty when nothing was written yet."""
-    stored = read_stored(spark, PARTITIONED, events_path(root))
-    return spark.createDataFrame([], PARTITIONED) if stored is None else stored
+    return _read(spark, root, None, None)
 
 
-def _existing_lake(spark: SparkSession, root: str) -> DataFrame:
-    """Like :func:`read_lake`, but a root that does not exist at all is an error."""
-    stored = read_stored(spark, PARTITIONED, events_path(root))
-    if stored is None and read_stored(spark, PARTITIONED, root) is None:
+def read_lake_range(spark: SparkSession, root: str, first: str | Date, last: str | Date) -> DataFrame:
+    """Event dates ``first`` to ``last``, both included; only their folders are listed. No lake at all is an error."""
+    if not parts.exists(spark, root):
         raise FileNotFoundError(f"no lake at {root}")
-    return spark.createDataFrame([], PARTITIONED) if stored is None else stored
+    low, high = (Date.fromisoformat(str(d)) for d in (first, last))
+    return _read(spark, root, low, high).select(*_WITH_HOUR)
 
 
 def read_lake_day(spark: SparkSession, root: str, day: str | Date) -> DataFrame:
     """One event date. No data for it gives 0 rows in the same schema; no lake is an error."""
-    return _existing_lake(spark, root).where(F.col("date") == F.lit(str(day)).cast("date")).select(*_WITH_HOUR)
-
-
-def read_lake_range(spark: SparkSession, root: str, first: str | Date, last: str | Date) -> DataFrame:
-    """Event dates ``first`` to ``last``, both included, pruned to their partitions."""
-    day = F.col("date")
-    span = day.between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
-    return _existing_lake(spark, root).where(span).select(*_WITH_HOUR)
+    return read_lake_range(spark, root, day, day)
 
 
 def read_lake_between(spark: SparkSession, root: str, floor: datetime, ceiling: datetime) -> DataFrame:
@@ -104,29 +96,81 @@ def read_lake_between(spark: SparkSession, root: str, floor: datetime, ceiling:
     return days.where(at.between(S.ts(floor), S.ts(ceiling)))
 
 
-def read_package_scans(spark: SparkSession, root: str, package_id: str) -> DataFrame:
+def _bucket(package, buckets: int):
+    return F.pmod(F.xxhash64(package), F.lit(buckets)).cast("int")
+
+
+def package_entries(spark: SparkSession, root: str, package_id: str, buckets: int = BUCKETS) -> list[parts.Entry]:
+    """The parts that can hold scans of a package: those that the index names, and all that have no index."""
+    snapshot = parts.load(spark, root)
+    events, index = snapshot.of(EVENTS), snapshot.of(INDEX)
+    indexed = {e.part for e in index}
+    own = int(spark.range(1).select(_bucket(F.lit(package_id), buckets)).first()[0])
+    whole = T.StructType([*_INDEX_ROW.fields, T.StructField("part", T.StringType()), _BUCKET])
+    folders = [parts.folder(root, e, "bucket") for e in index if e.key == str(own)]
+    found = set()
+    if folders:
+        rows = spark.read.schema(whole).option("basePath", f"{root}/{INDEX}").parquet(*folders)
+        # One short row per day on which the package was seen.
+        found = {(r.part, r.day) for r in rows.where(F.col("package_id") == package_id).select("part", "day").collect()}
+    return [e for e in events if e.part not in indexed or (e.part, e.key) in found]
+
+
+def read_package_scans(spark: SparkSession, root: str, package_id: str, buckets: int = BUCKETS) -> DataFrame:
     """All scans of one package in time order, over every date."""
+    entries = package_entries(spark, root, package_id, buckets)
     return (
-        read_lake(spark, root)
+        parts.read_entries(spark, root, entries, domain.LAKE_ROW, _DATE, _HOUR)
         .where(F.col("package_id") == package_id)
-        .select(*[f.name for f in domain.LAKE_ROW.fields])
+        .select(*domain.LAKE_ROW.names)
         .orderBy("scanned_at", "event_id")
     )
 
 
-def compact_day(spark: SparkSession, root: str, day: str | Date, target: str) -> None:
-    """Rewrites one date with few large files under ``target``, another lake root.
+def compact_day(spark: SparkSession, root: str, day: str | Date, buckets: int = BUCKETS) -> bool:
+    """Rewrites one date with few large files and indexes its packages; readers take it up at once.
 
-    The source stays untouched and the date's partitions in ``target`` are replaced, so a run can be
-    repeated after a failure or when late rows have come.
+    Rows that land meanwhile, or later, stay beside the compacted part, and the next run merges them.
+    The number of index folders must stay the same for a lake.
     """
-    (
-        lake_rows(read_lake_day(spark, root, day))
-        .hint("rebalance", "date", "hour")
-        .sortWithinPartitions("date", "hour", "package_id", "scanned_at")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**PACKAGE_BLOOM)
-        .partitionBy("date", "hour")
-        .parquet(events_path(target))
+
+    def index(run: DataFrame, part: str) -> list[parts.Entry]:
+        seen = run.select("package_id").distinct().withColumn("day", F.lit(str(day)))
+        return parts.stage(
+            seen.withColumn("bucket", _bucket("package_id", buckets)), root, INDEX, "bucket", "package_id", part=part
+        )
+
+    return parts.compact(
+        spark,
+        root,
+        EVENTS,
+        domain.LAKE_ROW,
+        "date",
+        Date.fromisoformat(str(day)),
+        order=_ORDER,
+        by=(_HOUR,),
+        options=PACKAGE_BLOOM,
+        also=index,
+        index=INDEX,
     )
+
+
+def compact_crowded_days(spark: SparkSession, root: str, parts_from: int = 8, buckets: int = BUCKETS) -> int:
+    """Compacts every date that is spread over many parts; returns how many."""
+    crowded = parts.load(spark, root).crowded(EVENTS, parts_from)
+    return sum(compact_day(spark, root, day, buckets) for day in crowded)
+
+
+def clean_lake(spark: SparkSession, root: str, grace_ms: int = parts.GRACE_MS) -> int:
+    """Deletes replaced files that no reader can be using any more."""
+    return parts.clean(spark, root, {EVENTS: "date", INDEX: "bucket"}, grace_ms)
+
+
+def replay(spark: SparkSession, root: str, first: Date | None = None, last: Date | None = None, **options: str) -> DataFrame:
+    """Stored scans as a stream: the parts of the snapshot at the start, and no others."""
+    entries = parts.days(parts.load(spark, root), EVENTS, first, last)
+    if not entries:
+        raise FileNotFoundError(f"no scans to replay at {root}")
+    names = ",".join(parts.folder("", e, "date").removeprefix(f"/{EVENTS}/") for e in entries)
+    reader = spark.readStream.schema(PARTITIONED).option("basePath", f"{root}/{EVENTS}").options(**options)
+    return reader.parquet(f"{root}/{EVENTS}/{{{names}}}").select(*domain.LAKE_ROW.names)

@@ -1,9 +1,14 @@
-"""Alert, rollup and report tables as Parquet, and the CSV export."""
+"""Alert, rollup and report tables as Parquet, and the CSV export.
+
+Alerts, their hourly counts, late scans and positions are tables of parts under one root (see ``parts``), so
+a batch of alerts and the counts it adds are committed together.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date as Date
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,13 +18,9 @@ from parcelflow.functions import scalars as S
 from parcelflow.operators import alerts as A
 from parcelflow.sources import parts
 
-
-def alerts_path(root: str) -> str:
-    return f"{root}/alerts"
-
-
-def rollup_path(root: str) -> str:
-    return f"{root}/alert_hourly_rollup"
+ALERTS, ROLLUP = "alerts", "alert_hourly_rollup"
+_ALERT_DAY, _ROLLUP_DAY = "detected_date", "hour_date"
+_ALERT_ORDER = ("alert_type", "detected_at", "alert_id")
 
 
 def report_path(root: str, name: str) -> str:
@@ -28,7 +29,7 @@ def report_path(root: str, name: str) -> str:
 
 def _alert_rows(alerts: DataFrame, inserted_at: Column) -> DataFrame:
     flat = alerts if "stuck_duration_seconds" in alerts.columns else A.flatten_alerts(alerts)
-    return flat.withColumn("inserted_at", inserted_at).withColumn("detected_date", F.to_date("detected_at"))
+    return flat.withColumn("inserted_at", inserted_at).withColumn(_ALERT_DAY, F.to_date("detected_at"))
 
 
 def append_alerts(
@@ -37,23 +38,28 @@ def append_alerts(
     inserted_at: datetime | None = None,
     batch_id: int | None = None,
     writer: str = "batch",
+    extra: Iterable[parts.Entry] = (),
 ) -> None:
-    """Adds a batch of alerts, and the partial counts it adds to the hourly rollup.
+    """Adds a batch of alerts, and the partial counts it adds to the hourly rollup, in one commit.
 
-    Any number of writers share the tables. A batch lives in parts of its own: a micro-batch that the
-    same ``writer`` repeats after a failure replaces them and does not count twice. Without a
-    ``batch_id`` the batch is new. The counts are taken from the stored batch, so ``alerts`` is
-    computed once.
+    Any number of writers share the tables. A batch that the same ``writer`` repeats under its
+    ``batch_id`` after a failure changes nothing; without a ``batch_id`` the batch is new. The counts are
+    taken from the stored batch, so ``alerts`` is computed once. ``extra``: staged parts of other tables
+    that belong to the batch.
     """
     spark = alerts.sparkSession
-    batch = parts.new_batch() if batch_id is None else batch_id
+    owner = None if batch_id is None else writer
+    if parts.done(spark, root, owner, batch_id):
+        return
     stamp = F.current_timestamp() if inserted_at is None else S.ts(inserted_at)
-    parts.append(
-        _alert_rows(alerts, stamp), alerts_path(root), "detected_date", writer, batch, "alert_type", "detected_at"
-    )
-    stored = parts.read_part(spark, alerts_path(root), domain.ALERT_ROW, "detected_date", writer, batch)
-    rollup = A.hourly_rollup(stored).withColumn("hour_date", F.to_date("hour"))
-    parts.append(rollup, rollup_path(root), "hour_date", writer, batch, "hour")
+    added = parts.stage(_alert_rows(alerts, stamp), root, ALERTS, _ALERT_DAY, *_ALERT_ORDER)
+    counts = []
+    if added:
+        day = domain.T.StructField(_ALERT_DAY, domain.T.DateType())
+        stored = parts.read_entries(spark, root, added, domain.ALERT_ROW, day)
+        rollup = A.hourly_rollup(stored).withColumn(_ROLLUP_DAY, F.to_date("hour"))
+        counts = parts.stage(rollup, root, ROLLUP, _ROLLUP_DAY, "hour")
+    parts.commit(spark, root, [*added, *counts, *extra], (), owner, batch_id)
 
 
 def _date(t: datetime | None):
@@ -61,10 +67,15 @@ def _date(t: datetime | None):
 
 
 def read_alerts(
-    spark: SparkSession, root: str, floor: datetime | None = None, ceiling: datetime | None = None
+    spark: SparkSession,
+    root: str,
+    floor: datetime | None = None,
+    ceiling: datetime | None = None,
+    snapshot: parts.Snapshot | None = None,
 ) -> DataFrame:
     """The alert table; ``floor`` and ``ceiling`` (both included) filter by time and prune the day directories."""
-    df = parts.read(spark, alerts_path(root), domain.ALERT_ROW, "detected_date", _date(floor), _date(ceiling))
+    df = parts.read(spark, root, ALERTS, domain.ALERT_ROW, _ALERT_DAY, _date(floor), _date(ceiling), snapshot)
+    df = df.select(*domain.ALERT_ROW.names)
     if floor is not None:
         df = df.where(F.col("detected_at") >= S.ts(floor))
     if ceiling is not None:
@@ -73,39 +84,52 @@ def read_alerts(
 
 
 def read_rollup(
-    spark: SparkSession, root: str, floor: datetime | None = None, ceiling: datetime | None = None
+    spark: SparkSession,
+    root: str,
+    floor: datetime | None = None,
+    ceiling: datetime | None = None,
+    snapshot: parts.Snapshot | None = None,
 ) -> DataFrame:
     """Partial hourly counts of whole days, pruned; merge them with ``alerts.merge_rollup``."""
-    return parts.read(spark, rollup_path(root), domain.ROLLUP_ROW, "hour_date", _date(floor), _date(ceiling))
+    df = parts.read(spark, root, ROLLUP, domain.ROLLUP_ROW, _ROLLUP_DAY, _date(floor), _date(ceiling), snapshot)
+    return df.select(*domain.ROLLUP_ROW.names)
 
 
 def compact_alert_day(spark: SparkSession, root: str, day: Date) -> None:
-    """Few files for one finished day of the alert and rollup tables; readers see it at once."""
-    parts.compact(
-        spark, alerts_path(root), domain.ALERT_ROW, "detected_date", day, None, "alert_type", "detected_at", "alert_id"
-    )
+    """Few files for one day of the alert and rollup tables; readers see it at once."""
+    parts.compact(spark, root, ALERTS, domain.ALERT_ROW, _ALERT_DAY, day, order=_ALERT_ORDER)
     keys = ("hour", "alert_type", "severity", "station")
     parts.compact(
-        spark, rollup_path(root), domain.ROLLUP_ROW, "hour_date", day, lambda df: A.merge_rollup(df, *keys), "hour"
+        spark, root, ROLLUP, domain.ROLLUP_ROW, _ROLLUP_DAY, day, lambda df: A.merge_rollup(df, *keys), ("hour",)
     )
 
 
+def compact_crowded_days(spark: SparkSession, root: str, parts_from: int = 8) -> int:
+    """Compacts the days of either table that are spread over many parts; returns how many."""
+    snapshot = parts.load(spark, root)
+    crowded = {*snapshot.crowded(ALERTS, parts_from), *snapshot.crowded(ROLLUP, parts_from)}
+    for day in sorted(crowded):
+        compact_alert_day(spark, root, Date.fromisoformat(day))
+    return len(crowded)
+
+
 def drop_expired(spark: SparkSession, root: str, as_of: datetime, days: int = domain.DEFAULTS.alert_retention_days) -> int:
-    """Deletes whole day directories that are past retention; returns how many.
+    """Takes whole days that are past retention out of the alert table; returns how many.
 
-    Only directory names pass through the driver.
+    Their files go with the next ``clean``.
     """
-    limit = (S.utc(as_of.strftime("%Y-%m-%d")).timestamp() // 86400) - days
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    dropped = 0
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{alerts_path(root)}/*/detected_date=*")
-    fs = pattern.getFileSystem(conf)
-    for status in fs.globStatus(pattern) or []:
-        day = status.getPath().getName().split("=", 1)[1]
-        if S.utc(day).timestamp() // 86400 < limit:
-            fs.delete(status.getPath(), True)
-            dropped += 1
-    return dropped
+    limit = as_of.date() - timedelta(days=days)
+    while True:
+        old = parts.days(parts.load(spark, root), ALERTS, None, limit - timedelta(days=1))
+        # A compaction in between has replaced some of them: look again.
+        if not old or parts.drop(spark, root, old):
+            return len({e.key for e in old})
+
+
+def clean(spark: SparkSession, root: str, grace_ms: int = parts.GRACE_MS) -> int:
+    """Deletes files of replaced and expired parts that no reader can be using any more."""
+    tables = {ALERTS: _ALERT_DAY, ROLLUP: _ROLLUP_DAY, "late_scans": "scan_date", "positions": "kept"}
+    return parts.clean(spark, root, tables, grace_ms)
 
 
 def overwrite_report(report: DataFrame, path: str, inserted_at: datetime | None = None) -> None:

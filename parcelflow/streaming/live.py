@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import sys
 from datetime import date as Date
 
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from parcelflow import domain
 from parcelflow.functions import scalars as S
@@ -18,9 +16,6 @@ from parcelflow.operators.alerts import latest_versions
 from parcelflow.sources import parts, warehouse
 from parcelflow.streaming import journeys
 
-# The processor travels to the workers by value: executors need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 _P = domain.DEFAULTS
 
 
@@ -29,60 +24,22 @@ def with_event_time(scans: DataFrame, ooo_ms: int = _P.max_out_of_orderness_ms)
     return scans.withWatermark("scanned_at", f"{ooo_ms} milliseconds")
 
 
-class _FirstSeen(StatefulProcessor):
-    """Passes the first record of a key on, and forgets the key when event time has gone on by ``keep_ms``.
-
-    As for journeys, Spark's watermark runs ``shift_ms`` behind, so that no record is dropped for being late.
-    """
-
-    def __init__(self, names: list[str], keep_ms: int, shift_ms: int):
-        self._names, self._keep, self._shift = names, keep_ms, shift_ms
-
-    def init(self, handle):
-        self._handle = handle
-        self._seen = handle.getValueState("seen", "seen boolean")
-
-    def handleInputRows(self, key, rows, timerValues):
-        first = next(iter(rows))
-        if not self._seen.exists():
-            self._seen.update((True,))
-            now = timerValues.getCurrentWatermarkInMs() + self._shift
-            self._handle.registerTimer(max(first["_at_ms"], now) + self._keep - self._shift)
-            yield Row(**{name: first[name] for name in self._names})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self._seen.clear()
-        yield from ()
-
-    def close(self):
-        pass
-
-
 def dedup(scans: DataFrame, keep_ms: int = _P.resend_window_ms) -> DataFrame:
-    """Optional: drops resent scans (same ``event_id``) until event time is ``keep_ms`` past the first one.
+    """Optional: drops resent scans (same ``event_id``) that arrive within ``keep_ms`` of the first one.
 
-    A late scan that is not a duplicate passes, however late.
+    The watermark runs on the time of arrival, so a scan that is not a duplicate passes, however late it is.
     """
-    shift = journeys.HORIZON_MS
-    keyed = scans.withWatermark("scanned_at", f"{shift} milliseconds").withColumn("_at_ms", S.millis("scanned_at"))
-    return keyed.groupBy("event_id").transformWithState(
-        statefulProcessor=_FirstSeen(scans.columns, keep_ms, shift),
-        outputStructType=scans.schema,
-        outputMode="append",
-        timeMode="EventTime",
-    )
+    arrived = scans.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", f"{keep_ms} milliseconds")
+    return arrived.dropDuplicatesWithinWatermark(["event_id"]).drop("_arrived")
 
 
+POSITIONS, LATE_SCANS = "positions", "late_scans"
 #: Columns of a stored version of a position.
 POSITION_VERSION = T.StructType([*domain.POSITION.fields, T.StructField("event_id", T.StringType())])
 # Positions are one table whatever the day: the newest version of a package counts.
 _ALL_DAYS = Date(1970, 1, 1)
 
 
-def positions_path(root: str) -> str:
-    return f"{root}/positions"
-
-
 def start_positions(
     scans: DataFrame, items: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
@@ -100,7 +57,13 @@ def start_positions(
             "event_id",
         )
         parts.append(
-            newest.withColumn("kept", F.lit(_ALL_DAYS)), positions_path(root), "kept", parts.writer_of(batch), batch_id, "package_id"
+            newest.withColumn("kept", F.lit(_ALL_DAYS)),
+            root,
+            POSITIONS,
+            "kept",
+            "package_id",
+            writer=parts.writer_of(batch),
+            batch_id=batch_id,
         )
 
     return (
@@ -117,13 +80,15 @@ def _newest_versions(versions: DataFrame) -> DataFrame:
 
 def positions_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """The table a new reader starts from: the newest position per package."""
-    versions = parts.read(spark, positions_path(root), POSITION_VERSION, "kept")
+    versions = parts.read(spark, root, POSITIONS, POSITION_VERSION, "kept").select(*POSITION_VERSION.names)
     return _newest_versions(versions).select(*domain.POSITION.names)
 
 
-def compact_positions(spark: SparkSession, root: str) -> None:
+def compact_positions(spark: SparkSession, root: str) -> bool:
     """Keeps only the newest version per package of what was written so far; readers see it at once."""
-    parts.compact(spark, positions_path(root), POSITION_VERSION, "kept", _ALL_DAYS, _newest_versions, "package_id")
+    return parts.compact(
+        spark, root, POSITIONS, POSITION_VERSION, "kept", _ALL_DAYS, _newest_versions, ("package_id",)
+    )
 
 
 def damage_rate_stream(
@@ -168,10 +133,6 @@ def start_alert_loader(
     )
 
 
-def late_path(root: str) -> str:
-    return f"{root}/late_scans"
-
-
 LATE_SCAN = T.StructType(
     [
         *(T.StructField(n, T.StringType()) for n in ("package_id", "event_id", "station")),
@@ -182,13 +143,14 @@ LATE_SCAN = T.StructType(
 
 def read_late_scans(spark: SparkSession, root: str) -> DataFrame:
     """Scans that came too late for their journey."""
-    return parts.read(spark, late_path(root), LATE_SCAN, "scan_date")
+    return parts.read(spark, root, LATE_SCANS, LATE_SCAN, "scan_date").select(*LATE_SCAN.names)
 
 
 def start_journeys(
     scans: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, **options
 ) -> StreamingQuery:
-    """Misrouting alerts into the alert table, scans that are too late into a table of their own."""
+    """Misrouting alerts into the alert table, scans that are too late into a table of their own; a
+    batch of both is one commit."""
     options.setdefault("lateness_ms", _P.allowed_lateness_ms)
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -196,10 +158,9 @@ def start_journeys(
         batch.persist()
         try:
             alerts = journeys.misrouting_alerts(journeys.closed_sessions(batch))
-            writer = parts.writer_of(batch)
-            warehouse.append_alerts(alerts, root, batch_id=batch_id, writer=writer)
             late = journeys.late_scans(batch).withColumn("scan_date", F.to_date("scanned_at"))
-            parts.append(late, late_path(root), "scan_date", writer, batch_id, "package_id")
+            staged = parts.stage(late, root, LATE_SCANS, "scan_date", "package_id")
+            warehouse.append_alerts(alerts, root, batch_id=batch_id, writer=parts.writer_of(batch), extra=staged)
         finally:
             batch.unpersist()
 

@@ -91,7 +91,7 @@ def _sessions(df, **options):
         path = sorted(paths[package, start])
         assert [p for p, _ in path] == list(range(1, count + 1))
         stations = [s for _, s in path]
-        assert list(head) == stations[:7] and last_station == stations[-1]
+        assert list(head) == stations[: journeys.PATH_STATIONS] and last_station == stations[-1]
         found.append((package, start, last, count, stations))
     return sorted(found)
 
@@ -127,7 +127,8 @@ def test_alert_and_whole_path_at_every_length(spark, count):
     found = journeys.misrouting_alerts(journeys.sessions(df))
     paths = journeys.misrouted_paths(df)
     (a,) = found.collect()
-    assert a.misrouting_detail.path_so_far == [STATION["I"]] * min(count, 7) and a.attributes == {}
+    assert a.misrouting_detail.path_so_far == [STATION["I"]] * min(count, 1000)
+    assert a.attributes == ({} if count <= 1000 else {"path_scans": str(count)})
     assert (a.misrouting_detail.expected_station, a.misrouting_detail.actual_station) == (STATION["N"], STATION["I"])
     assert sorted((r.position, r.event_id) for r in paths.collect()) == [(i + 1, f"e{i:05d}") for i in range(count)]
     assert {r.alert_id for r in paths.collect()} == {"misrouting-p"}

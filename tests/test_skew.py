@@ -65,7 +65,7 @@ def test_sessions(bed, duck, monkeypatch):
         "package_id", "session_start", "last_scan_at", "scan_count", "reached_dispatch", "head", "last_station"
     )
     sql = """select package_id, start_ms session_start, last_ms last_scan_at, scan_count, reached reached_dispatch,
-      array_to_string(path[1:7], '>') head, path[len(path)] last_station from sess"""
+      array_to_string(path[1:1000], '>') head, path[len(path)] last_station from sess"""
     rows = compare(duck, monkeypatch, df, sql)
     assert max(int(r[3]) for r in rows) > 1000
 

@@ -81,7 +81,7 @@ def test_journey_stream_closes_sessions_like_the_batch(spark, tmp_path):
     got = feed.result().select(
         "package_id", millis("session_start"), millis("last_scan_at"), "scan_count", "head", "last_station"
     )
-    want = [(p, a, b, n, stations[:7], stations[-1]) for p, a, b, n, stations in expected]
+    want = [(p, a, b, n, stations, stations[-1]) for p, a, b, n, stations in expected]
     assert sorted((*r[:4], list(r[4]), r[5]) for r in got.collect()) == want
 
 
@@ -154,7 +154,8 @@ def test_long_session_keeps_what_the_verdict_reads(spark, tmp_path):
     feed.step([scan("q", "I", BASE + 4 * GAP)])
     (r,) = feed.result().where("package_id = 'p'").collect()
     assert (r.scan_count, r.reached_dispatch, r.last_station[13:]) == (1507, True, "SORT_A")
-    assert [s[13:] for s in r.head] == ["INTAKE", "INDUCTION", "SORT_A", "SORT_B", "QC_CHECK", "STAGING", "DISPATCH"]
+    assert [s[13:] for s in r.head[:7]] == ["INTAKE", "INDUCTION", "SORT_A", "SORT_B", "QC_CHECK", "STAGING", "DISPATCH"]
+    assert len(r.head) == 1000
 
 
 def test_very_late_scans_are_reported(spark, tmp_path):
@@ -190,7 +191,7 @@ def test_positions_keep_the_newest_scan(spark, tmp_path):
         live.compact_positions(spark, root)
         kept = {r.package_id: (r.station[13:], r.item_name) for r in live.positions_snapshot(spark, root).collect()}
         assert kept == got
-    assert parts.read(spark, live.positions_path(root), live.POSITION_VERSION, "kept").count() == 3
+    assert parts.read(spark, root, live.POSITIONS, live.POSITION_VERSION, "kept").count() == 3
 
 
 def test_two_loaders_and_a_new_checkpoint_share_one_table(spark, tmp_path):
@@ -211,7 +212,7 @@ def test_two_loaders_and_a_new_checkpoint_share_one_table(spark, tmp_path):
     assert A.merge_rollup(warehouse.read_rollup(spark, root), "alert_type").first().alert_count == 4
     pruned = warehouse.read_alerts(spark, root, datetime(2026, 8, 1, tzinfo=timezone.utc), datetime(2026, 8, 2, tzinfo=timezone.utc))
     assert pruned.count() == 4
-    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", pruned._jdf.queryExecution().executedPlan().toString())
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)", pruned._jdf.queryExecution().executedPlan().toString())
     assert filters and all("detected_date" in f for f in filters)
 
 
