@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from parcelflow import domain
+from parcelflow.functions import messages
 from parcelflow.functions import scalars as S
 from parcelflow.operators.ingest import wire_payload
 
@@ -107,8 +108,10 @@ def with_whole_paths(alerts: DataFrame, paths: DataFrame) -> DataFrame:
     )
 
 
-def encode_alerts(alerts: DataFrame) -> DataFrame:
-    """Nested alerts as keyed wire records (base64 of JSON)."""
+def encode_alerts(alerts: DataFrame, fmt: str = "json") -> DataFrame:
+    """Nested alerts as keyed wire records: base64 of JSON, or of the tracked system's ``binary`` messages."""
+    if fmt == "binary":
+        return messages.to_wire(alerts, messages.ALERT, "package_id")
     body = F.struct(*[F.col(f.name) for f in domain.ALERT.fields])
     return alerts.select(
         F.col("package_id").alias("key"), F.base64(F.to_json(body).cast("binary")).alias("value")
@@ -117,6 +120,10 @@ def encode_alerts(alerts: DataFrame) -> DataFrame:
 
 def decode_alerts(wire: DataFrame, fmt: str = "json", **protobuf) -> tuple[DataFrame, DataFrame]:
     """``(alerts, quarantine)`` of keyed wire records; formats as in ``ingest.wire_payload``."""
+    if fmt == "binary":
+        read = messages.with_message(wire, messages.ALERT, domain.ALERT, "_message")
+        usable = F.col("_message").isNotNull() & F.col("_message.detected_at").isNotNull()
+        return read.where(usable).select("_message.*"), read.where(~usable).select(*wire.columns)
     parsed = wire_payload(domain.ALERT, fmt, **protobuf)
     # Filtered inside an array so that each record is parsed once, see ingest.wire_events.
     alerts = F.filter(F.array(parsed), lambda a: a["detected_at"].isNotNull())

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelflow import domain
+from parcelflow.functions import messages
 from parcelflow.functions import scalars as S
 
 _DAMAGED = "SCAN_RESULT_DAMAGE_DETECTED"
@@ -78,15 +79,23 @@ def wire_events(fmt: str = "json", **protobuf) -> Column:
 
 
 def decode_scans(wire: DataFrame, fmt: str = "json", **protobuf) -> tuple[DataFrame, DataFrame]:
-    """``(scans, quarantine)``: lake rows, and the wire records that could not be decoded."""
+    """``(scans, quarantine)``: lake rows, and the wire records that could not be decoded.
+
+    ``fmt='binary'`` reads the tracked system's own messages (see ``functions.messages``).
+    """
+    if fmt == "binary":
+        names = wire.columns
+        read = messages.with_message(wire, messages.SCAN_EVENT, domain.SCAN_EVENT, "_message")
+        usable = F.col("_message").isNotNull() & _usable(F.col("_message"))
+        return read.where(usable).select("_message.*").select(*lake_columns()), read.where(~usable).select(*names)
     events = wire_events(fmt, **protobuf)
     good = wire.select(F.inline(events)).select(*lake_columns())
     return good, wire.where(F.size(events) == 0)
 
 
-def encode_scans(scans: DataFrame) -> DataFrame:
+def encode_scans(scans: DataFrame, fmt: str = "json") -> DataFrame:
     """Lake rows as keyed wire records (``key`` = package, so per-package order holds)."""
-    event = F.struct(
+    columns = (
         "event_id",
         "package_id",
         "station",
@@ -100,8 +109,10 @@ def encode_scans(scans: DataFrame) -> DataFrame:
         ).alias("damage_assessment"),
         F.create_map(F.lit("item_id"), F.col("item_id")).alias("attributes"),
     )
+    if fmt == "binary":
+        return messages.to_wire(scans.select(*columns), messages.SCAN_EVENT, "package_id")
     return scans.select(
-        F.col("package_id").alias("key"), F.base64(F.to_json(event).cast("binary")).alias("value")
+        F.col("package_id").alias("key"), F.base64(F.to_json(F.struct(*columns)).cast("binary")).alias("value")
     )
 
 
