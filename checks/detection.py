@@ -230,6 +230,40 @@ def _(t):
     return ingest.decode_scans(_wire(t))[0]
 
 
+@check(
+    "prj1_binary_scans",
+    """select event_id, package_id, station, scanner_id, epoch_ms(scanned_at) scanned_at, result, damage_type,
+      cast(cast(damage_confidence as real) as double) damage_confidence, item_id from scans""",
+)
+def _(t):
+    return ingest.decode_scans(ingest.encode_scans(t.scans, "binary"), "binary")[0]
+
+
+def _cut_wire(t):
+    """Binary wire records, those of every fourth package one byte short."""
+    wire = ingest.encode_scans(t.scans, "binary")
+    whole = F.unbase64("value")
+    cut = F.base64(F.substring(whole, F.lit(1), F.octet_length(whole) - 1))
+    damaged = F.substring("key", 5, 20).cast("long") % 4 == 0
+    return wire.withColumn("value", F.when(damaged, cut).otherwise(F.col("value")))
+
+
+@check(
+    "prj1_binary_quarantine",
+    "select package_id as key, count(*) records from scans where cast(substr(package_id, 5) as bigint) % 4 = 0 group by 1",
+)
+def _(t):
+    return ingest.decode_scans(_cut_wire(t), "binary")[1].groupBy("key").agg(F.count(F.lit(1)).alias("records"))
+
+
+@check(
+    "prj1_binary_neighbours_unharmed",
+    "select event_id, station from scans where cast(substr(package_id, 5) as bigint) % 4 <> 0",
+)
+def _(t):
+    return ingest.decode_scans(_cut_wire(t), "binary")[0].select("event_id", "station")
+
+
 def _broken_wire(t):
     """Wire records in which those of unreadable scans are damaged beyond decoding."""
     wire = ingest.encode_scans(t.scans).withColumn("value", F.reverse("value"))
@@ -262,6 +296,11 @@ def _(t):
     return A.flatten_alerts(t.detected())
 
 
+@check("prj2_binary_alerts", f"select {ALERT_COLUMNS} from alerts")
+def _(t):
+    return A.flatten_alerts(A.decode_alerts(A.encode_alerts(t.detected(), "binary"), "binary")[0])
+
+
 @check(
     "prj3_resolved_station",
     "select alert_type, station, count(*) as alerts_raised from alerts group by 1, 2",

@@ -87,6 +87,14 @@ def _(t):
     return collected(t, scans, "decoded")
 
 
+@stream_check("src1_scan_stream_from_binary_wire", f"select {LAKE_COLUMNS} from scans")
+def _(t):
+    path = t.folder("binary-wire")
+    stream.publish(ingest.encode_scans(t.scans, "binary"), fmt="parquet", path=path)
+    scans = stream.read_scan_stream(t.spark, fmt="parquet", payload={"fmt": "binary"}, path=path)
+    return collected(t, scans, "binary-decoded")
+
+
 @stream_check("snk1_published_scans", "select package_id as key, count(*) as records from scans group by 1")
 def _(t):
     path = t.folder("published")
