@@ -51,9 +51,14 @@ def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
-def collected(t, df: DataFrame, name: str) -> DataFrame:
-    """Runs an append stream into Parquet and reads the result back."""
+def collected(t, df: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    """Runs a stream into Parquet and reads the result back."""
     out, checkpoint = t.folder(name), t.folder(f"{name}-checkpoint")
+    if mode != "append":
+        # Rows of an update stream, each of which comes once here.
+        write = lambda batch, k: batch.write.parquet(f"{out}/batch={k}")
+        finish(df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode(mode).trigger(**NOW).start())
+        return t.spark.read.schema(df.schema).parquet(out)
     writer = df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
     finish(writer.outputMode("append").trigger(**NOW).start())
     return t.spark.read.schema(df.schema).parquet(out)
@@ -242,6 +247,62 @@ def _(t):
     return live.positions_snapshot(t.spark, root)
 
 
+@stream_check(
+    "src2_stream_from_now",
+    f"select {LAKE_COLUMNS} from scans where scanned_at >= timestamp '2026-08-15 00:00:00'",
+)
+def _(t):
+    path, marker, checkpoint, out = (t.folder(f"now-{x}") for x in ("wire", "marker", "checkpoint", "out"))
+    middle, late = (F.lit(f"2026-08-{day}").cast("timestamp") for day in (15, 22))
+    at = F.col("scanned_at")
+
+    def run():
+        scans = stream.read_scan_stream(t.spark, "parquet", "latest", {"fmt": "binary"}, f"{marker}/start", path=path)
+        writer = scans.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        finish(writer.trigger(**NOW).start())
+
+    for part in (t.scans.where(at < middle), t.scans.where((at >= middle) & (at < late)), t.scans.where(at >= late)):
+        # Started when the first part was there; the last part comes after a restart.
+        stream.publish(ingest.encode_scans(part, "binary"), fmt="parquet", path=path)
+        run()
+    return t.spark.read.schema(lake.PARTITIONED).parquet(out).drop("date", "hour")
+
+
+@stream_check(
+    "api6_subscriber_in_the_middle",
+    """select 'snapshot' kind, package_id, station, epoch_ms(updated_at) updated_at from (
+      select package_id, station, scanned_at updated_at,
+        row_number() over (partition by package_id order by scanned_at desc, event_id desc) rn
+      from scans where scanned_at < timestamp '2026-08-20 00:00:00') where rn = 1
+    union all
+    select 'update', package_id, station, epoch_ms(scanned_at) from scans
+    where scanned_at >= timestamp '2026-08-20 00:00:00'""",
+)
+def _(t):
+    root, inbox, marker = t.folder("subscribed"), t.folder("subscribed-inbox"), t.folder("subscribed-marker")
+    rows, at = lake.lake_rows(t.scans).drop("date", "hour"), F.col("scanned_at")
+    middle, joined = (F.lit(f"2026-08-{day}").cast("timestamp") for day in (10, 20))
+
+    def arrive(part):
+        part.write.mode("append").parquet(inbox)
+
+    def keep():
+        scans = stream.read_scan_table_stream(t.spark, inbox)
+        finish(live.start_positions(scans, t.items, root, f"{marker}-positions", NOW))
+
+    arrive(rows.where(at < middle))
+    keep()
+    scans = stream.read_scan_table_stream(t.spark, inbox, f"{marker}/start")
+    # These scans are in the snapshot and in the subscriber's stream.
+    arrive(rows.where((at >= middle) & (at < joined)))
+    keep()
+    snapshot, updates = live.subscribe(scans, t.items, root)
+    snapshot = snapshot.select(F.lit("snapshot").alias("kind"), "package_id", "station", "updated_at")
+    arrive(rows.where(at >= joined))
+    keep()
+    return snapshot.unionByName(collected(t, updates, "updates", "update").select(F.lit("update").alias("kind"), "package_id", "station", "updated_at"))
+
+
 @stream_check(
     "snk8_late_scans",
     """select event_id, package_id, station, epoch_ms(scanned_at) scanned_at from scans

@@ -171,8 +171,8 @@ def with_items(df: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def position_updates(scans: DataFrame, items: DataFrame) -> DataFrame:
-    """Every scan as a position update (also on a stream: the item side is static)."""
+def position_updates(scans: DataFrame, items: DataFrame, *more: str) -> DataFrame:
+    """Every scan as a position update, with ``more`` of its columns (also on a stream: the item side is static)."""
     return with_items(scans, items).select(
         "package_id",
         "station",
@@ -180,4 +180,5 @@ def position_updates(scans: DataFrame, items: DataFrame) -> DataFrame:
         "item_name",
         "item_category",
         (F.col("result") == _DAMAGED).alias("damage_detected"),
+        *more,
     )

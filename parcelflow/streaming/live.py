@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 from datetime import date as Date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from parcelflow import domain
 from parcelflow.functions import scalars as S
@@ -16,6 +18,9 @@ from parcelflow.operators.alerts import latest_versions
 from parcelflow.sources import parts, warehouse
 from parcelflow.streaming import journeys
 
+# The processor travels to the workers by value: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _P = domain.DEFAULTS
 
 
@@ -178,6 +183,51 @@ def live_feed_stream(scans: DataFrame, items: DataFrame, alerts: DataFrame) -> D
     return cases.live_feed(ingest.position_updates(scans, items), alerts)
 
 
+class _Changes(StatefulProcessor):
+    """Passes on what is newer than the position known of a package, in order."""
+
+    def init(self, handle):
+        self._known = handle.getValueState("known", "at_ms bigint, event_id string")
+
+    def handleInitialState(self, key, initialState, timerValues):
+        self._known.update((initialState.at_ms, initialState.event_id))
+
+    def handleInputRows(self, key, rows, timerValues):
+        known = tuple(self._known.get()) if self._known.exists() else None
+        for r in sorted(rows, key=lambda r: (r.at_ms, r.event_id)):
+            if known is None or (r.at_ms, r.event_id) > known:
+                known = (r.at_ms, r.event_id)
+                yield Row(**{name: r[name] for name in POSITION_VERSION.names})
+        if known is not None:
+            self._known.update(known)
+
+    def close(self):
+        pass
+
+
+def subscribe(scans: DataFrame, items: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """What a client that joins in the middle needs: ``(snapshot, updates)``.
+
+    The snapshot is the position table as it stands. The updates are a stream of position changes that
+    starts with the snapshot as its state: a scan that is in the snapshot already is not repeated, every
+    newer one comes out. ``scans`` must have been started no later than the call (``stream.starting_now``), so
+    nothing is lost in between; an overlap does no harm.
+    """
+    spark = scans.sparkSession
+    versions = parts.read(spark, root, POSITIONS, POSITION_VERSION, "kept").select(*POSITION_VERSION.names)
+    known = _newest_versions(versions)
+    start = known.select("package_id", S.millis("updated_at").alias("at_ms"), "event_id")
+    arriving = ingest.position_updates(scans, items, "event_id").withColumn("at_ms", S.millis("updated_at"))
+    changes = arriving.groupBy("package_id").transformWithState(
+        statefulProcessor=_Changes(),
+        outputStructType=POSITION_VERSION,
+        outputMode="update",
+        timeMode="None",
+        initialState=start.groupBy("package_id"),
+    )
+    return known.select(*domain.POSITION.names), changes.select(*domain.POSITION.names)
+
+
 def nearby_scan_stream(
     alerts: DataFrame,
     scans: DataFrame,
