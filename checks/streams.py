@@ -16,7 +16,7 @@ from parcelflow.functions import scalars as S
 from parcelflow.operators import alerts as A
 from parcelflow.operators import dwell, ingest
 from parcelflow.sources import lake, stream, warehouse
-from parcelflow.streaming import journeys, live, stuck
+from parcelflow.streaming import journeys, live, repair, stuck
 
 NOW = {"availableNow": True}
 
@@ -337,6 +337,28 @@ def _(t):
     return warehouse.read_alerts(t.spark, root).select("package_id", "station", "detected_at")
 
 
+def _repaired(t):
+    """A lake and alerts of four fifths of the scans; the others come late, in two batches."""
+    if not hasattr(t, "repaired"):
+        root, lake_root = t.folder("followed-up"), t.folder("followed-up-lake")
+        rows = lake.lake_rows(t.scans).drop("date", "hour")
+        part = F.pmod(F.xxhash64("event_id"), F.lit(10))
+        late = (part < 2) & (F.col("scanned_at") < S.ts(t.as_of - timedelta(days=1)))
+
+        def start(scans, checkpoint):
+            return repair.start_lake_with_repair(scans, lake_root, root, checkpoint, NOW)
+
+        warehouse.append_alerts(dwell.stuck_alerts(rows.where(~late)), root, inserted_at=t.as_of)
+        in_steps(t, [rows.where(~late), rows.where(late & (part == 0)), rows.where(late & (part == 1))], "follow-up", start)
+        t.repaired = root
+    return t.repaired
+
+
+@stream_check("str4_alerts_followed_up_for_late_scans", "select package_id, station, last_ms + 600000 detected_at from stuck_point")
+def _(t):
+    return repair.standing_alerts(t.spark, _repaired(t)).select("package_id", "station", "detected_at")
+
+
 @stream_check(
     "str11_replay_lake_through_detector",
     """select package_id, station, last_ms + 600000 detected_at from stuck_point
