@@ -104,6 +104,8 @@ def package_entries(spark: SparkSession, root: str, package_id: str, buckets: in
     """The parts that can hold scans of a package: those that the index names, and all that have no index."""
     snapshot = parts.load(spark, root)
     events, index = snapshot.of(EVENTS), snapshot.of(INDEX)
+    if not index:
+        return events
     indexed = {e.part for e in index}
     own = int(spark.range(1).select(_bucket(F.lit(package_id), buckets)).first()[0])
     whole = T.StructType([*_INDEX_ROW.fields, T.StructField("part", T.StringType()), _BUCKET])
