@@ -398,6 +398,39 @@ def _(t):
     return collected(t, live.damage_rate_stream(scan_stream(t)), "damage-rate")
 
 
+def _hourly(t, parts: list[DataFrame], name: str) -> DataFrame:
+    """Scans per hour of event time, from a stream that is fed part by part."""
+    out = t.folder(name)
+
+    def start(scans, checkpoint):
+        hours = live.with_event_time(scans).groupBy(F.window("scanned_at", "1 hour")).agg(F.count(F.lit(1)).alias("scan_count"))
+        rows = hours.select(F.col("window.start").alias("hour"), "scan_count")
+        return rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(**NOW).start()
+
+    in_steps(t, parts, name, start)
+    return t.spark.read.schema("hour timestamp, scan_count long").parquet(out)
+
+
+HOURLY_SQL = """select epoch_ms(h) as "hour", n scan_count from (
+  select date_trunc('hour', scanned_at) h, count(*) n from scans {where} group by 1)
+where h + interval '1' hour <= (select t from as_of) - interval '30' second"""
+
+
+@stream_check("prj6_event_time_whatever_the_arrival", HOURLY_SQL.format(where=""))
+def _(t):
+    # All scans arrive together and in no order of time: only their own time counts.
+    return _hourly(t, [lake.lake_rows(t.scans).drop("date", "hour").repartition(8, F.xxhash64("event_id"))], "event-time")
+
+
+@stream_check(
+    "str1_rows_behind_the_watermark_are_dropped", HOURLY_SQL.format(where="where scanned_at >= timestamp '2026-08-15 00:00:00'")
+)
+def _(t):
+    rows, middle = lake.lake_rows(t.scans).drop("date", "hour"), F.lit("2026-08-15").cast("timestamp")
+    # The older half comes after the newer one has moved the watermark.
+    return _hourly(t, [rows.where(F.col("scanned_at") >= middle), rows.where(F.col("scanned_at") < middle)], "watermark")
+
+
 @stream_check(
     "set2_live_feed_stream",
     """select package_id, epoch_ms(scanned_at) at_ms, station position_station, null alert_id from scans
