@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -398,6 +398,30 @@ def _(t):
     return collected(t, live.damage_rate_stream(scan_stream(t)), "damage-rate")
 
 
+@stream_check(
+    "str12_damage_rate_with_late_scans",
+    """select end_ms window_end, d / cast(n as double) damage_rate, n sample_size from (
+      select end_ms, count(*) n, count(*) filter (result = 'SCAN_RESULT_DAMAGE_DETECTED') d from (
+        select result, unnest(range(ms - ms % 15000 + 15000, ms - ms % 15000 + 600001, 15000)) end_ms
+        from (select result, epoch_ms(scanned_at) ms from scans)) group by 1)""",
+)
+def _(t):
+    root = t.folder("damage-steps")
+    rows, middle = lake.lake_rows(t.scans).drop("date", "hour"), F.lit("2026-08-15").cast("timestamp")
+    # Two weeks late, and every seventh scan later still.
+    last = F.pmod(F.xxhash64("event_id"), F.lit(7)) == 0
+    older = F.col("scanned_at") < middle
+    in_steps(
+        t,
+        [rows.where(~older & ~last), rows.where(older & ~last), rows.where(last)],
+        "damage-steps",
+        lambda s, c: live.start_damage_steps(s, root, c, NOW),
+    )
+    live.compact_damage_steps(t.spark, root, date(2026, 8, 10))
+    warehouse.clean(t.spark, root, grace_ms=0)
+    return live.damage_rates(t.spark, root)
+
+
 def _hourly(t, parts: list[DataFrame], name: str) -> DataFrame:
     """Scans per hour of event time, from a stream that is fed part by part."""
     out = t.folder(name)

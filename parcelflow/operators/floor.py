@@ -164,6 +164,11 @@ def damage_rate_series(
     steps = scans.groupBy(S.slot_start(at, slide_ms).alias("step")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(_damaged()).alias("d")
     )
+    return rates_of_steps(steps, window_ms, slide_ms)
+
+
+def rates_of_steps(steps: DataFrame, window_ms: int, slide_ms: int) -> DataFrame:
+    """Sliding-window damage rates from counts per step (``step`` in ms, ``n`` scans, ``d`` damaged)."""
     ends = F.sequence(F.col("step") + slide_ms, F.col("step") + window_ms, F.lit(slide_ms).cast("long"))
     return (
         steps.select(F.explode(ends).alias("end_ms"), "n", "d")

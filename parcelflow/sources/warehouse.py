@@ -128,7 +128,8 @@ def drop_expired(spark: SparkSession, root: str, as_of: datetime, days: int = do
 
 def clean(spark: SparkSession, root: str, grace_ms: int = parts.GRACE_MS) -> int:
     """Deletes files of replaced and expired parts that no reader can be using any more."""
-    tables = {ALERTS: _ALERT_DAY, ROLLUP: _ROLLUP_DAY, "late_scans": "scan_date", "positions": "kept", "withdrawn_alerts": "withdrawn_date"}
+    tables = {ALERTS: _ALERT_DAY, ROLLUP: _ROLLUP_DAY, "late_scans": "scan_date", "positions": "kept"}
+    tables |= {"withdrawn_alerts": "withdrawn_date", "damage_steps": "step_date"}
     return parts.clean(spark, root, tables, grace_ms)
 
 

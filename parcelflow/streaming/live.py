@@ -122,6 +122,62 @@ def damage_rate_stream(
     )
 
 
+DAMAGE_STEPS = "damage_steps"
+_STEP = T.StructType(
+    [T.StructField("step", T.TimestampType()), T.StructField("n", T.LongType()), T.StructField("d", T.LongType())]
+)
+
+
+def start_damage_steps(
+    scans: DataFrame, root: str, checkpoint: str, trigger: dict | None = None, slide_ms: int = _P.damage_sample_ms
+) -> StreamingQuery:
+    """Counts scans and damage per slide step, however late they come: each micro-batch adds partial counts."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        step = F.timestamp_millis(S.slot_start(S.millis("scanned_at"), slide_ms)).alias("step")
+        damaged = F.count_if(F.col("result") == "SCAN_RESULT_DAMAGE_DETECTED")
+        counts = batch.groupBy(step).agg(F.count(F.lit(1)).alias("n"), damaged.alias("d"))
+        parts.append(
+            counts.withColumn("step_date", F.to_date("step")),
+            root,
+            DAMAGE_STEPS,
+            "step_date",
+            "step",
+            writer=parts.writer_of(batch),
+            batch_id=batch_id,
+        )
+
+    return (
+        scans.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .start()
+    )
+
+
+def damage_rates(
+    spark: SparkSession,
+    root: str,
+    first: Date | None = None,
+    last: Date | None = None,
+    window_ms: int = _P.damage_window_ms,
+    slide_ms: int = _P.damage_sample_ms,
+) -> DataFrame:
+    """Sliding damage rates over the stored steps of some days, late scans included.
+
+    A window that :func:`damage_rate_stream` has given before a late scan came has another value here.
+    """
+    steps = parts.read(spark, root, DAMAGE_STEPS, _STEP, "step_date", first, last)
+    merged = steps.groupBy("step").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+    return floor.rates_of_steps(merged.select(S.millis("step").alias("step"), "n", "d"), window_ms, slide_ms)
+
+
+def compact_damage_steps(spark: SparkSession, root: str, day: Date) -> bool:
+    """Few files for one day of steps, with one row a step."""
+    total = lambda df: df.groupBy("step").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+    return parts.compact(spark, root, DAMAGE_STEPS, _STEP, "step_date", day, total, ("step",))
+
+
 def start_alert_loader(
     alerts: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
