@@ -4,10 +4,13 @@ The pages of a host are merged into one style tree: a node for each path of bloc
 presentation (tag, class, id). Over all pages of the host a node has a presentation importance (entropy
 of the ways its children are laid out) and a content importance (one less the mean entropy of its text
 blocks over the pages: text that repeats everywhere counts 0, text of one page 1); the importance of a
-text node is their mixture. Presentation that names its own role decides first: menus, footers,
-forms, adverts and the like count 0, an article or main element 1, and where a page has one, everything
-outside counts 0. The rest, nodes without a declared role, goes by the tree: low importance on enough
-pages removes the branch from every page of the host.
+text node is their mixture. Presentation that names its own role is a weight in the decision: menus, footers,
+forms, adverts and reader comments count 0 whatever the tree says. A node without a declared role goes from
+every page of the host if its importance is ``LOW`` on enough pages. A node of an article or main
+element goes only below ``LOW_MAIN``, and only where another such node of the host is as important as
+``HIGH``: on a host whose pages are all alike nothing tells the text from its frame. On a page with an
+article, what is left outside counts only if it is ``MAIN_WEIGHT`` times as long as what is left
+inside (a body beside a teaser); else the article alone is the text.
 
 Text blocks end at block elements; character references are decoded, white space becomes one space,
 and blocks are joined by an empty line. The tree's table is counted by two combinable aggregates, so a
@@ -15,7 +18,8 @@ host with a third of all pages is no hot group. Low nodes reach the pages by bro
 no more than ``BROADCAST_NODES`` of them, by a join on the host beyond.
 
 Defined cases: null or empty html gives an empty text; a null url or one without host belongs to the
-host ''; unclosed, misnested and unknown tags are tolerated; equal pages count each.
+host ''; unclosed, misnested and unknown tags are tolerated; equal pages count each; texts are read whole
+whatever their length; columns that are not asked for do not matter, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,6 +40,10 @@ from parcelflow.llm.urls import host_of
 LEAST_PAGES = 5
 #: Share of the content importance in the mixture, and the importance below which a node goes.
 CONTENT_SHARE, LOW = 0.9, 0.35
+#: The importance below which a node of the declared main text goes, and the one that another has to have for that.
+LOW_MAIN, HIGH = 0.15, 0.5
+#: How many times longer than the declared main text the text outside has to be.
+MAIN_WEIGHT = 2
 #: Low nodes that go to all tasks as one small table (16 bytes each).
 BROADCAST_NODES = 100_000
 
@@ -48,7 +56,7 @@ BLOCKS = frozenset(
     "search section summary table tbody td tfoot th thead tr ul".split()
 )
 BOILERPLATE = frozenset(
-    "head nav aside footer form script style noscript template iframe object svg math canvas audio video button select "
+    "head nav aside footer form script style noscript template iframe object svg canvas audio video button select "
     "textarea input label dialog menu search noembed noframes title".split()
 )
 DECLARED = frozenset(
@@ -58,6 +66,11 @@ DECLARED = frozenset(
     "recommended recommendations comment comments discussion disqus respond reply replies widget widgets toolbar "
     "pagination pager skip search searchbox contentinfo complementary".split()
 )
+#: Words that leave a role word beside them its meaning (``comment-list``, ``site-footer``).
+PLACES = frozenset(
+    "area article bar block body bottom box container entry form group header inner left link links list outer post "
+    "right section site thread top user wrap wrapper".split()
+)
 #: Open elements that a start tag ends.
 _ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -73,6 +86,7 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s/>"'=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']\S*)))?""")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW}
 _SPLIT = re.compile(r"[^a-z0-9]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 #: What a text block is by its declared role.
 NOISE, OPEN, MAIN = 0, 1, 2
@@ -86,8 +100,13 @@ class _Element:
 
 
 def _declared(value: str) -> bool:
-    """Whether one of the words of an attribute is made of role words only (``cookie-notice``, but not ``no-sidebar``)."""
-    return any(parts <= DECLARED for parts in (set(_SPLIT.split(w)) - {""} for w in value.split()) if parts)
+    """Whether one of the words of an attribute is made of role words, beside words of place and numbers only
+    (``cookie-notice``, ``post-comments-2``, but not ``no-sidebar``)."""
+    for word in value.split():
+        parts = {p for p in _SPLIT.split(word) if p and not p.isdigit()} - PLACES
+        if parts and parts <= DECLARED:
+            return True
+    return False
 
 
 def _presentation(tag: str, rest: str) -> tuple[str, bool, bool]:
@@ -98,7 +117,7 @@ def _presentation(tag: str, rest: str) -> tuple[str, bool, bool]:
             name = name.lower()
             if name not in ("class", "id", "role", "hidden"):
                 continue
-            value = (a or b or c).lower()
+            value = _CAMEL.sub("-", a or b or c).lower()
             if name == "hidden":
                 noise = noise or not value or value == "hidden"
                 continue
@@ -211,9 +230,6 @@ def parse(text: str | None) -> tuple[list[tuple[str, int, str]], dict[str, tuple
             quiet += noise
             stack.append(new)
     flush()
-    if any(role == MAIN for role, _ in styles.values()):
-        blocks = [(p, NOISE if r == OPEN else r, t) for p, r, t in blocks]
-        styles = {p: (NOISE if r == OPEN else r, c) for p, (r, c) in styles.items()}
     return blocks, {p: (r, tuple(c)) for p, (r, c) in styles.items()}
 
 
@@ -222,8 +238,8 @@ def _code(text: str) -> int:
 
 
 def style_rows(pages: DataFrame) -> DataFrame:
-    """The nodes of each page: ``(host, path, open, content, value)``, one row per node layout and per distinct text in it."""
-    names = ["host", "path", "open", "content", "value"]
+    """The nodes of each page: ``(host, path, role, content, value)``, one row per node layout and per distinct text in it."""
+    names = ["host", "path", "role", "content", "value"]
 
     def run(batches):
         for batch in batches:
@@ -231,22 +247,22 @@ def style_rows(pages: DataFrame) -> DataFrame:
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 blocks, styles = parse(None if page is None else page.decode("utf-8", "replace"))
                 codes = {p: _code(p) for p in styles}
-                rows += [(host, codes[p], r == OPEN, False, _code(" ".join(c))) for p, (r, c) in styles.items()]
-                rows += [(host, codes[p], r == OPEN, True, _code(t)) for p, r, t in {b for b in blocks if b[0] in codes}]
+                rows += [(host, codes[p], r, False, _code(" ".join(c))) for p, (r, c) in styles.items()]
+                rows += [(host, codes[p], r, True, _code(t)) for p, r, t in {b for b in blocks if b[0] in codes}]
             columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-            kinds = [pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64()]
+            kinds = [pa.string(), pa.int64(), pa.int8(), pa.bool_(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     source = pages.select(host_of("url").alias("host"), utf8("html").alias("html"))
-    return source.mapInArrow(run, "host string, path long, open boolean, content boolean, value long")
+    return source.mapInArrow(run, "host string, path long, role byte, content boolean, value long")
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """``(host, path, open, pages, presentation, content, importance)`` of every node that holds text on some page."""
+    """``(host, path, role, pages, presentation, content, importance)`` of every node that holds text on some page."""
     k = F.col("k").cast("double")
-    of = style_rows(pages).groupBy("host", "path", "content", "value").agg(F.count("*").alias("k"), F.max("open").alias("open"))
+    of = style_rows(pages).groupBy("host", "path", "content", "value").agg(F.count("*").alias("k"), F.max("role").alias("role"))
     nodes = of.groupBy("host", "path").agg(
-        F.max("open").alias("open"),
+        F.max("role").alias("role"),
         F.sum(F.when(~F.col("content"), F.col("k"))).alias("pages"),
         F.sum(F.when(~F.col("content"), k * F.log(k))).alias("layout_sum"),
         F.sum(F.when(F.col("content"), F.col("k"))).alias("texts"),
@@ -259,23 +275,32 @@ def style_tree(pages: DataFrame) -> DataFrame:
         .withColumn("presentation", F.when(m > 0, (m - F.col("layout_sum") / F.col("pages")) / m).otherwise(one))
         .withColumn("content", F.when(m > 0, one - F.col("text_sum") / F.col("texts") / m).otherwise(one))
         .withColumn("importance", (1 - CONTENT_SHARE) * F.col("presentation") + CONTENT_SHARE * F.col("content"))
-        .select("host", "path", "open", "pages", "presentation", "content", "importance")
+        .select("host", "path", "role", "pages", "presentation", "content", "importance")
     )
 
 
+def low_nodes(tree: DataFrame) -> DataFrame:
+    """``(host, path)`` of the nodes of ``tree`` whose branch goes from all pages of the host."""
+    best = tree.where(F.col("role") == MAIN).groupBy("host").agg(F.max("importance").alias("best"))
+    known = tree.where(F.col("pages") >= LEAST_PAGES).join(best, "host", "left")
+    repeated_inside = (F.col("role") == MAIN) & (F.col("importance") < LOW_MAIN) & (F.col("best") >= HIGH)
+    return known.where(((F.col("role") == OPEN) & (F.col("importance") < LOW)) | repeated_inside).select("host", "path")
+
+
 def _extract(blocks, low: set[int]) -> str:
-    kept = (t for p, r, t in blocks if r == MAIN or (r == OPEN and not (low and _code(p) in low)))
-    return "\n\n".join(kept)
+    """The blocks that count, in page order; ``low`` has the codes of the host's unimportant paths."""
+    kept = [(r, t) for p, r, t in blocks if r and not (low and _code(p) in low)]
+    if any(r == MAIN for r, _ in kept):
+        size = [sum(len(t) for r, t in kept if r == role) for role in (OPEN, MAIN)]
+        if size[0] < MAIN_WEIGHT * size[1]:
+            kept = [(r, t) for r, t in kept if r == MAIN]
+    return "\n\n".join(t for _, t in kept)
 
 
 def main_text(pages: DataFrame, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of ``pages(url, html)`` with ``text``, the main text of each page."""
     spark = pages.sparkSession
-    tree = style_tree(pages)
-    low = store(
-        tree.where(F.col("open") & (F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LOW)).select("host", "path"),
-        "low",
-    )
+    low = store(low_nodes(store(style_tree(pages), "tree")), "low")
     host, page, own = "__host", "__html", "__low"
     source = pages.select(*keep, host_of("url").alias(host), utf8("html").alias(page))
     by_host = None

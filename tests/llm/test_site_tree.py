@@ -48,6 +48,9 @@ def test_declared_roles_and_odd_markup(spark):
         9: ("<nav>only menu</nav>", ""),
         10: ("<p>x</p><script>never ends <p>y</p>", "x"),
         11: ("<button>b</button><p>a <span class='share'>Share</span> z</p>", "a z"),
+        13: ("<article>teaser</article><div>the body<p>of the page</p></div>", "teaser\n\nthe body\n\nof the page"),
+        14: ("<article></article><div>body</div>", "body"),
+        15: ("<div>short</div><article>the article</article>", "the article"),
         12: ("<p>1 &lt 2 &bogus; &#x41;</p>", "1 < 2 &bogus; A"),
     }
     rows = [(i, None if i % 2 else "no host", h) for i, (h, _) in cases.items()]
@@ -68,6 +71,15 @@ def test_attributes_by_name_and_whole_words():
         assert text(f"<article>a<div {mark}>b</div></article>") == "a", mark
     assert text('<div class="sidebar">x<div><article>a</article></div></div>') == "a"
     assert text('<div id="overlay"><main>a<div class="related"><article>b</article></div></main></div>') == "a"
+    for mark in (
+        'class="comment-list"', 'class="comments-area"', 'id="post-comments"', 'id="comment-17"', 'class="commentList"', 'class="ad-2"',
+        'class="site-footer"',
+    ):
+        assert text(f"<article>a<div {mark}>b</div></article>") == "a", mark
+        assert text(f"<article>a</article><div {mark}>{'b' * 99}</div>") == "a", mark
+    for mark in ('class="post-body"', 'id="article"', 'class="list"', 'class="has-comments no-ads"', 'class="3"'):
+        assert text(f"<div {mark}>a</div>") == "a", mark
+    assert text("<article><p>x <math><mi>y</mi><mo>=</mo><mn>2</mn></math> z</p></article>") == "x y=2 z"
     for outer in ("<nav>", "<div hidden>", "<div role='search'>", "<aside class='sidebar'>", "<nav><div class='menu'>"):
         assert text(f"{outer}<article>b</article>") == "", outer
 
@@ -83,24 +95,63 @@ def test_tree_removes_what_repeats_on_a_host(spark, monkeypatch):
     assert texts(spark, []) == []
 
 
-def test_importance_against_plain_counting(spark):
-    pages = [("h", soup(i, f"w{i % 3}")) for i in range(9)] + [("g", ARTICLE)]
-    frame = spark.createDataFrame([(i, f"http://{h}/", p) for i, (h, p) in enumerate(pages)], PAGES)
+def plain_importance(pages):
+    """``{(host, path): (role, pages, importance)}`` by counting one by one."""
     layouts, contents = defaultdict(Counter), defaultdict(Counter)
+    roles = defaultdict(int)
     for host, page in pages:
         blocks, styles = S.parse(page)
-        for p, (_, c) in styles.items():
+        for p, (r, c) in styles.items():
             layouts[host, p][c] += 1
+            roles[host, p] = max(roles[host, p], r)
         for p, t in {(p, t) for p, _, t in blocks if p in styles}:
             contents[host, p][t] += 1
     want = {}
     for (host, p), texts_ in contents.items():
         m = sum(layouts[host, p].values())
         if m == 1:
-            want[host, S._code(p)] = 1.0
+            want[host, p] = roles[host, p], m, 1.0
             continue
         layout = -sum(k / m * math.log(k / m, m) for k in layouts[host, p].values())
         repeat = sum(k * math.log(k, m) for k in texts_.values()) / sum(texts_.values())
-        want[host, S._code(p)] = 0.1 * layout + 0.9 * (1 - repeat)
+        want[host, p] = roles[host, p], m, 0.1 * layout + 0.9 * (1 - repeat)
+    return want
+
+
+def test_importance_against_plain_counting(spark):
+    pages = [("h", soup(i, f"w{i % 3}")) for i in range(9)] + [("g", ARTICLE)]
+    frame = spark.createDataFrame([(i, f"http://{h}/", p) for i, (h, p) in enumerate(pages)], PAGES)
+    want = {(h, S._code(p)): x for (h, p), (_, _, x) in plain_importance(pages).items()}
     got = {(r.host, r.path): r.importance for r in S.style_tree(frame).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def framed(i, own, body):
+    """A page whose article holds a repeated box, and whose body may lie beside the article."""
+    box = '<div class="rights">Sent to you by the same desk every day</div>'
+    beside = f"<div class='text'>{'Long story of ' + own + ' ' + 'x' * 99}</div>" if body else ""
+    return f"<body><div class='line'>Always here</div><article><h2>{own}</h2>{box}</article>{beside}<div class='end'>End</div></body>"
+
+
+def test_extraction_against_plain_version(spark):
+    pages = [("inside", framed(i, f"w{i}", False)) for i in range(8)]
+    pages += [("beside", framed(i, f"w{i}", i % 2 == 0)) for i in range(8)]
+    pages += [("alike", framed(0, "same", True))] * 6 + [("few", framed(i, f"w{i}", True)) for i in range(4)]
+    pages += [("soup", soup(i, f"w{i % 5}")) for i in range(10)]
+    nodes, want = plain_importance(pages), []
+    for i, (host, page) in enumerate(pages):
+        best = max((x for (h, _), (r, _, x) in nodes.items() if h == host and r == S.MAIN), default=0)
+        left = {S.OPEN: [], S.MAIN: []}
+        for k, (p, role, text) in enumerate(S.parse(page)[0]):
+            r, m, x = nodes[host, p]
+            gone = m >= 5 and (x < 0.35 if r == S.OPEN else x < 0.15 and best >= 0.5)
+            if not gone:
+                left[role].append((k, text))
+        sizes = {r: sum(len(t) for _, t in b) for r, b in left.items()}
+        both_ = not left[S.MAIN] or sizes[S.OPEN] >= 2 * sizes[S.MAIN]
+        want.append((i, f"http://{host}/", "\n\n".join(t for _, t in sorted(left[S.MAIN] + left[S.OPEN] * both_))))
+    got = texts(spark, [(i, f"http://{h}/", p) for i, (h, p) in enumerate(pages)])
+    assert got == sorted(want, key=str)
+    text = {i: t for i, _, t in got}
+    assert text[1] == "w1" and text[8].startswith("w0\n\nLong story of w0") and text[9] == "w1"
+    assert "same desk" in text[16] and "End" not in text[10]
