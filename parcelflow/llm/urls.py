@@ -5,11 +5,13 @@ beta-binomial priors: the suffix (last label) towards all pages, the registered
 towards its suffix, the host towards its domain. A group's prior is its parent without the group itself.
 The strength of the priors of a level, in pages, comes from the data by the method of moments (the spread
 of the group shares around their priors beyond what chance gives) and is never more than the evidence
-behind the prior. A host is blocked if the lower bound of its bad share reaches ``BLOCK_SHARE``.
+behind the prior. A host is blocked if the lower bound of its bad share reaches a mark taken from the evidence:
+the share whose odds are ``LIFT`` times those of all labelled pages, within ``BLOCK_SHARES``.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path; hosts without labelled
 pages have the reputation of their domain, suffix or all pages; without any label everything that no
-rule fits is allowed; repeated labels of a page count once, as bad.
+rule fits is allowed; repeated labels of a page count once, as bad; repeated pages count each; urls are read whole whatever
+their length; columns other than those named do not matter; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ RULES = (
     ("net", "/es/", "block"),
     ("net", "/fr/", "block"),
 )
-#: A host is blocked if its bad share is this large with the given confidence (standard deviations below the mean).
-BLOCK_SHARE, DEVIATIONS = 0.5, 1.645
+#: How much worse than all pages a blocked host is (odds), and the bounds of the share that follows.
+LIFT, BLOCK_SHARES = 2.0, (0.1, 0.5)
+#: The confidence of a host's bound, in standard deviations below the mean.
+DEVIATIONS = 1.645
 #: Bounds of a prior's strength, in pages.
 WEAKEST, STRONGEST = 1.0, 1000.0
 
@@ -85,6 +89,11 @@ def _strength(groups: DataFrame) -> float:
     return min(STRONGEST, max(WEAKEST, r["scale"] / r["n"] / between - 1))
 
 
+def _mark(share: float) -> float:
+    """The bad share that blocks a host where all pages have ``share``."""
+    return min(BLOCK_SHARES[1], max(BLOCK_SHARES[0], LIFT * share / (1 - share + LIFT * share)))
+
+
 def reputations(outcomes: DataFrame) -> DataFrame:
     """``(host, n, bad, share, bound, blocked)`` for every host of ``outcomes(host, bad)``; ``bad`` is null for unlabelled pages.
 
@@ -111,7 +120,7 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     return (
         placed.withColumn("share", mean)
         .withColumn("bound", bound)
-        .select("host", "n", "bad", "share", "bound", (F.col("bound") >= F.lit(BLOCK_SHARE)).alias("blocked"))
+        .select("host", "n", "bad", "share", "bound", (F.col("bound") >= F.lit(_mark(share))).alias("blocked"))
     )
 
 
@@ -181,10 +190,10 @@ def verdict_sql(rules=RULES) -> str:
     parent = "n parent_n, bad parent_bad, strength parent_strength, prior parent_prior"
     counts = "sum(n) n, sum(bad) bad"
     all_n, all_bad = "(select coalesce(sum(n), 0) from hosts)", "(select coalesce(sum(bad), 0) from hosts)"
+    base, (lowest, highest) = f"coalesce({all_bad} / nullif({all_n}, 0), 0)", BLOCK_SHARES
     levels = ",\n".join(
         [
-            level("suffixes", f"select suffix, {counts} from hosts group by 1", all_n, all_bad, str(WEAKEST),
-                  f"coalesce({all_bad} / nullif({all_n}, 0), 0)"),
+            level("suffixes", f"select suffix, {counts} from hosts group by 1", all_n, all_bad, str(WEAKEST), base),
             level("domains", f"""select * from (select "domain", suffix, {counts} from hosts group by 1, 2)
     join (select suffix, {parent} from suffixes) using (suffix)""", *above),
             level("placed", f"""select host, n, bad, parent_n, parent_bad, parent_strength, parent_prior from hosts
@@ -204,9 +213,10 @@ hosts as (
     case when regexp_extract(host, '{SUFFIX}', 1) = '' then host else regexp_extract(host, '{SUFFIX}', 1) end suffix
   from split left join outcomes on try_cast(regexp_extract(path, '{PAGE_NUMBER}', 1) as bigint) = doc_id group by 1),
 {levels},
+mark as (select least({highest}, greatest({lowest}, {LIFT} * b / (1 - b + {LIFT} * b))) mark from (select {base} b)),
 judged as (
   select host, (bad + strength * prior) / (n + strength) share, n + strength weight from placed)
 select page_id, host, path, case {rule} end rule,
-  case {verdict} when share - {DEVIATIONS} * sqrt(share * (1 - share) / (weight + 1)) >= {BLOCK_SHARE} then 'block'
+  case {verdict} when share - {DEVIATIONS} * sqrt(share * (1 - share) / (weight + 1)) >= (select mark from mark) then 'block'
   else 'allow' end verdict
 from split join judged using (host)"""

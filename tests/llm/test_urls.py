@@ -78,6 +78,38 @@ def test_reputation_blocks_bad_hosts_and_shrinks_thin_evidence(spark):
     assert shares["fine.org"] < shares["one.thin.org"] < shares["new.farm.org"] < shares["spam.farm.org"]
 
 
+def test_hosts_domains_and_suffixes_flip_verdicts(spark):
+    def judged(*hosts):
+        pages, labels = [], []
+        for host, good, bad in hosts:
+            for k in range(good + bad + 1):
+                pages.append((len(pages), f"http://{host}/a/{len(pages)}.html", ""))
+                if k < good + bad:
+                    labels.append((len(pages) - 1, int(k < good), None))
+        verdict = {host: v for _, host, _, _, v in both(spark, pages, labels)}
+        assert {v for *_, v in both(spark, pages, [])} == {"allow"}
+        return {h for h, v in verdict.items() if v == "block"}
+
+    fine = [(f"h{k}.ok{k}.org", 20, 1) for k in range(30)]
+    by_host = judged(*fine, ("evil.ok1.org", 2, 40), ("good.bad.org", 60, 0), ("b.bad.org", 0, 30), ("c.bad.org", 1, 30))
+    assert by_host == {"evil.ok1.org", "b.bad.org", "c.bad.org"}
+    spam = [(f"h{k}.spam.info", 1, 12) for k in range(30)]
+    by_domain = judged(*fine, *spam, ("new.spam.info", 0, 0), ("new.ok1.org", 0, 0), ("new.unknown.org", 0, 0))
+    assert by_domain == {h for h, *_ in spam} | {"new.spam.info"}
+    junk = [(f"h{k}.d{k}.junk", 4, 16) for k in range(30)]
+    by_suffix = judged(*fine, *junk, ("new.unknown.junk", 0, 0), ("d2.junk", 0, 0), ("new.unknown.org", 0, 0), ("x.other", 0, 0))
+    assert by_suffix == {h for h, *_ in junk} | {"new.unknown.junk", "d2.junk"}
+
+
+def test_the_mark_follows_the_base_rate(spark):
+    pages = [(i, f"http://h{i % 50}.x{i % 50}.org/{i}", "") for i in range(3000)]
+    labels = [(i, 1, int(i % 50 == 7 and i % 3 == 0)) for i in range(3000)]  # one host a third bad, the rest clean
+    assert {h for _, h, _, _, v in both(spark, pages, labels) if v == "block"} == {"h7.x7.org"}
+    even = [(i, 1, int(i % 3 == 0)) for i in range(3000)]  # all hosts a third bad
+    assert {v for *_, v in both(spark, pages, even)} == {"allow"}
+    long_url = "http://h.org/" + "a/" * 200_000 + "1"
+    assert both(spark, [(1, long_url, "")], [(1, 0, 1)])[0][2] == long_url[len("http://h.org") :]
+
 
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0)], [(1, 0, 0), (2, 0, 1)]])
 def test_few_labels_and_empty_pages(spark, labels):
