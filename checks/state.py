@@ -12,7 +12,7 @@ from parcelflow import domain
 from parcelflow.functions import scalars as S
 from parcelflow.operators import alerts as A
 from parcelflow.operators import cases, floor, ingest, reports
-from parcelflow.plans import api
+from parcelflow.plans import api, pages
 from parcelflow.sources import lake
 
 SPINE = f"(select unnest({ROUTE_LIST}) station)"
@@ -483,6 +483,41 @@ def _(t):
     ).summary
 
 
+def _stored_order(t, **order):
+    """The grid in its order, cut into forty ranges or so."""
+    summaries, folder = api.parcel_summaries(t.positions, t.alerts, t.as_of), t.folder("order")
+    pages.write_order(summaries, folder, rows_per_range=max(1, summaries.count() // 40), **order)
+    return summaries, folder
+
+
+@check(
+    "ord4_deep_page",
+    f"""{PARCELS_SQL} order by epoch_ms(p.updated_at) desc, p.package_id
+    limit 120 offset (select count(*) * 3 // 4 from positions)""",
+)
+def _(t):
+    summaries, folder = _stored_order(t, sort_field="detected_at", sort_desc=True)
+    return pages.read_page(summaries, folder, limit=120, offset=t.positions.count() * 3 // 4).page
+
+
+@check(
+    "ord4_deep_page_of_a_status",
+    f"""select * from ({PARCELS_SQL}) where status = 'PARCEL_STATUS_STUCK' order by package_id
+    limit 200 offset (select count(*) // 2 from positions)""",
+)
+def _(t):
+    summaries, folder = _stored_order(t, sort_field="package_id")
+    return pages.read_page(summaries, folder, ("PARCEL_STATUS_STUCK",), offset=t.positions.count() // 2).page
+
+
+@check(
+    "ord4_deep_page_summary",
+    """select count(*) total_count, count(*) // 2 + 200 < count(*) has_more from positions""",
+)
+def _(t):
+    return pages.read_page(*_stored_order(t), offset=t.positions.count() // 2).summary
+
+
 @check(
     "flt5_status_filter",
     f"""select * from ({PARCELS_SQL}) where status in ('PARCEL_STATUS_IN_TRANSIT', 'PARCEL_STATUS_DELAYED')

@@ -17,6 +17,8 @@ from parcelflow.plans.ranges import DateRange
 from parcelflow.sources import lake, warehouse
 
 _P = domain.DEFAULTS
+#: The column behind each sort field of the parcel grid.
+SORT_COLUMNS = {"dwell_time": "dwell_ms", "detected_at": "last_scan_at", "package_id": "package_id"}
 
 
 @dataclass(frozen=True)
@@ -144,7 +146,7 @@ def list_parcels(
     """One page of the parcel grid.
 
     The text search looks at all parcels before paging. Ties in the sort are broken by package id.
-    A page far down costs as much as its ``offset``; ``after``, the sort value and package id of the
+    A page far down costs as much as its ``offset`` (``pages.read_page`` opens only the ranges of a page); ``after``, the sort value and package id of the
     last row of the page before, goes on from there at the cost of one page. ``has_more`` counts rows
     from ``offset`` on, and from ``after`` on if it is given.
     """
@@ -156,7 +158,7 @@ def list_parcels(
     if status_filter:
         rows = rows.where(F.col("status").isin(*status_filter))
     rows = rows.where(S.contains_text(search, F.col("package_id"), F.col("item_name")))
-    column = {"dwell_time": "dwell_ms", "detected_at": "last_scan_at", "package_id": "package_id"}[field]
+    column = SORT_COLUMNS[field]
     key = F.col(column).desc() if sort_desc else F.col(column).asc()
     total, seen = rows, F.lit(offset + size)
     if after is not None:
