@@ -16,7 +16,7 @@ from parcelflow.functions import scalars as S
 from parcelflow.operators import alerts as A
 from parcelflow.operators import dwell, ingest
 from parcelflow.sources import lake, stream, warehouse
-from parcelflow.streaming import journeys, live, repair, stuck
+from parcelflow.streaming import journeys, live, nearby, repair, stuck
 
 NOW = {"availableNow": True}
 
@@ -481,3 +481,20 @@ def _(t):
     nested, _ = A.decode_alerts(alert_wire_stream(t))
     near = live.nearby_scan_stream(nested, scan_stream(t))
     return collected(t, near, "near").drop("package_id")
+
+
+@stream_check(
+    "jn7_interval_join_with_late_rows",
+    """select a.alert_id, s.event_id, s.station, epoch_ms(s.scanned_at) scanned_at,
+      s.scanned_at < timestamp '2026-08-15 00:00:00' late
+    from alerts a join scans s on s.package_id = a.package_id
+      and abs(epoch_ms(s.scanned_at) - a.detected_ms) < 1800000""",
+)
+def _(t):
+    nested, _ = A.decode_alerts(alert_wire_stream(t))
+    rows, middle = lake.lake_rows(t.scans).drop("date", "hour"), F.lit("2026-08-15").cast("timestamp")
+    root = t.folder("nearby")
+    # All alerts and the newer half of the scans come first, the older half far behind them.
+    steps = [rows.where(F.col("scanned_at") >= middle), rows.where(F.col("scanned_at") < middle)]
+    in_steps(t, steps, "nearby-scans", lambda s, c: nearby.start_nearby(nested, s, root, c, NOW))
+    return nearby.read_nearby(t.spark, root).drop("package_id")

@@ -87,22 +87,25 @@ def match_detail(initial: DataFrame, detailed: DataFrame, within_ms: int = _P.de
     )
 
 
-def nearby_scans(alerts: DataFrame, scans: DataFrame, half_width_ms: int = _P.case_half_width_ms) -> DataFrame:
-    """Scans of the same package strictly less than ``half_width_ms`` from each alert.
+def nearby_scans(
+    alerts: DataFrame, scans: DataFrame, half_width_ms: int = _P.case_half_width_ms, also: tuple[str, ...] = ()
+) -> DataFrame:
+    """Scans of the same package strictly less than ``half_width_ms`` from each alert; ``also`` names more columns of either side.
 
     Both sides carry a time slot of that width and meet on (package, slot): a package with very many
     scans is spread over its slots instead of joining in one task.
     """
-    left = alerts.select("alert_id", "package_id", S.millis("detected_at").alias("alert_ms"))
+    more = lambda df: [c for c in also if c in df.columns]
+    left = alerts.select("alert_id", "package_id", S.millis("detected_at").alias("alert_ms"), *more(alerts))
     slot = S.slot_start(F.col("alert_ms"), half_width_ms)
-    right = scans.select("package_id", "event_id", "station", "scanned_at").withColumn(
+    right = scans.select("package_id", "event_id", "station", "scanned_at", *more(scans)).withColumn(
         "slot", S.slot_start(S.millis("scanned_at"), half_width_ms)
     )
     return (
         left.withColumn("slot", F.explode(F.array(slot - half_width_ms, slot, slot + half_width_ms)))
         .join(right, ["package_id", "slot"])
         .where(F.abs(S.millis("scanned_at") - F.col("alert_ms")) < half_width_ms)
-        .select("alert_id", "package_id", "event_id", "station", "scanned_at")
+        .select("alert_id", "package_id", "event_id", "station", "scanned_at", *also)
     )
 
 
