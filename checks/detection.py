@@ -239,6 +239,21 @@ def _(t):
     return ingest.decode_scans(ingest.encode_scans(t.scans, "binary"), "binary")[0]
 
 
+@check(
+    "scl17_base64_of_the_wire",
+    """select package_id as key, cast(substr(package_id, 5) as bigint) % 4 <> 0 decoded, count(*) records from scans group by 1, 2""",
+)
+def _(t):
+    # The values of every fourth package are no base64.
+    damaged = F.substring("key", 5, 20).cast("long") % 4 == 0
+    wire = _wire(t).withColumn("value", F.when(damaged, F.concat(F.lit("%"), "value")).otherwise(F.col("value")))
+    good, bad = ingest.decode_scans(wire)
+    both = good.select(F.col("package_id").alias("key"), F.lit(True).alias("decoded")).unionByName(
+        bad.select("key", F.lit(False).alias("decoded"))
+    )
+    return both.groupBy("key", "decoded").agg(F.count(F.lit(1)).alias("records"))
+
+
 def _cut_wire(t):
     """Binary wire records, those of every fourth package one byte short."""
     wire = ingest.encode_scans(t.scans, "binary")

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.detection import ALERT_COLUMNS
+from checks.oracle import ROUTE_LIST
 from checks.registry import check
+from parcelflow import domain
 from parcelflow.functions import scalars as S
 from parcelflow.operators import alerts as A
 from parcelflow.operators import reports
@@ -482,6 +486,37 @@ def _(t):
     return t.alerts.where(F.col("station") == STATION).select("alert_id", "detected_at")
 
 
+@check(
+    "flt7_statistics_of_each_station",
+    f"""select station, cast(report_date as varchar) report_date, cast(sum(scan_count) as bigint) scan_count from throughput
+    where list_contains({ROUTE_LIST}, station) and report_date >= cast((select t from as_of) as date) - 30 group by 1, 2""",
+)
+def _(t):
+    span = resolve_range("month", as_of=t.as_of)
+    series = [
+        api.station_stats(t.throughput, t.rollup, s, span)["throughput_series"].withColumn("station", F.lit(s)) for s in domain.ROUTE
+    ]
+    return reduce(DataFrame.unionByName, series)
+
+
+@check(
+    "scl2_lake_keys_and_range_bounds",
+    """select event_id, cast(cast(scanned_at as date) as varchar) as "date", strftime(scanned_at, '%H') as "hour",
+      cast(scanned_at as date) >= cast((select t from as_of) as date) - 7 of_report,
+      scanned_at between (select t from as_of) - interval '7' day and (select t from as_of) of_range
+    from scans""",
+)
+def _(t):
+    span, at = resolve_range("week", as_of=t.as_of), F.col("scanned_at")
+    return lake.lake_rows(t.scans).select(
+        "event_id",
+        "date",
+        "hour",
+        (F.col("date") >= F.lit(span.report_floor)).alias("of_report"),
+        at.between(S.ts(span.floor), S.ts(span.ceiling)).alias("of_range"),
+    )
+
+
 @check(
     "flt4_date_ranges",
     """select preset, (select count(*) from throughput
