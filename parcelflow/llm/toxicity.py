@@ -29,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm.common import held_out, map_texts, utf8
@@ -197,7 +197,11 @@ def train(rows: list[tuple[bytes, int]], stands_for: dict[int, float]) -> Model:
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
-    """Trains on a bounded sample: about ``SAMPLE_PER_CLASS`` documents a class, ``SAMPLE_BYTES`` of text at most."""
+    """Trains on a bounded sample: about ``SAMPLE_PER_CLASS`` documents a class, and ``SAMPLE_BYTES`` of text.
+
+    Each class has half of these bytes. A class with more is learnt from its shortest texts, one at least, which then
+    stand for the others too.
+    """
     sample, stands_for = label_sample(labels, label, SAMPLE_PER_CLASS)
     texts = (
         documents.select("doc_id", "text")
@@ -205,15 +209,23 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
         .join(F.broadcast(sample), "doc_id")  # 2 * SAMPLE_PER_CLASS short rows or so
         .groupBy("doc_id", "label")
         .agg(F.min("text").alias("text"))
-        .select(utf8("text").alias("text"), "label")
+        .select("doc_id", utf8("text").alias("text"), "label")
     )
-    rows, size = [], 0
-    for row in texts.toLocalIterator():
-        size += len(row[0])
-        if size > SAMPLE_BYTES:
-            break
-        rows.append((bytes(row[0]), row[1]))
-    return train(sorted(rows), stands_for)
+    of_class = Window.partitionBy("label")  # rows of the sample only
+    shortest = of_class.orderBy(F.octet_length("text"), "doc_id")
+    kept = (
+        texts.withColumn("n", F.count("*").over(of_class))
+        .withColumn("place", F.row_number().over(shortest))
+        .withColumn("bytes", F.sum(F.octet_length("text").cast("long")).over(shortest.rowsBetween(Window.unboundedPreceding, 0)))
+        .where((F.col("bytes") <= SAMPLE_BYTES // 2) | (F.col("place") == 1))
+        .select("text", "label", "n")
+    )
+    rows, sampled = [], {}
+    for row in kept.toLocalIterator():
+        rows.append((bytes(row["text"]), row["label"]))
+        sampled[row["label"]] = row["n"]
+    count = Counter(k for _, k in rows)
+    return train(sorted(rows), {k: stands_for[k] * sampled[k] / count[k] for k in count})
 
 
 def with_score(documents: DataFrame, model: Model, column: str = "toxicity", keep: list[str] | None = None) -> DataFrame:

@@ -53,6 +53,27 @@ def test_invented_marks_are_learnt_from_rows_that_are_not_held_out(spark, docume
     assert [i for i in first if first[i][2] != second[i][2] and i != 3] == []
 
 
+def test_long_texts_do_not_empty_the_sample(spark, documents, monkeypatch):
+    rows, labels = corpus(np.random.default_rng(4))
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 120_000)
+    given = []
+    monkeypatch.setattr(toxicity, "train", lambda rows, stands_for: given.append((rows, stands_for)))
+    long = next(i for i, _, t in labels if t and not held(i))
+    rows[long] = (long, "long " * 50_000)
+    toxicity.fit(documents(rows), spark.createDataFrame(labels, LABELS))
+    learnt = [k for i, _, k in labels if not held(i)]
+    sample, stands_for = given[0]
+    texts = {k: [t for t, y in sample if y == k] for k in (0, 1)}
+    assert len(texts[1]) == sum(learnt) - 1 and 0 < len(texts[0]) < len(learnt) - sum(learnt)
+    assert all(sum(map(len, t)) <= 60_000 for t in texts.values())
+    for k, t in texts.items():
+        assert stands_for[k] * len(t) == pytest.approx(learnt.count(k))
+    # Nothing but texts beyond the bound: one of each class is learnt all the same.
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 10)
+    toxicity.fit(documents(rows), spark.createDataFrame(labels, LABELS))
+    assert sorted(y for _, y in given[1][0]) == [0, 1]
+
+
 def test_without_labels_and_empty_tables(spark, documents):
     rows, _ = corpus(np.random.default_rng(3), 20)
     none = spark.createDataFrame([], LABELS)
