@@ -9,13 +9,14 @@ Documents without a gap open sequences.
 Sizes are whole numbers up to ``capacity``, so documents of one size and sequences with one gap are
 runs of ranks, and a round moves whole runs at once. Spark numbers the pieces within their size
 (range-wise, in many parts, so that a size that a third of all pieces share is no hot group) and counts
-them. The sweeps run side by side, one task per shard of ``SHARD_PIECES`` pieces at most, each over a
-table of at most ``capacity`` sizes; a join by rank then tells every piece its sequence and offset.
-The cost of a round does not depend on the number of documents, and nothing but one count per table
-comes to the driver.
-
-Defined cases: a null or empty text is one piece with the end token alone; repeated rows are packed
-each; an empty table gives no rows.
+them. The rounds go over the table of sizes and numbers, which has at most ``capacity`` rows however many
+pieces there are; a join by rank then tells every piece its sequence and offset. All pieces are packed
+together at every size of the input, so the number of sequences is that of a one-by-one best fit.
+
+Defined cases: a null or empty text is one piece with the end token alone; a text of any length is cut
+into full pieces and a last one; repeated rows are packed each, and pieces of one size take their places
+in the order of the row numbers; columns named ``sequence_id`` or ``offset`` are replaced, other extra
+columns of ``pieces`` stay; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,10 +36,9 @@ from parcelflow.llm.common import store, utf8
 
 CAPACITY = 4096
 END_ID = 1
-#: Pieces of one shard at most, on average; shards are packed side by side.
-SHARD_PIECES = 1 << 22
-#: Parts in which the pieces of one size and shard are numbered.
+#: Parts in which the pieces of one size are numbered, at least, and pieces of a part, on average, at most.
 PARTS = 256
+PART_PIECES = 1 << 20
 #: Chunks that a Python worker remembers (some 100 MB), and the bytes of the longest that it does.
 CACHE_CHUNKS = 500_000
 CACHE_BYTES = 48
@@ -184,35 +184,35 @@ def sweep(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, in
     return moves
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``; needs a column ``length`` from 1 to ``capacity``."""
+def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PIECES) -> DataFrame:
+    """``pieces`` with ``sequence_id`` and ``offset``; needs a column ``length`` from 1 to ``capacity``.
+
+    ``part_pieces`` sets in how many parts pieces are numbered; the number of sequences does not depend on it.
+    """
     names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
     kept = store(pieces.select(*names).withColumn("__id", F.monotonically_increasing_id()), "pieces")
-    shards = kept.count() // shard_pieces + 1
-    keys = ["__shard", "length", "__part"]
-    dealt = kept.withColumn("__shard", F.pmod(F.xxhash64("__id"), F.lit(shards))).withColumn(
-        "__part", F.pmod(F.hash("__id"), F.lit(PARTS))
-    )
+    keys = ["length", "__part"]
+    parts_of = max(PARTS, kept.count() // part_pieces + 1)
+    dealt = kept.withColumn("__part", F.pmod(F.hash("__id"), F.lit(parts_of)))
     counts = store(dealt.groupBy(*keys).agg(F.count("*").alias("__n")), "sizes")
 
     def best_fit(pdf: pd.DataFrame) -> pd.DataFrame:
         moves = sweep(dict(zip(pdf["length"].tolist(), pdf["__n"].tolist(), strict=True)), capacity)
-        out = pd.DataFrame(moves, columns=["length", "__rank", "__number", "__first", "offset"], dtype="int64")
-        return out.assign(__shard=pdf["__shard"].iloc[0])
+        return pd.DataFrame(moves, columns=["length", "__rank", "__number", "__first", "offset"], dtype="int64")
 
     moves = (
-        counts.groupBy("__shard", "length")
+        counts.groupBy("length")
         .agg(F.sum("__n").alias("__n"))
-        .groupBy("__shard")
-        .applyInPandas(best_fit, "__shard long, length long, __rank long, __number long, __first long, offset long")
+        .groupBy()
+        .applyInPandas(best_fit, "length long, __rank long, __number long, __first long, offset long")
     )
-    by_part = Window.partitionBy("__shard", "length").orderBy("__part")
+    by_part = Window.partitionBy("length").orderBy("__part")
     parts = counts.withColumn("__begin", F.sum("__n").over(by_part) - F.col("__n"))
     # Each part's share of a move, in ranks of the part.
     low = F.greatest("__rank", "__begin")
     high = F.least(F.col("__rank") + F.col("__number"), F.col("__begin") + F.col("__n"))
     shares = (
-        parts.join(moves, ["__shard", "length"])
+        parts.join(moves, "length")
         .where(low < high)
         .select(
             *keys,
@@ -226,7 +226,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_
     return (
         ranked.join(shares, keys)
         .where((F.col("__at") >= F.col("__low")) & (F.col("__at") < F.col("__high")))
-        .withColumn("sequence_id", F.col("__shard") * F.lit(1 << 40) + F.col("__shift") + F.col("__at"))
+        .withColumn("sequence_id", F.col("__shift") + F.col("__at"))
         .select(*names, "sequence_id", "offset")
     )
 

@@ -93,10 +93,16 @@ def test_documents_packed_whole(spark, documents):
     assert check(out, 4096) == greedy([k[3] for k, n in want.items() for _ in range(n)], 4096)
 
 
-def test_several_shards_and_empty_table(spark, documents):
-    frame = spark.range(3000).selectExpr("id", "id % 97 + 1 as length")
-    out = packing.pack(frame, 100, shard_pieces=400).collect()
-    assert sorted(r.id for r in out) == list(range(3000))
-    check(out, 100)
-    assert sum(r["length"] for r in out) == sum(i % 97 + 1 for i in range(3000))
+@pytest.mark.parametrize("part_pieces", [1, packing.PART_PIECES])
+def test_all_pieces_are_packed_together_whatever_the_parts(spark, monkeypatch, part_pieces):
+    monkeypatch.setattr(packing, "PARTS", 3)
+    # A third of all pieces share one length.
+    frame = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 7, id % 97 + 1) as length", "'x' as offset")
+    out = packing.pack(frame, 100, part_pieces).collect()
+    sizes = [7 if i % 3 == 0 else i % 97 + 1 for i in range(3000)]
+    assert sorted((r.id, r["length"]) for r in out) == list(enumerate(sizes))
+    assert check(out, 100) == greedy(sizes, 100)
+
+
+def test_empty_table(spark, documents):
     assert packing.pack_documents(documents([]), PATH).collect() == []
