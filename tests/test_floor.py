@@ -150,6 +150,14 @@ def test_detail_match_takes_the_newest_within_a_second(spark):
     assert [(r.initial_id, r.detail_id) for r in cases.match_detail(seeds, detailed).collect()] == [(f"seed-a-{BASE}", "2")]
 
 
+def test_nearby_scans_gathers_no_side_on_the_driver(spark):
+    # Tables as small as these would be broadcast without a hint, as would wide alerts of any number.
+    raised = spark.createDataFrame([("a", "p", at(BASE))], "alert_id string, package_id string, detected_at timestamp")
+    near = cases.nearby_scans(raised, frame(spark, [scan("p", "I", BASE)]))
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+    assert [r.event_id for r in near.collect()] == [f"e-p-{BASE}"]
+
+
 def test_nearby_scans_excludes_the_bounds(spark):
     half = 30 * MINUTE
     raised = alert(spark, ("1", "a", "ALERT_TYPE_DAMAGE", "SEVERITY_WARNING", BASE))
