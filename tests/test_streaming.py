@@ -13,7 +13,7 @@ from parcelflow.operators import alerts as A
 from parcelflow.operators import journeys as batch_journeys
 from parcelflow.sources import parts, stream, warehouse
 from parcelflow.streaming import journeys, live, stuck
-from tests.helpers import BASE, GAP, brute_sessions, brute_stuck, frame, random_rows, scan
+from tests.helpers import BASE, GAP, SCHEMA, brute_sessions, brute_stuck, frame, random_rows, scan
 
 NOW = {"availableNow": True}
 MINUTE = 60_000
@@ -69,6 +69,23 @@ def test_stuck_stream_equals_batch_in_any_batch_cutting(spark, tmp_path, late_ms
     assert sorted(tuple(r) for r in got) == expected
 
 
+def test_stuck_stream_runs_without_python(spark, tmp_path):
+    # A call into Python for every package took most of the time of a large table.
+    frame(spark, [scan("p", "I", BASE)]).write.parquet(str(tmp_path / "scans"))
+    scans = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "scans"))
+    plan = stuck.stuck_stream(scans)._jdf.queryExecution().analyzed().toString()
+    assert "Session" in plan and "TransformWithState" not in plan
+
+
+@pytest.mark.parametrize("apart, points", [(600_000, [600_000]), (600_001, [0, 600_001])])
+def test_stuck_stream_at_the_threshold(spark, tmp_path, apart, points):
+    rows = [scan("p", "I", BASE, "a"), scan("p", "N", BASE + apart, "b"), scan("q", "D", BASE + 9_000_000, "c")]
+    feed = Feed(spark, tmp_path, stuck.stuck_stream)
+    feed.step(rows)
+    got = feed.result().select(millis("stuck_detail.last_scan_at").alias("ms")).collect()
+    assert sorted(r.ms - BASE for r in got) == points
+
+
 def test_journey_stream_closes_sessions_like_the_batch(spark, tmp_path):
     rng = random.Random(12)
     rows = random_rows(rng, packages=4, scans=120, span=8 * 3_600_000)
