@@ -142,6 +142,19 @@ def test_late_scan_bridges_two_open_sessions(spark, tmp_path):
     ]
 
 
+def test_packages_of_one_group_are_judged_apart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(journeys, "GROUPS", 1)
+    feed = Feed(spark, tmp_path, journeys.session_stream)
+    # p is over by the last scan of q, which comes in a later batch; then a scan of p is too late.
+    feed.step([scan("p", "I", BASE), scan("q", "I", BASE + 1000), scan("p", "N", BASE + 2000)])
+    feed.step([scan("q", "N", BASE + 10 * GAP), scan("r", "I", BASE + 30 * GAP)])
+    feed.step([scan("p", "A", BASE + 3000, "late")])
+    rows = feed.result().collect()
+    closed = sorted((r.package_id, r.scan_count, r.last_ms - BASE) for r in rows if r.kind == "session")
+    assert closed == [("p", 2, 2000), ("q", 1, 1000), ("q", 1, 10 * GAP)]
+    assert [(r.package_id, r.event_id) for r in rows if r.kind == "late"] == [("p", "late")]
+
+
 def test_corrected_alert_keeps_its_id(spark, tmp_path):
     root, inbox, checkpoint = (str(tmp_path / x) for x in ("wh", "in", "cp"))
 
