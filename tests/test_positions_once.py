@@ -15,7 +15,7 @@ SCHEMA = "package_id string, station string, updated_at timestamp, item_name str
 
 @pytest.mark.parametrize(
     "name, rows",
-    [("ord4_deep_page", 20), ("ord4_deep_page_of_a_status", 40), ("ord4_deep_page_summary", 1)],
+    [("api4_next_page_after_a_row", 30), ("ord4_deep_page", 20), ("ord4_deep_page_of_a_status", 40), ("ord4_deep_page_summary", 1)],
 )
 def test_positions_are_computed_once(spark, tmp_path, monkeypatch, name, rows):
     n = 80
