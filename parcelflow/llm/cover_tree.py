@@ -30,14 +30,19 @@ from parcelflow.llm.components import components, merge_links
 
 THRESHOLD = 0.95
 #: Points of a block at least and at most; between them a twelfth of all, so that tasks stay even.
-BLOCK, LARGEST_BLOCK, BLOCKS = 4096, 32_768, 12
+BLOCK, LARGEST_BLOCK, BLOCKS = 4096, 65_536, 12
+#: Components of a block at most, whatever the number of its points; a task holds two blocks.
+COMPONENTS = 1 << 23
 #: Sampled centres at most; they are sent to all tasks (some MB).
 CENTRES = 4096
-#: Covering radii of the nested levels below the root.
-RADII = (1.0, 0.5, 0.25, 0.125)
+#: Covering radii of the nested levels below the root. A wider first level prunes nothing that its actual radii do not:
+#: two nodes of radius 1 are never far enough apart, and on vectors without structure most of its node pairs are opened one by one.
+RADII = (0.5, 0.25, 0.125)
 #: Slack of bounds against rounding; within it the cosine itself decides.
 SLACK = 1e-4
 _PAIRS = 1 << 17
+#: Nodes on either side of a product of the first level.
+TILE = 2048
 
 
 def _matrix(column) -> np.ndarray:
@@ -56,27 +61,34 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def net(u: np.ndarray, radius: float) -> np.ndarray:
-    """For each row its centre: rows further than ``radius`` from all earlier centres are centres themselves."""
+    """For each row its centre: rows further than ``radius`` from all earlier centres are centres themselves.
+
+    In single precision: any net will do, as covering radii are measured afterwards.
+    """
+    u, least = u.astype(np.float32), np.float32(1 - radius * radius / 2)
     centre = np.empty(len(u), np.int64)
-    centres = np.empty(0, np.int64)
+    centres, vectors = np.empty(len(u), np.int64), np.empty_like(u)
+    known = 0
     for start in range(0, len(u), 256):
         part = np.arange(start, min(start + 256, len(u)))
         at = np.full(len(part), -1)
-        if len(centres):
-            d = _distances(u[part], u[centres])
-            k = d.argmin(axis=1)
-            at = np.where(d[np.arange(len(part)), k] <= radius, centres[k], -1)
-        inner = _distances(u[part], u[part])
+        if known:
+            cosine = u[part] @ vectors[:known].T
+            k = cosine.argmax(axis=1)
+            at = np.where(cosine[np.arange(len(part)), k] >= least, centres[k], -1)
+        inner = u[part] @ u[part].T
         new: list[int] = []
         for i in np.flatnonzero(at < 0).tolist():
-            near = [j for j in new if inner[i, j] <= radius]
-            if near:
-                at[i] = part[min(near, key=lambda j: inner[i, j])]
+            near = inner[i, new] if new else ()
+            k = int(np.argmax(near)) if new else -1
+            if new and near[k] >= least:
+                at[i] = part[new[k]]
             else:
                 new.append(i)
                 at[i] = part[i]
         centre[part] = at
-        centres = np.concatenate([centres, part[new]])
+        centres[known : known + len(new)], vectors[known : known + len(new)] = part[new], u[part[new]]
+        known += len(new)
     return centre
 
 
@@ -138,18 +150,45 @@ class Walk:
         self.parent = np.arange(len(self.links))
 
     def run(self) -> None:
+        """Node pairs of the first level by matrix products in single precision, with slack for its rounding.
+
+        Lone points, which are nearly all nodes where vectors have no structure, come first: among them the bound is one number.
+        """
         a, b = self.a, self.b
-        step = max(1, (1 << 22) // max(1, len(b.starts[0])))
-        low_b = b.u[b.starts[0]].astype(np.float32)
-        for s in range(0, len(a.starts[0]), step):
-            rows = np.arange(s, min(s + step, len(a.starts[0])))
-            d = a.u[a.starts[0][rows]].astype(np.float32) @ low_b.T
-            far = a.radii[0][rows][:, None] + b.radii[0][None, :] + self.reach + SLACK
-            i, j = np.nonzero(d >= 1 - np.minimum(far, 2.0) ** 2 / 2 - SLACK)
-            i = rows[i]
-            if self.same:
+        slack = SLACK + (a.u.shape[1] + 8) * 2.0**-23
+        nodes, vectors, lone = [], [], []
+        for t in (a, b):
+            wide = t.radii[0] > 0
+            order = np.concatenate([np.flatnonzero(~wide), np.flatnonzero(wide)])
+            nodes.append(order)
+            vectors.append(t.u[t.starts[0][order]].astype(np.float32))
+            lone.append(int((~wide).sum()))
+        for rows, columns in self._tiles(lone, [len(n) for n in nodes]):
+            x, y = nodes[0][rows], nodes[1][columns]
+            cosine = vectors[0][rows] @ vectors[1][columns].T
+            if rows.start < lone[0] and columns.start < lone[1]:
+                bound = np.float32(1 - (self.reach + SLACK) ** 2 / 2 - slack)
+            else:
+                far = (a.radii[0][x] + np.float32(self.reach + SLACK)).astype(np.float32)[:, None] + b.radii[0][y].astype(np.float32)
+                bound = 1 - np.minimum(far, 2) ** 2 / 2 - np.float32(slack)
+            i, j = np.divmod(np.flatnonzero(cosine >= bound), len(y))
+            if self.same and rows == columns:
                 i, j = i[i <= j], j[i <= j]
-            self._nodes(0, i, j)
+            i, j = x[i], y[j]
+            if self.same:
+                i, j = np.minimum(i, j), np.maximum(i, j)
+            if len(i):
+                self._nodes(0, i, j)
+
+    def _tiles(self, lone: list[int], total: list[int]):
+        """Rows and columns of the products: parts of the lone or of the wide nodes. Of a tree with itself each node pair once."""
+        parts = [
+            [slice(s, min(s + TILE, end)) for low, end in ((0, n), (n, of)) for s in range(low, end, TILE)]
+            for n, of in zip(lone, total, strict=True)
+        ]
+        for k, rows in enumerate(parts[0]):
+            for columns in parts[1][k if self.same else 0 :]:
+                yield rows, columns
 
     def _nodes(self, level: int, i: np.ndarray, j: np.ndarray) -> None:
         if len(i) > _PAIRS:
@@ -229,9 +268,10 @@ def _vector_type(frame: DataFrame) -> str:
 def _blocks(points: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
     """``points`` with a ``block``, and the pairs of blocks that can hold links."""
     total = points.count()
-    size = min(LARGEST_BLOCK, max(BLOCK, total // BLOCKS))
-    wanted = min(CENTRES, total // size + 1)
     sizes = [r[0] for r in points.select(F.size("vector")).distinct().collect()]
+    largest = min(LARGEST_BLOCK, max(BLOCK, COMPONENTS // max(sizes, default=1)))
+    size = min(largest, max(BLOCK, total // BLOCKS))
+    wanted = min(CENTRES, total // size + 1)
     centres: dict[int, np.ndarray] = {}
     first: dict[int, int] = {}
     for dim in sorted(sizes):

@@ -97,3 +97,31 @@ def test_empty_table(spark):
     assert C.vector_classes(spark.createDataFrame([], SCHEMA)).collect() == []
     only = spark.createDataFrame([(1, None, 0), (1, [0.0], 0)], SCHEMA)
     assert {tuple(r) for r in C.vector_classes(only).collect()} == {(1, 0, 1, True)}
+
+
+def test_vectors_without_structure_are_not_opened_one_by_one(monkeypatch):
+    # Node pairs of a wide first level, taken one by one, took nearly all of the time of a large table.
+    opened = []
+    one_by_one = C.Walk._nodes
+
+    def counted(self, level, i, j):
+        opened.append(len(i))
+        one_by_one(self, level, i, j)
+
+    monkeypatch.setattr(C.Walk, "_nodes", counted)
+    made = [C.unit(np.random.default_rng(k).normal(size=(3000, 64))) for k in range(2)]
+    trees = []
+    for u in made:
+        order, levels = C.build(u)
+        trees.append(C.Tree(u[order], np.ones(3000, int), levels))
+    for b in (trees[1], None):
+        walk = C.Walk(trees[0], b, 0.95)
+        walk.run()
+        assert not walk.links.any()
+    assert sum(opened) < 2 * 3000
+
+
+@pytest.mark.parametrize("tile", [1, 7, 64])
+def test_products_of_any_size(monkeypatch, tile):
+    monkeypatch.setattr(C, "TILE", tile)
+    test_walk_against_matrix(1)
