@@ -259,3 +259,49 @@ def test_file_sources_cannot_start_from_the_newest_records(spark, tmp_path):
 
 def test_kafka_options():
     assert stream.PRODUCER_OPTIONS == {"kafka.acks": "all", "kafka.enable.idempotence": "true"}
+
+
+class _OneValue:
+    """A value state and timers of one group."""
+
+    def __init__(self):
+        self.value, self.timers = None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+def test_sessions_are_kept_packed():
+    # The texts of all scans in the state and its change log took most of the disk of a large table.
+    state, step = _OneValue(), journeys._Sessions(GAP, 0, 0, 1000, "STATION_TYPE_DISPATCH")
+    step.init(state)
+    rows = [
+        {"package_id": f"pkg-{p}", "times": [BASE + 1000 * k for k in range(5)], "ids": [f"evt-{p}-{k}" for k in range(5)],
+         "stations": ["STATION_TYPE_INTAKE"] * 5}
+        for p in range(400)
+    ]
+    packs = [journeys.packed.pack(journeys.pa.RecordBatch.from_pylist(r, journeys._PARTIAL)) for r in (rows[:250], rows[250:])]
+    assert list(step.handleInputRows((0,), iter(journeys.Row(packed=p) for p in packs), state)) == []
+    due, stored = state.value
+    assert state.timers == {due} == {BASE + 4000 + GAP} and len(stored) < 10 * 2000
+    _, kept = step._load()
+    assert {p: s.scans for p, (s,) in kept.items()} == {f"pkg-{p}": None for p in range(400)}
+    assert kept["pkg-7"][0].head == [(BASE + 1000 * k, f"evt-7-{k}", "STATION_TYPE_INTAKE") for k in range(5)]
