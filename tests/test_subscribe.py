@@ -105,3 +105,18 @@ def test_a_subscriber_gets_what_is_newer_in_every_micro_batch(spark, tmp_path):
         writer.outputMode("update").trigger(**NOW).start().awaitTermination()
     got = sorted((r.package_id, to_millis(r.updated_at) - BASE) for r in spark.read.parquet(out).collect())
     assert snapshot == {"p", "q"} and got == [("p", 6000), ("p", 7000), ("q", 1), ("r", 0)]
+
+
+def test_packed_updates_come_and_go_as_one_row():
+    # A row for each update on the way to Python and back took most of the time of a large table.
+    handle, step = _Handle(), live._PackedChanges()
+    step.init(handle)
+    step.handleInitialState((0,), Row(package_ids=["p1", "p2"], at_ms=[5, 50], event_ids=["a", "a"]), None)
+    rows = [(f"p{k}", k if k % 7 else None, f"e{k}", "S", k * 1000, None, "C", False) for k in range(300)]
+    batch = live.pa.RecordBatch.from_pylist([dict(zip(live._UPDATE.names, r, strict=True)) for r in rows], live._UPDATE)
+    half = [Row(packed=bytearray(live.packed.pack(batch.slice(s, 150)))) for s in (0, 150)]
+    (out,) = step.handleInputRows((0,), iter(half), None)
+    found = live.packed.unpack(out.packed, live._UPDATE).to_pylist()
+    assert handle.state.calls == 3 and sorted(r["package_id"] for r in found) == sorted(f"p{k}" for k in range(300) if k not in (1, 2))
+    assert {tuple(r.values()) for r in found} < set(rows)
+    assert list(step.handleInputRows((0,), iter(half), None)) == []
