@@ -75,3 +75,19 @@ def test_rows_of_a_package_and_slot_are_one_row_of_the_state(spark, tmp_path):
     scans = [scan("p", "N", BASE + k, f"e{k}") for k in range(60)]
     got, held = _run(spark, tmp_path, [(alerts, scans)])
     assert len(got) == 2400 and to_millis(got[0][2]) >= BASE and held <= 8
+
+
+def test_packages_share_rows_of_the_state_until_they_are_not_needed(spark, tmp_path, monkeypatch):
+    # A row of state for each package and slot took most of the time of a large table.
+    monkeypatch.setattr(live, "NEAR_GROUPS", 3)
+    alerts = [(f"a{k}", f"p{k}", at(BASE + k)) for k in range(200)]
+    scans = [scan(f"p{k}", "N", BASE + HALF // 2 + k, f"e{k}") for k in range(200)]
+    late = [scan(f"p{k}", "N", BASE - k, f"f{k}") for k in range(0, 200, 20)]
+    far = BASE + 40 * HALF
+    # Scans in a later batch than their alerts, then time goes on.
+    first, held = _run(spark, tmp_path, [(alerts, []), ([], scans)])
+    assert first == _pairs(alerts, scans) and held <= 3 * 5
+    then, held = _run(spark, tmp_path, [([("b", "p1", at(far))], [scan("p1", "N", far, "g")]), ([("c", "q", at(far))], late)])
+    assert [r for r in then if r not in first] == [("b", "g", at(far).replace(tzinfo=None))]
+    _, held = _run(spark, tmp_path, [([], [])])
+    assert held <= 2 * 5
