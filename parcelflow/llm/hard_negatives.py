@@ -68,7 +68,8 @@ class Packed:
         data = total.to_bytes(self.width * self.n, "little")
         # sum (a + s)(c + t) = sum a c + s sum c + t sum a + d s t
         shift = self.bias * sum(components) + self.d * bias * self.bias
-        if self.width > 7 or self.sums.dtype == object:
+        # Rows of zeros are narrow whatever the anchor.
+        if self.width > 7 or self.sums.dtype == object or bias >= -_LOWEST:
             fields = [int.from_bytes(data[i : i + self.width], "little") for i in range(0, len(data), self.width)]
             return longs(np.array([f - bias * int(c) - shift for f, c in zip(fields, self.sums, strict=True)], object))
         fields = np.zeros((self.n, 8), np.uint8)

@@ -94,3 +94,8 @@ def test_packed_products_are_exact(sides):
         rows.append(blocks.Rows(np.arange(len(side)), np.arange(len(side)), None, parts.reshape(len(side), -1)))
     exact = [[max(-LIMIT, min(LIMIT, sum(x * y for x, y in zip(a, b, strict=True)))) for b in sides[1]] for a in sides[0]]
     assert H.score_matrix(*rows).tolist() == exact
+
+
+def test_rows_of_zeros_under_a_very_large_anchor():
+    one = lambda v, kind: blocks.Rows(np.arange(1), np.arange(1), None, np.array([[v]], kind))
+    assert H.score_matrix(one(-(2**63), object), one(0, float)).tolist() == [[0]]
